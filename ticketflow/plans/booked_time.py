@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketflow.operators.hot_keys import HOT_ROWS
@@ -18,6 +18,7 @@ from ticketflow.operators.worktime import (
     with_targetmonth,
     work_only,
 )
+from ticketflow.sources.tables import SCHEMAS, read_table
 
 
 @dataclass(frozen=True)
@@ -32,6 +33,11 @@ class Inputs:
     dev_milestones: DataFrame
 
 
+def read_inputs(spark: SparkSession, base: str) -> Inputs:
+    """The six input tables under one folder."""
+    return Inputs(**{name: read_table(spark, base, name) for name in SCHEMAS})
+
+
 def named_work(inputs: Inputs) -> DataFrame:
     return with_names(
         work_only(inputs.worktimesheet), inputs.permissionpolicyuser, inputs.organization, inputs.actiontypegroup

@@ -6,7 +6,27 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketflow.plans.booked_time import Inputs
-from ticketflow.sources.tables import read_table
+
+# Schemas of the star-schema tables read here; declaring them saves a look into the files.
+STAR = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+        "l_shipdate timestamp_ntz"
+    ),
+}
+
+
+def _star(spark: SparkSession, base: str, name: str) -> DataFrame:
+    return spark.read.schema(STAR[name]).parquet(f"{base}/{name}.parquet")
 
 
 def _days(n: Column) -> Column:
@@ -22,7 +42,7 @@ def tickets(spark: SparkSession, base: str, team: bool = True) -> DataFrame:
 
     Every order has its customer, so that join changes no row count.
     """
-    orders = read_table(spark, base, "orders")
+    orders = _star(spark, base, "orders")
     priority = F.col("o_orderpriority")
     ticket_type = (
         F.when(priority == "1-URGENT", "DEV")
@@ -33,7 +53,7 @@ def tickets(spark: SparkSession, base: str, team: bool = True) -> DataFrame:
     )
     closed = F.when(F.col("o_orderstatus") == "F", F.col("o_orderdate") + _days(F.col("o_orderkey") % 97))
     if team:
-        customers = read_table(spark, base, "customer").select("c_custkey", "c_mktsegment")
+        customers = _star(spark, base, "customer").select("c_custkey", "c_mktsegment")
         orders = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
     return orders.select(
         F.col("o_orderkey").alias("oid"),
@@ -47,7 +67,7 @@ def tickets(spark: SparkSession, base: str, team: bool = True) -> DataFrame:
 def worktimesheet(spark: SparkSession, base: str) -> DataFrame:
     line, order = F.col("l_linenumber"), F.col("l_orderkey")
     start = F.to_timestamp_ntz(F.lit("1995-01-01 00:00:00"))
-    return read_table(spark, base, "lineitem").select(
+    return _star(spark, base, "lineitem").select(
         order.alias("issue"),
         F.when(line != 7, F.col("l_suppkey") % 4).alias("owner"),
         (F.lit(4) + F.col("l_partkey") % 2).alias("actiontypegroup"),
@@ -62,7 +82,7 @@ def worktimesheet(spark: SparkSession, base: str) -> DataFrame:
 
 def permissionpolicyuser(spark: SparkSession, base: str) -> DataFrame:
     key = F.col("s_suppkey")
-    return read_table(spark, base, "supplier").select(
+    return _star(spark, base, "supplier").select(
         key.alias("oid"),
         F.concat(F.lit("User#"), (key % 2).cast("string")).alias("name"),
         F.when(key % 10 != 0, key % 2).alias("defaultorganization"),
@@ -70,13 +90,13 @@ def permissionpolicyuser(spark: SparkSession, base: str) -> DataFrame:
 
 
 def organization(spark: SparkSession, base: str) -> DataFrame:
-    return read_table(spark, base, "nation").select(
+    return _star(spark, base, "nation").select(
         F.col("n_nationkey").cast("bigint").alias("oid"), F.col("n_name").alias("name")
     )
 
 
 def actiontypegroup(spark: SparkSession, base: str) -> DataFrame:
-    return read_table(spark, base, "region").select(
+    return _star(spark, base, "region").select(
         F.col("r_regionkey").cast("bigint").alias("oid"), F.col("r_name").alias("name")
     )
 
@@ -96,7 +116,7 @@ def dev_milestones(spark: SparkSession, base: str) -> DataFrame:
     )
     rows = F.when(key % 11 == 0, F.array(first, second)).otherwise(F.array(first))
     return (
-        read_table(spark, base, "orders")
+        _star(spark, base, "orders")
         .filter(key % 13 != 0)
         .select(key.alias("oid"), F.explode(rows).alias("m"))
         .select("oid", "m.demand_start", "m.release_start")

@@ -19,10 +19,12 @@ def shuffle_partitions(shuffle_bytes: int, cores: int) -> int:
     return max(cores, math.ceil(shuffle_bytes / PARTITION_BYTES))
 
 
-def build_session(master: str, cores: int, shuffle_bytes: int = 0, app: str = "ticketflow") -> SparkSession:
+def build_session(
+    master: str, cores: int, shuffle_bytes: int = 0, app: str = "ticketflow", options: dict[str, str] | None = None
+) -> SparkSession:
     """Session with adaptive execution, zone-free calendar logic and no web page."""
     partitions = shuffle_partitions(shuffle_bytes, cores)
-    return (
+    builder = (
         SparkSession.builder.master(master)
         .appName(app)
         .config("spark.ui.enabled", "false")
@@ -31,5 +33,7 @@ def build_session(master: str, cores: int, shuffle_bytes: int = 0, app: str = "t
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(PARTITION_BYTES))
         .config("spark.sql.shuffle.partitions", str(partitions))
-        .getOrCreate()
     )
+    for key, value in (options or {}).items():
+        builder = builder.config(key, value)
+    return builder.getOrCreate()
