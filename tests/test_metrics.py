@@ -139,12 +139,13 @@ def test_fte_by_phase(time):
 
 
 def test_stored_booked_time_gives_the_same_effort(spark):
-    inputs = views.inputs(spark, DATA, team=False)
-    stored = bt.with_month(bt.booked_time(inputs))
+    named, df = views.named_work(spark, DATA), views.tickets(spark, DATA, team=False)
+    stones = views.dev_milestones(spark, DATA)
+    stored = bt.with_month(bt.booked_time(named, df, stones))
     for team in (False, True):
-        assert rows(effort.fte_by_class(stored, team)) == rows(effort.fte_by_class(bt.monthly_time(inputs, team), team))
+        assert rows(effort.fte_by_class(stored, team)) == rows(effort.fte_by_class(bt.monthly_time(named, df, team), team))
         assert rows(effort.fte_by_phase(stored, team)) == rows(
-            effort.fte_by_phase(bt.monthly_phase_time(inputs, team), team)
+            effort.fte_by_phase(bt.monthly_phase_time(named, df, stones, team), team)
         )
 
 

@@ -3,7 +3,7 @@ import random
 
 import pytest
 from conftest import at, day, rows
-from test_worktime import make_inputs
+from test_worktime import make_inputs, named
 
 from ticketflow.operators import phases
 from ticketflow.plans import booked_time as bt
@@ -92,9 +92,10 @@ def test_whole_table_keeps_rows_and_hours(spark):
     inputs = make_inputs(
         spark, bookings, milestones=[(1, "2020-01-05", "2020-01-20"), (1, "2020-01-07", None), (2, None, "2020-01-10")]
     )
-    plain, labelled = bt.worktime_by_ticket(inputs), bt.booked_time(inputs)
+    parts = named(inputs), inputs.tickets, inputs.dev_milestones
+    plain, labelled = bt.worktime_by_ticket(*parts[:2]), bt.booked_time(*parts)
     assert rows(labelled.drop("phase")) == rows(plain)
-    assert rows(bt.booked_time(inputs, hot_rows=3)) == rows(labelled)
+    assert rows(bt.booked_time(*parts, hot_rows=3)) == rows(labelled)
     assert rows(phases.label_phase(plain, inputs.dev_milestones)) == rows(labelled)
     assert {r.phase for r in labelled.collect()} == {"Pre-demand", "Demand", "Release", None}
     assert max(len(r.phase or "") for r in labelled.collect()) == 10

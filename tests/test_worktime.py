@@ -20,8 +20,12 @@ def make_inputs(spark, bookings, tickets=((1, "DEV"), (2, "RFC")), users=None, m
     )
 
 
+def named(inputs):
+    return bt.named_work(inputs.worktimesheet, inputs.permissionpolicyuser, inputs.organization, inputs.actiontypegroup)
+
+
 def _daily(spark, *bookings, **kwargs):
-    return rows(worktime.daily_hours(bt.named_work(make_inputs(spark, bookings, **kwargs))))
+    return rows(worktime.daily_hours(named(make_inputs(spark, bookings, **kwargs))))
 
 
 def test_namesakes_share_a_row(spark):
@@ -71,7 +75,7 @@ def test_blank_name_is_missing(spark):
 
 def test_tickets_without_bookings_drop_out(spark):
     inputs = make_inputs(spark, [(1, 10, 5, "2020-01-10", 2.0, "WorkTime"), (77, 10, 5, "2020-01-10", 1.0, "WorkTime")])
-    joined = bt.worktime_by_ticket(inputs)
+    joined = bt.worktime_by_ticket(named(inputs), inputs.tickets)
     assert joined.columns == [
         *inputs.tickets.columns,
         "issue",
@@ -108,11 +112,13 @@ def test_stored_tables_are_read_narrowly(spark, tmp_path):
     for name in tables.SCHEMAS:
         getattr(inputs, name).write.parquet(f"{tmp_path}/{name}.parquet")
     stored = bt.read_inputs(spark, str(tmp_path))
-    assert rows(bt.booked_time(stored)) == rows(bt.booked_time(inputs))
-    daily = plan(worktime.daily_hours(bt.named_work(stored)))
+    assert rows(bt.booked_time(named(stored), stored.tickets, stored.dev_milestones)) == rows(
+        bt.booked_time(named(inputs), inputs.tickets, inputs.dev_milestones)
+    )
+    daily = plan(worktime.daily_hours(named(stored)))
     assert "EqualTo(timetype,WorkTime)" in daily
     assert daily.count("BroadcastHashJoin") == 3
-    monthly = plan(bt.monthly_time(stored))
+    monthly = plan(bt.monthly_time(named(stored), stored.tickets))
     assert "ReadSchema: struct<oid:bigint,ticket_type:string>" in monthly
     assert "name:string" not in monthly
 

@@ -1,4 +1,7 @@
-"""The booked-time table and its coarser forms."""
+"""The booked-time table and its coarser forms.
+
+`named` is always the table of work bookings with names, see `named_work`.
+"""
 
 from __future__ import annotations
 
@@ -38,47 +41,46 @@ def read_inputs(spark: SparkSession, base: str) -> Inputs:
     return Inputs(**{name: read_table(spark, base, name) for name in SCHEMAS})
 
 
-def named_work(inputs: Inputs) -> DataFrame:
-    return with_names(
-        work_only(inputs.worktimesheet), inputs.permissionpolicyuser, inputs.organization, inputs.actiontypegroup
-    )
+def named_work(bookings: DataFrame, users: DataFrame, organizations: DataFrame, groups: DataFrame) -> DataFrame:
+    return with_names(work_only(bookings), users, organizations, groups)
 
 
-def worktime_by_ticket(inputs: Inputs, hot_rows: int = HOT_ROWS) -> DataFrame:
+def worktime_by_ticket(named: DataFrame, tickets: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Ticket columns with daily booked time."""
-    return join_tickets(daily_hours(named_work(inputs)), inputs.tickets, hot_rows)
+    return join_tickets(daily_hours(named), tickets, hot_rows)
 
 
-def booked_time(inputs: Inputs, hot_rows: int = HOT_ROWS) -> DataFrame:
+def booked_time(named: DataFrame, tickets: DataFrame, milestones: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """The booked-time table with its phase.
 
     The milestones meet the tickets first, one row per ticket on both sides, so
     the long table of daily sums is shuffled for a single join.
     """
-    tickets = with_milestones(inputs.tickets, inputs.dev_milestones)
-    daily = daily_hours(named_work(inputs))
-    joined = join_tickets(daily, tickets, hot_rows)
+    daily = daily_hours(named)
+    joined = join_tickets(daily, with_milestones(tickets, milestones), hot_rows)
     phase = phase_of(F.col("targetday"), F.col("first_demand"), F.col("first_release"))
-    return joined.select(*inputs.tickets.columns, *daily.columns, phase.alias("phase"))
+    return joined.select(*tickets.columns, *daily.columns, phase.alias("phase"))
 
 
-def monthly_time(inputs: Inputs, team: bool = False) -> DataFrame:
+def monthly_time(named: DataFrame, tickets: DataFrame, team: bool = False) -> DataFrame:
     """Booked time per ticket and month, by the booker's organisation if asked.
 
     Effort by class needs no finer rows, and at this grain a busy ticket has
     only as many rows as months (times organisations).
     """
     keys = ["targetmonth"] + (["userorg_worktimesheet"] if team else [])
-    hours = sum_hours(with_targetmonth(named_work(inputs)), *keys)
-    types = inputs.tickets.select("oid", "ticket_type")
+    hours = sum_hours(with_targetmonth(named), *keys)
+    types = tickets.select("oid", "ticket_type")
     return hours.join(types, F.col("issue") == F.col("oid")).drop("issue")
 
 
-def monthly_phase_time(inputs: Inputs, team: bool = False) -> DataFrame:
+def monthly_phase_time(
+    named: DataFrame, tickets: DataFrame, milestones: DataFrame, team: bool = False
+) -> DataFrame:
     """Booked time per ticket, day and phase, with the month of the day."""
     keys = ["targetday"] + (["userorg_worktimesheet"] if team else [])
-    hours = sum_hours(with_targetday(named_work(inputs)), *keys)
-    types = with_milestones(inputs.tickets.select("oid", "ticket_type"), inputs.dev_milestones)
+    hours = sum_hours(with_targetday(named), *keys)
+    types = with_milestones(tickets.select("oid", "ticket_type"), milestones)
     joined = hours.join(types, F.col("issue") == F.col("oid"))
     phase = phase_of(F.col("targetday"), F.col("first_demand"), F.col("first_release"))
     return joined.select(
@@ -91,9 +93,9 @@ def monthly_phase_time(inputs: Inputs, team: bool = False) -> DataFrame:
     )
 
 
-def issue_hours(inputs: Inputs) -> DataFrame:
+def issue_hours(named: DataFrame) -> DataFrame:
     """Booked time per issue."""
-    return sum_hours(named_work(inputs)).filter(F.col("issue").isNotNull())
+    return sum_hours(named).filter(F.col("issue").isNotNull())
 
 
 def with_month(worktime: DataFrame) -> DataFrame:

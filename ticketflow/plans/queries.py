@@ -29,6 +29,10 @@ def _cuts(spark: SparkSession) -> DataFrame:
     return month_starts(spark, FIRST_CUT, LAST_CUT)
 
 
+def _worktime(spark: SparkSession, base: str, team: bool = True) -> DataFrame:
+    return bt.worktime_by_ticket(views.named_work(spark, base), views.tickets(spark, base, team))
+
+
 def _cases(spark: SparkSession, base: str, team: bool = False) -> DataFrame:
     return views.tickets(spark, base, team).withColumnsRenamed({"created": "START", "closed": "END"})
 
@@ -53,8 +57,9 @@ def src_csv_roundtrip(spark: SparkSession, base: str) -> DataFrame:
 
 def sink_full_refresh(spark: SparkSession, base: str) -> DataFrame:
     path = f"{scratch_folder(spark)}/t_isd_worktimesheet.parquet"
-    full_refresh(bt.booked_time(views.inputs(spark, base)), path, sort_by=("oid", "targetday"))
-    return spark.read.parquet(path)
+    labelled = phase_label(spark, base)
+    full_refresh(labelled, path, sort_by=("oid", "targetday"))
+    return spark.read.schema(labelled.schema).parquet(path)
 
 
 def publish_conformance_csv(spark: SparkSession, base: str) -> DataFrame:
@@ -105,7 +110,7 @@ def cutpoints_monthly(spark: SparkSession, base: str) -> DataFrame:
 
 
 def worktime_enriched(spark: SparkSession, base: str) -> DataFrame:
-    return bt.named_work(views.inputs(spark, base))
+    return views.named_work(spark, base)
 
 
 def worktime_day_trunc(spark: SparkSession, base: str) -> DataFrame:
@@ -113,34 +118,33 @@ def worktime_day_trunc(spark: SparkSession, base: str) -> DataFrame:
 
 
 def worktime_daily(spark: SparkSession, base: str) -> DataFrame:
-    return worktime.daily_hours(bt.named_work(views.inputs(spark, base)))
+    return worktime.daily_hours(views.named_work(spark, base))
 
 
 def worktime_by_ticket(spark: SparkSession, base: str) -> DataFrame:
-    return bt.worktime_by_ticket(views.inputs(spark, base))
+    return _worktime(spark, base)
 
 
 def worktime_sorted(spark: SparkSession, base: str) -> DataFrame:
-    return worktime.sort_worktime(bt.worktime_by_ticket(views.inputs(spark, base)))
+    return worktime.sort_worktime(_worktime(spark, base))
 
 
 def phase_label(spark: SparkSession, base: str) -> DataFrame:
-    return bt.booked_time(views.inputs(spark, base))
+    tickets, milestones = views.tickets(spark, base), views.dev_milestones(spark, base)
+    return bt.booked_time(views.named_work(spark, base), tickets, milestones)
 
 
 def phase_label_stored(spark: SparkSession, base: str) -> DataFrame:
     """The label added to an existing table of booked time."""
-    inputs = views.inputs(spark, base, team=False)
-    return phases.label_phase(bt.worktime_by_ticket(inputs), inputs.dev_milestones)
+    return phases.label_phase(_worktime(spark, base, team=False), views.dev_milestones(spark, base))
 
 
 def phase_unlabelled(spark: SparkSession, base: str) -> DataFrame:
-    return phases.unlabelled(bt.booked_time(views.inputs(spark, base)))
+    return phases.unlabelled(phase_label(spark, base))
 
 
 def phase_release_semi(spark: SparkSession, base: str) -> DataFrame:
-    inputs = views.inputs(spark, base, team=False)
-    return phases.released(bt.worktime_by_ticket(inputs), inputs.dev_milestones)
+    return phases.released(_worktime(spark, base, team=False), views.dev_milestones(spark, base))
 
 
 # Backlog
@@ -215,11 +219,13 @@ def throughput_time_team(spark: SparkSession, base: str) -> DataFrame:
 
 
 def _by_class(spark: SparkSession, base: str, team: bool = False) -> DataFrame:
-    return effort.fte_by_class(bt.monthly_time(views.inputs(spark, base, team=False), team), team)
+    tickets = views.tickets(spark, base, team=False)
+    return effort.fte_by_class(bt.monthly_time(views.named_work(spark, base), tickets, team), team)
 
 
 def _by_phase(spark: SparkSession, base: str, team: bool = False) -> DataFrame:
-    return effort.fte_by_phase(bt.monthly_phase_time(views.inputs(spark, base, team=False), team), team)
+    tickets, milestones = views.tickets(spark, base, team=False), views.dev_milestones(spark, base)
+    return effort.fte_by_phase(bt.monthly_phase_time(views.named_work(spark, base), tickets, milestones, team), team)
 
 
 def fte_by_type(spark: SparkSession, base: str) -> DataFrame:
@@ -280,8 +286,9 @@ def leaderboard_longest_open(spark: SparkSession, base: str) -> DataFrame:
 
 
 def leaderboard_highest_fte(spark: SparkSession, base: str) -> DataFrame:
-    inputs = views.inputs(spark, base, team=False)
-    return leaderboard.highest_fte(inputs.tickets, bt.issue_hours(inputs))
+    return leaderboard.highest_fte(
+        views.tickets(spark, base, team=False), bt.issue_hours(views.named_work(spark, base))
+    )
 
 
 def leaderboard_display(spark: SparkSession, base: str) -> DataFrame:

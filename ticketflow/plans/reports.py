@@ -8,7 +8,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 
 from ticketflow.operators import conformance, effort, flow, leaderboard, worktime
-from ticketflow.plans.booked_time import Inputs, booked_time, with_month
+from ticketflow.plans.booked_time import Inputs, booked_time, named_work, with_month
 from ticketflow.sources.reports import write_report
 from ticketflow.sources.sinks import full_refresh
 
@@ -40,7 +40,11 @@ def publish(inputs: Inputs, folder: str, cutpoints: DataFrame, as_of: dt.date) -
     its own tasks.
     """
     path = f"{folder}/t_isd_worktimesheet.parquet"
-    full_refresh(booked_time(inputs), path, sort_by=("oid", "targetday"))
-    stored = inputs.tickets.sparkSession.read.parquet(path)
+    named = named_work(
+        inputs.worktimesheet, inputs.permissionpolicyuser, inputs.organization, inputs.actiontypegroup
+    )
+    time = booked_time(named, inputs.tickets, inputs.dev_milestones)
+    full_refresh(time, path, sort_by=("oid", "targetday"))
+    stored = inputs.tickets.sparkSession.read.schema(time.schema).parquet(path)
     for name, table in report_tables(inputs, stored, cutpoints, as_of):
         write_report(table, folder, name)

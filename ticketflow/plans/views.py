@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketflow.plans.booked_time import Inputs
+from ticketflow.plans import booked_time as bt
 
 # Schemas of the star-schema tables read here; declaring them saves a look into the files.
 STAR = {
@@ -123,9 +123,19 @@ def dev_milestones(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
-def inputs(spark: SparkSession, base: str, team: bool = True) -> Inputs:
-    return Inputs(
-        tickets=tickets(spark, base, team),
+def named_work(spark: SparkSession, base: str) -> DataFrame:
+    """Work bookings with names."""
+    return bt.named_work(
+        worktimesheet(spark, base),
+        permissionpolicyuser(spark, base),
+        organization(spark, base),
+        actiontypegroup(spark, base),
+    )
+
+
+def inputs(spark: SparkSession, base: str) -> bt.Inputs:
+    return bt.Inputs(
+        tickets=tickets(spark, base),
         worktimesheet=worktimesheet(spark, base),
         permissionpolicyuser=permissionpolicyuser(spark, base),
         organization=organization(spark, base),
