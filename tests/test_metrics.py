@@ -66,6 +66,11 @@ def test_throughput_and_lead_time(few):
     ]
 
 
+def test_class_totals_from_team_counts(few):
+    for counts, name in ((flow.new_tickets, "NEW_TICKET"), (flow.throughput, "THROUGHPUT")):
+        assert rows(flow.over_teams(counts(few, team=True), name)) == rows(counts(few))
+
+
 def test_median_of_an_even_number_interpolates(spark):
     df = _tickets(spark, *((i, "DEV", "a", "2020-01-01", f"2020-01-{1 + d:02d}") for i, d in enumerate([1, 2, 5, 9, 2, 5])))
     assert rows(flow.throughput_time(df)) == [("2020-01", "Development", 3.5)]
@@ -141,7 +146,7 @@ def test_fte_by_phase(time):
 def test_stored_booked_time_gives_the_same_effort(spark):
     named, df = views.named_work(spark, DATA), views.tickets(spark, DATA, team=False)
     stones = views.dev_milestones(spark, DATA)
-    stored = bt.with_month(bt.booked_time(named, df, stones))
+    stored = effort.monthly_effort(bt.booked_time(named, df, stones))
     for team in (False, True):
         assert rows(effort.fte_by_class(stored, team)) == rows(effort.fte_by_class(bt.monthly_time(named, df, team), team))
         assert rows(effort.fte_by_phase(stored, team)) == rows(
@@ -165,7 +170,7 @@ def test_conformance(spark):
     )
     stones = _stones(spark, (1, "2020-01-06", "2020-01-20"), (2, None, "2020-01-20"), (3, "2020-04-10", "2020-04-09"))
     detail = conformance.conformance_detail(df, stones)
-    assert [tuple(r)[1:] for r in conformance.with_month_label(detail).orderBy("OID").collect()] == [
+    assert [tuple(r)[1:] for r in detail.orderBy("OID").collect()] == [
         (1, "2020-01", True, True, True, True),
         (2, "2020-01", False, True, False, False),
         (3, "2020-04", True, True, False, False),
@@ -177,7 +182,7 @@ def test_conformance(spark):
         ("2020-03", "Development Small", False, 1),
         ("2020-04", "Development", False, 1),
     ]
-    cumulative = conformance.conformance_cumulative(detail)
+    cumulative = conformance.conformance_cumulative(conformance.conformance_count(detail))
     months = ["2020-01", "2020-02", "2020-03", "2020-04"]
     expected = {
         ("Development", False): ([1, 0, 0, 1], [1, 1, 1, 2]),

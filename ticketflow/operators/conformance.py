@@ -39,32 +39,25 @@ def conformance_detail(
     return with_milestones(population, milestones).select(
         "TICKET",
         F.col("oid").alias("OID"),
-        month(F.col("created")).alias("CREATED_MONTH"),
+        month_label(month(F.col("created"))).alias("CREATED_MONTH"),
         *(test.alias(name) for name, test in met.items()),
         conform.alias("CONFORM"),
     )
 
 
-def _counts(detail: DataFrame) -> DataFrame:
-    return detail.groupBy("CREATED_MONTH", "TICKET", "CONFORM").agg(F.count(F.lit(1)).alias("COUNT"))
-
-
-def with_month_label(detail: DataFrame) -> DataFrame:
-    return detail.withColumn("CREATED_MONTH", month_label(F.col("CREATED_MONTH")))
-
-
 def conformance_count(detail: DataFrame) -> DataFrame:
     """Tickets by created month, class and conformance."""
-    return with_month_label(_counts(detail))
+    return detail.groupBy("CREATED_MONTH", "TICKET", "CONFORM").agg(F.count(F.lit(1)).alias("COUNT"))
 
 
-def conformance_cumulative(detail: DataFrame) -> DataFrame:
+def conformance_cumulative(counts: DataFrame) -> DataFrame:
     """Counts and running counts for every month between the first and the last.
 
     Months are numbered; a class and flag holds at most one row per month.
     """
-    number = (F.year("CREATED_MONTH") * 12 + F.month("CREATED_MONTH") - 1).alias("_month")
-    counts = _counts(detail).select(number, "TICKET", "CONFORM", "COUNT").filter(F.col("_month").isNotNull())
+    first_day = F.to_date("CREATED_MONTH", "yyyy-MM")
+    number = (F.year(first_day) * 12 + F.month(first_day) - 1).alias("_month")
+    counts = counts.select(number, "TICKET", "CONFORM", "COUNT").filter(F.col("_month").isNotNull())
     bounds = counts.agg(F.min("_month").alias("first"), F.max("_month").alias("last"))
     total = dense_running_total(
         counts,

@@ -12,6 +12,16 @@ from ticketflow.operators.tickets import tickets_of_types, with_class
 HOURS_PER_FTE = 160
 
 
+def monthly_effort(worktime: DataFrame) -> DataFrame:
+    """A stored booked-time table summed to what the effort reports tell apart.
+
+    One pass over the daily rows; all effort reports follow from the result.
+    """
+    return worktime.groupBy(
+        "oid", "ticket_type", "userorg_worktimesheet", "phase", F.trunc("targetday", "month").alias("targetmonth")
+    ).agg(F.sum("hours_worktimesheet").alias("hours_worktimesheet"))
+
+
 def _fte(worktime: DataFrame, breakdown: str, team: bool, hours_per_fte: float) -> DataFrame:
     groups = [breakdown] + (["USERORG_WORKTIMESHEET"] if team else [])
     if team:

@@ -61,3 +61,9 @@ def backlog_at(tickets: DataFrame, cutpoints: DataFrame, team: bool = False) ->
     """Open tickets per cut date and class, by team if asked."""
     cases = _classed(tickets, team).withColumnsRenamed({"created": "START", "closed": "END"})
     return backlog(cases, cutpoints, *_groups(team)).withColumnRenamed("COUNT", "BACKLOG")
+
+
+def over_teams(counts: DataFrame, count: str) -> DataFrame:
+    """Class totals out of a count by team."""
+    groups = [c for c in counts.columns if c not in ("APPGROUP", count)]
+    return counts.groupBy(*groups).agg(F.sum(count).alias(count))

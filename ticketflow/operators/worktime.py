@@ -42,7 +42,6 @@ def with_names(bookings: DataFrame, users: DataFrame, organizations: DataFrame,
         .join(group, F.col("group_id") == F.col("group_oid"), "left")
         .select(
             "issue",
-            "owner",
             "user_worktimesheet",
             "userorg_worktimesheet",
             F.col("group_name").alias("actiontypegroup"),
@@ -80,8 +79,8 @@ def join_tickets(daily: DataFrame, tickets: DataFrame, hot_rows: int = HOT_ROWS)
 
 
 def total_hours(worktime: DataFrame) -> DataFrame:
-    """Hours per issue out of finer sums."""
-    return worktime.groupBy("issue").agg(F.sum("hours_worktimesheet").alias("hours_worktimesheet"))
+    """Hours per ticket out of finer sums."""
+    return worktime.groupBy(F.col("oid").alias("issue")).agg(F.sum("hours_worktimesheet").alias("hours_worktimesheet"))
 
 
 def sort_worktime(worktime: DataFrame) -> DataFrame:

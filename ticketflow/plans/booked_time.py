@@ -96,8 +96,3 @@ def monthly_phase_time(
 def issue_hours(named: DataFrame) -> DataFrame:
     """Booked time per issue."""
     return sum_hours(named).filter(F.col("issue").isNotNull())
-
-
-def with_month(worktime: DataFrame) -> DataFrame:
-    """A stored booked-time table, ready for the effort operators."""
-    return worktime.withColumn("targetmonth", F.trunc("targetday", "month"))

@@ -64,7 +64,7 @@ def sink_full_refresh(spark: SparkSession, base: str) -> DataFrame:
 
 def publish_conformance_csv(spark: SparkSession, base: str) -> DataFrame:
     folder = scratch_folder(spark)
-    write_report(conformance.with_month_label(_detail(spark, base)), folder, "t_conf")
+    write_report(conformance_detail(spark, base), folder, "t_conf")
     return read_report(spark, folder, "t_conf")
 
 
@@ -99,7 +99,8 @@ def ticket_class_query(spark: SparkSession, base: str) -> DataFrame:
 
 
 def ticket_lead_time(spark: SparkSession, base: str) -> DataFrame:
-    return tk.with_lead_time(views.tickets(spark, base, team=False)).select("oid", "created", "closed", "lead_days")
+    closed = tk.closed_tickets(views.tickets(spark, base, team=False))
+    return tk.with_lead_time(closed).select("oid", "created", "closed", "lead_days")
 
 
 def cutpoints_monthly(spark: SparkSession, base: str) -> DataFrame:
@@ -263,22 +264,18 @@ def fte_norm_phase_team(spark: SparkSession, base: str) -> DataFrame:
 # Conformance and boards
 
 
-def _detail(spark: SparkSession, base: str) -> DataFrame:
+def conformance_detail(spark: SparkSession, base: str) -> DataFrame:
     return conformance.conformance_detail(
         views.tickets(spark, base, team=False), views.dev_milestones(spark, base)
     )
 
 
-def conformance_detail(spark: SparkSession, base: str) -> DataFrame:
-    return conformance.with_month_label(_detail(spark, base))
-
-
 def conformance_count(spark: SparkSession, base: str) -> DataFrame:
-    return conformance.conformance_count(_detail(spark, base))
+    return conformance.conformance_count(conformance_detail(spark, base))
 
 
 def conformance_cumulative(spark: SparkSession, base: str) -> DataFrame:
-    return conformance.conformance_cumulative(_detail(spark, base))
+    return conformance.conformance_cumulative(conformance_count(spark, base))
 
 
 def leaderboard_longest_open(spark: SparkSession, base: str) -> DataFrame:

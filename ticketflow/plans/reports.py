@@ -3,48 +3,56 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 
 from ticketflow.operators import conformance, effort, flow, leaderboard, worktime
-from ticketflow.plans.booked_time import Inputs, booked_time, named_work, with_month
-from ticketflow.sources.reports import write_report
-from ticketflow.sources.sinks import full_refresh
-
-
-def report_tables(
-    inputs: Inputs, stored_time: DataFrame, cutpoints: DataFrame, as_of: dt.date
-) -> Iterator[tuple[str, DataFrame]]:
-    """Report names and tables; `stored_time` is the written booked-time table."""
-    tickets, time = inputs.tickets, with_month(stored_time)
-    for suffix, team in (("", False), ("_team", True)):
-        yield f"t_nb_ticket{suffix}", flow.new_tickets(tickets, team)
-        yield f"t_throughput_ticket{suffix}", flow.throughput(tickets, team)
-        yield f"t_backlog_ticket{suffix}", flow.backlog_at(tickets, cutpoints, team)
-        yield f"t_throughputtime_ticket{suffix}", flow.throughput_time(tickets, team)
-        yield f"t_fte_ticket{suffix}", effort.fte_by_class(time, team)
-        yield f"t_fte_phases{suffix}", effort.fte_by_phase(time, team)
-    detail = conformance.conformance_detail(tickets, inputs.dev_milestones)
-    yield "t_conf", conformance.with_month_label(detail)
-    yield "t_conf_agg", conformance.conformance_cumulative(detail)
-    yield "t_lb_tp_open", leaderboard.longest_open(tickets, as_of)
-    yield "t_lb_fte_open", leaderboard.highest_fte(tickets, worktime.total_hours(stored_time))
+from ticketflow.plans.booked_time import Inputs, booked_time, named_work
+from ticketflow.sources.reports import read_report, write_report
+from ticketflow.sources.sinks import full_refresh, scratch_folder
 
 
 def publish(inputs: Inputs, folder: str, cutpoints: DataFrame, as_of: dt.date) -> None:
-    """Refresh the booked-time table, then write every report from it.
+    """Refresh the booked-time table, then write every report into `folder`.
 
-    The booked-time table is computed once and read back from shared storage,
-    so eight reports do not repeat its joins and a lost executor costs only
-    its own tasks.
+    What several reports need is computed once and read back from shared
+    storage: the booked-time table, its monthly sums, the counts by team and
+    the conformance of each ticket. A lost executor costs only its own tasks.
     """
-    path = f"{folder}/t_isd_worktimesheet.parquet"
+    tickets = inputs.tickets
+    spark = tickets.sparkSession
+
+    def stored(df: DataFrame, path: str, sort_by: tuple[str, ...] = ()) -> DataFrame:
+        full_refresh(df, path, sort_by)
+        return spark.read.schema(df.schema).parquet(path)
+
+    def report(name: str, df: DataFrame) -> DataFrame:
+        write_report(df, folder, name)
+        return read_report(spark, folder, name)
+
     named = named_work(
         inputs.worktimesheet, inputs.permissionpolicyuser, inputs.organization, inputs.actiontypegroup
     )
-    time = booked_time(named, inputs.tickets, inputs.dev_milestones)
-    full_refresh(time, path, sort_by=("oid", "targetday"))
-    stored = inputs.tickets.sparkSession.read.schema(time.schema).parquet(path)
-    for name, table in report_tables(inputs, stored, cutpoints, as_of):
-        write_report(table, folder, name)
+    time = stored(
+        booked_time(named, tickets, inputs.dev_milestones),
+        f"{folder}/t_isd_worktimesheet.parquet",
+        ("oid", "targetday"),
+    )
+    monthly = stored(effort.monthly_effort(time), f"{scratch_folder(spark)}/monthly.parquet")
+    for suffix, team in (("", False), ("_team", True)):
+        report(f"t_fte_ticket{suffix}", effort.fte_by_class(monthly, team))
+        report(f"t_fte_phases{suffix}", effort.fte_by_phase(monthly, team))
+        report(f"t_throughputtime_ticket{suffix}", flow.throughput_time(tickets, team))
+
+    new = report("t_nb_ticket_team", flow.new_tickets(tickets, team=True))
+    report("t_nb_ticket", flow.over_teams(new, "NEW_TICKET"))
+    closed = report("t_throughput_ticket_team", flow.throughput(tickets, team=True))
+    report("t_throughput_ticket", flow.over_teams(closed, "THROUGHPUT"))
+    backlog = report("t_backlog_ticket_team", flow.backlog_at(tickets, cutpoints, team=True))
+    report("t_backlog_ticket", flow.over_teams(backlog, "BACKLOG"))
+
+    detail = report("t_conf", conformance.conformance_detail(tickets, inputs.dev_milestones))
+    report("t_conf_agg", conformance.conformance_cumulative(conformance.conformance_count(detail)))
+
+    report("t_lb_tp_open", leaderboard.longest_open(tickets, as_of))
+    report("t_lb_fte_open", leaderboard.highest_fte(tickets, worktime.total_hours(monthly)))

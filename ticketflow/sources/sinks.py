@@ -13,11 +13,12 @@ def full_refresh(df: DataFrame, path: str, sort_by: tuple[str, ...] = ()) -> Non
 
     The new rows are written next to the table first and take its place only
     when complete, so a failed run leaves the old table readable. `sort_by`
-    clusters the files by range, which lets later reads skip row groups.
+    orders the rows inside each file. That needs no shuffle; a table promises
+    no order across its files.
     """
     spark = df.sparkSession
     if sort_by:
-        df = df.repartitionByRange(*sort_by).sortWithinPartitions(*sort_by)
+        df = df.sortWithinPartitions(*sort_by)
     staging = f"{path.rstrip('/')}__new_{uuid.uuid4().hex}"
     df.write.parquet(staging)
     hadoop = spark._jvm.org.apache.hadoop.fs
