@@ -140,7 +140,7 @@ def test_unusable_grouping_columns(spark, name):
 
 def test_as_a_transform(spark):
     df = _cases(spark, [("2020-01-01", None, "DEV", "a")])
-    result = df.transform(backlog, _cuts(spark, ["2020-01-02"]), "TICKET", "TEAM")
+    result = df.transform(backlog, _cuts(spark, ["2020-01-02"]), "TICKET", "TEAM", "TICKET")
     assert result.columns == ["CUTPOINT", "TICKET", "TEAM", "COUNT"]
     assert result.dtypes[0] == ("CUTPOINT", "date") and result.dtypes[-1] == ("COUNT", "bigint")
 

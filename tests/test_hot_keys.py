@@ -4,7 +4,7 @@ import pytest
 from conftest import plan, rows
 from pyspark.sql import functions as F
 
-from ticketflow.operators.hot_keys import join_spreading_hot_keys
+from ticketflow.operators.hot_keys import hot_keys, join_spreading_hot_keys
 
 
 @pytest.fixture
@@ -22,7 +22,7 @@ def tables(spark):
 def test_equals_the_plain_join(conf, tables, how, hot_rows):
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
     large, single = tables
-    spread = join_spreading_hot_keys(large, single, "k", "id", ["i"], "x", how, hot_rows=hot_rows)
+    spread = join_spreading_hot_keys(large, single, "k", "id", ["i"], hot_keys(large, "k", hot_rows), how)
     plain = large.join(single, F.col("k") == F.col("id"), how)
     assert spread.columns == plain.columns
     assert rows(spread) == rows(plain)
@@ -31,7 +31,7 @@ def test_equals_the_plain_join(conf, tables, how, hot_rows):
 def test_further_condition(tables):
     large, single = tables
     where = F.col("i") * 10 < F.col("y")
-    spread = join_spreading_hot_keys(large, single, "k", "id", ["i"], "x", "left_semi", where, hot_rows=7)
+    spread = join_spreading_hot_keys(large, single, "k", "id", ["i"], hot_keys(large, "k", 7), "left_semi", where)
     assert rows(spread) == rows(large.join(single, (F.col("k") == F.col("id")) & where, "left_semi"))
 
 
@@ -42,7 +42,7 @@ def test_hot_key_is_split_over_tasks(conf, tables):
     large, single = tables
 
     def hottest(hot_rows):
-        joined = join_spreading_hot_keys(large, single, "k", "id", ["i"], "x", hot_rows=hot_rows)
+        joined = join_spreading_hot_keys(large, single, "k", "id", ["i"], hot_keys(large, "k", hot_rows))
         placed = joined.filter("k = 1").groupBy(F.spark_partition_id()).count()
         return max(r["count"] for r in placed.collect())
 
@@ -50,10 +50,15 @@ def test_hot_key_is_split_over_tasks(conf, tables):
     assert hottest(10) < 80
 
 
-def test_counting_reuses_the_shuffle_of_a_grouped_input(spark, conf, tables):
+def test_hot_keys(tables):
+    assert rows(hot_keys(tables[0], "k", 50)) == [(1, 4), (2, 2)]
+    assert rows(hot_keys(tables[0], "k", 200)) == []
+
+
+def test_hot_keys_read_only_the_key_and_are_counted_once(conf, tables, tmp_path):
     conf("spark.sql.adaptive.enabled", "false")
-    large, single = tables
-    grouped = large.filter("k is not null").groupBy("k", "i").agg(F.sum("x").alias("x"))
-    text = plan(join_spreading_hot_keys(grouped, single, "k", "id", ["i"], "x"))
-    assert "ReusedExchange" in text
-    assert text.count("partial_sum(x") == 1
+    tables[0].write.parquet(f"{tmp_path}/large")
+    large = tables[0].sparkSession.read.parquet(f"{tmp_path}/large")
+    text = plan(join_spreading_hot_keys(large, tables[1], "k", "id", ["i"], hot_keys(large, "k")))
+    assert "ReadSchema: struct<k:bigint>" in text
+    assert text.count("partial_count(1)") == 1 and "ReusedExchange" in text

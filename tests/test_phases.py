@@ -6,6 +6,7 @@ from conftest import at, day, rows
 from test_worktime import make_inputs, named
 
 from ticketflow.operators import phases
+from ticketflow.operators.hot_keys import hot_keys
 from ticketflow.plans import booked_time as bt
 from ticketflow.sources import tables
 
@@ -78,12 +79,13 @@ def test_equals_three_exists_tests(spark, hot_rows):
         for _ in range(500)
     ]
     df, stones_df = _worktime(spark, days), spark.createDataFrame(stones, tables.DEV_MILESTONES)
-    labelled = phases.label_phase(df, stones_df, hot_rows)
+    hot = hot_keys(df, "oid", hot_rows)
+    labelled = phases.label_phase(df, stones_df, hot)
     assert labelled.columns == [*df.columns, "phase"]
     got = sorted((r.user_worktimesheet, r.phase) for r in labelled.collect())
     expected = sorted((f"u{i}", _three_tests(stones, o, d)) for i, (o, d) in enumerate(days))
     assert got == expected
-    semi = {r.user_worktimesheet for r in phases.released(df, stones_df, hot_rows).collect()}
+    semi = {r.user_worktimesheet for r in phases.released(df, stones_df, hot).collect()}
     assert semi == {u for u, phase in expected if phase == "Release"}
 
 
@@ -95,7 +97,7 @@ def test_whole_table_keeps_rows_and_hours(spark):
     parts = named(inputs), inputs.tickets, inputs.dev_milestones
     plain, labelled = bt.worktime_by_ticket(*parts[:2]), bt.booked_time(*parts)
     assert rows(labelled.drop("phase")) == rows(plain)
-    assert rows(bt.booked_time(*parts, hot_rows=3)) == rows(labelled)
+    assert rows(bt.booked_time(*parts, bt.hot_issues(inputs.worktimesheet, 3))) == rows(labelled)
     assert rows(phases.label_phase(plain, inputs.dev_milestones)) == rows(labelled)
     assert {r.phase for r in labelled.collect()} == {"Pre-demand", "Demand", "Release", None}
     assert max(len(r.phase or "") for r in labelled.collect()) == 10

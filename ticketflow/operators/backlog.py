@@ -124,8 +124,6 @@ def _check_names(df: DataFrame, cutpoints: DataFrame, group_cols: tuple[str, ...
             raise ValueError(f"cannot group by {name}: the name is reserved")
         if name not in df.columns and name not in cutpoints.columns:
             raise ValueError(f"no grouping column {name} in the cases or the cut dates")
-    if len(set(group_cols)) != len(group_cols):
-        raise ValueError("a grouping column is named twice")
 
 
 def _changes(
@@ -214,6 +212,7 @@ def backlog(
     Building the plan runs one small job for the size of the cut-date list,
     which decides whether that list is broadcast.
     """
+    group_cols = tuple(dict.fromkeys(group_cols))
     _check_names(df, cutpoints, group_cols)
     progress = progress or {}
 
@@ -250,24 +249,23 @@ def backlog(
     )
     if extent.dates == 0:
         # No date at all, or only missing ones: every group counts zero there.
-        calendar, numbered = None, None
-        nth = cuts.withColumn("nth", F.lit(0))
-        changes = cases.select(*labels).distinct().withColumn("nth", F.lit(0)).withColumn("change", F.lit(0).cast("bigint"))
+        cuts = cuts.withColumn("nth", F.lit(0))
+        nothing = F.lit(0).cast("bigint")
+        changes = cases.select(*labels).distinct().withColumns({"nth": F.lit(0), "change": nothing})
     else:
         numbered = _numbered(cutpoints)
-        calendar = _calendar(numbered, extent)
-        nth = (
+        cuts = (
             cuts.join(_bounded(numbered, extent.dates <= BROADCAST_ROWS), _timestamp("cut") == F.col("at"), "left")
             .withColumn("nth", F.coalesce("nth", F.lit(0)))
             .drop("at")
         )
-        changes = _changes(cases, labels, calendar, extent, strict)
+        changes = _changes(cases, labels, _calendar(numbered, extent), extent, strict)
     changes = watch("changes", changes)
 
     if shared:
-        at_cuts = _matching_cuts(changes, labels, keys, nth)
+        at_cuts = _matching_cuts(changes, labels, keys, cuts)
     else:
-        at_cuts = _every_cut(changes, labels, nth, extent)
+        at_cuts = _every_cut(changes, labels, cuts, extent)
 
     names = dict(zip(shared + own, labels)) | dict(zip(of_cut, extra))
     groups = [F.col(names[c]).alias(c) for c in group_cols]

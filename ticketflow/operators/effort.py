@@ -26,10 +26,11 @@ def _fte(worktime: DataFrame, breakdown: str, team: bool, hours_per_fte: float)
     groups = [breakdown] + (["USERORG_WORKTIMESHEET"] if team else [])
     if team:
         worktime = worktime.withColumnRenamed("userorg_worktimesheet", "USERORG_WORKTIMESHEET")
-    booked = F.when(F.col("hours_worktimesheet").isNotNull(), F.col("oid"))
-    totals = worktime.groupBy("targetmonth", *groups).agg(
-        (F.sum("hours_worktimesheet") / F.lit(float(hours_per_fte))).alias("FTE"),
-        F.countDistinct(booked).alias("_tickets"),
+    # One row per ticket and group first: rows that come from a join on the ticket need no shuffle
+    # for it, and tickets can then be counted without a distinct.
+    tickets = worktime.groupBy("oid", "targetmonth", *groups).agg(F.sum("hours_worktimesheet").alias("_hours"))
+    totals = tickets.groupBy("targetmonth", *groups).agg(
+        (F.sum("_hours") / F.lit(float(hours_per_fte))).alias("FTE"), F.count("_hours").alias("_tickets")
     )
     return totals.select(
         month_label(F.col("targetmonth")).alias("MONTH_WORKTIMESHEET"),

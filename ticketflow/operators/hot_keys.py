@@ -9,50 +9,52 @@ from pyspark.sql import functions as F
 HOT_ROWS = 2_000_000
 
 
+def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Keys with over `hot_rows` rows, and into how many parts to split each.
+
+    The result has at most rows(df) / hot_rows rows, whatever the keys are;
+    that is what bounds its broadcast. Only the key column is read, and counts
+    are summed on the map side.
+    """
+    counted = df.groupBy(F.col(key).alias("hot_key")).agg(F.count(F.lit(1)).alias("rows"))
+    return counted.filter((F.col("rows") > hot_rows) & F.col("hot_key").isNotNull()).select(
+        "hot_key", F.ceil(F.col("rows") / F.lit(hot_rows)).cast("int").alias("parts")
+    )
+
+
 def join_spreading_hot_keys(
     large: DataFrame,
     single: DataFrame,
     large_key: str,
     single_key: str,
     spread_by: list[str],
-    counted: str,
+    hot: DataFrame,
     how: str = "inner",
     where: Column | None = None,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Join `large` to `single`, splitting every key with over `hot_rows` rows.
-
-    `single` holds about one row per key (a ticket, a ticket's first dates).
-    A key with n rows in `large` is cut into ceil(n / hot_rows) parts by a hash
-    of the `spread_by` columns, and only that key's row in `single` is repeated
-    once per part. Each row of `large` meets exactly one copy, which keeps
-    inner, left, semi and anti joins exact.
-
-    The list of hot keys has at most rows(large) / hot_rows entries, which is
-    what bounds the two broadcasts. `counted` names a column of `large` whose
-    non-null values are counted to find them; counting the aggregated column
-    of a grouped input lets Spark reuse that input's shuffle, so `large` is
-    not computed twice.
+    """Join `large` to `single`, splitting the keys listed in `hot`.
+
+    `single` holds about one row per key (a ticket, a ticket's first dates). A
+    hot key's rows in `large` are cut into parts by a hash of the `spread_by`
+    columns, and only that key's row in `single` is repeated once per part.
+    Each row of `large` meets exactly one copy, which keeps inner, left, semi
+    and anti joins exact for any list of hot keys.
+
+    Adaptive execution drops both joins with `hot` when the list is empty.
     """
-    hot = (
-        large.groupBy(F.col(large_key).alias("_hot_key"))
-        .agg(F.count(counted).alias("_rows"))
-        .filter((F.col("_rows") > hot_rows) & F.col("_hot_key").isNotNull())
-        .select("_hot_key", F.ceil(F.col("_rows") / F.lit(hot_rows)).cast("int").alias("_parts"))
-    )
-    part = F.coalesce(F.pmod(F.xxhash64(*spread_by), F.col("_parts")).cast("int"), F.lit(0))
+    part = F.coalesce(F.pmod(F.xxhash64(*spread_by), F.col("parts")).cast("int"), F.lit(0))
     split = (
-        large.join(F.broadcast(hot), F.col(large_key) == F.col("_hot_key"), "left")
-        .withColumn("_part", part)
-        .drop("_hot_key", "_parts")
+        large.join(F.broadcast(hot), F.col(large_key) == F.col("hot_key"), "left")
+        .withColumn("part", part)
+        .drop("hot_key", "parts")
     )
-    copies = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_parts") - 1, F.lit(0))))
+    copies = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("parts") - 1, F.lit(0))))
     repeated = (
-        single.join(F.broadcast(hot), F.col(single_key) == F.col("_hot_key"), "left")
-        .withColumn("_copy", copies)
-        .drop("_hot_key", "_parts")
+        single.join(F.broadcast(hot), F.col(single_key) == F.col("hot_key"), "left")
+        .withColumn("copy", copies)
+        .drop("hot_key", "parts")
     )
-    on = (F.col(large_key) == F.col(single_key)) & (F.col("_part") == F.col("_copy"))
+    on = (F.col(large_key) == F.col(single_key)) & (F.col("part") == F.col("copy"))
     if where is not None:
         on = on & where
-    return split.join(repeated, on, how).drop("_part", "_copy")
+    return split.join(repeated, on, how).drop("part", "copy")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ticketflow.operators.hot_keys import HOT_ROWS, join_spreading_hot_keys
+from ticketflow.operators.hot_keys import hot_keys, join_spreading_hot_keys
 from ticketflow.operators.worktime import DAILY_KEYS
 
 
@@ -39,35 +39,26 @@ def phase_of(targetday: Column, first_demand: Column, first_release: Column) ->
     )
 
 
-def label_phase(worktime: DataFrame, milestones: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Any table with `oid` and `targetday`, plus its `phase`."""
+def label_phase(worktime: DataFrame, milestones: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+    """Any table with `oid` and the daily keys, plus its `phase`.
+
+    `hot` lists tickets to split over several tasks, see `hot_keys`.
+    """
+    hot = hot_keys(worktime, "oid") if hot is None else hot
     joined = join_spreading_hot_keys(
-        worktime,
-        first_milestones(milestones),
-        "oid",
-        "milestone_oid",
-        list(DAILY_KEYS),
-        "hours_worktimesheet",
-        "left",
-        hot_rows=hot_rows,
+        worktime, first_milestones(milestones), "oid", "milestone_oid", list(DAILY_KEYS), hot, "left"
     )
     phase = phase_of(F.col("targetday"), F.col("first_demand"), F.col("first_release"))
     return joined.select(*worktime.columns, phase.alias("phase"))
 
 
-def released(worktime: DataFrame, milestones: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def released(worktime: DataFrame, milestones: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """Rows for which a release had started by that day (a semi-join)."""
     first = first_milestones(milestones).filter(F.col("first_release").isNotNull())
+    hot = hot_keys(worktime, "oid") if hot is None else hot
+    started = F.col("targetday") >= F.col("first_release")
     return join_spreading_hot_keys(
-        worktime,
-        first,
-        "oid",
-        "milestone_oid",
-        list(DAILY_KEYS),
-        "hours_worktimesheet",
-        "left_semi",
-        where=F.col("targetday") >= F.col("first_release"),
-        hot_rows=hot_rows,
+        worktime, first, "oid", "milestone_oid", list(DAILY_KEYS), hot, "left_semi", where=started
     )
 
 

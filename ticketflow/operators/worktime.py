@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ticketflow.functions.calendar import day, month
-from ticketflow.operators.hot_keys import HOT_ROWS, join_spreading_hot_keys
+from ticketflow.operators.hot_keys import hot_keys, join_spreading_hot_keys
 from ticketflow.sources.tables import blank_to_null
 
 DAILY_KEYS = ("user_worktimesheet", "userorg_worktimesheet", "actiontypegroup", "targetday")
@@ -69,12 +69,15 @@ def daily_hours(named: DataFrame) -> DataFrame:
     return sum_hours(with_targetday(named), *DAILY_KEYS)
 
 
-def join_tickets(daily: DataFrame, tickets: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """All ticket columns, then the daily sums; tickets without bookings drop out."""
+def join_tickets(daily: DataFrame, tickets: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+    """All ticket columns, then the daily sums; tickets without bookings drop out.
+
+    `hot` lists issues to split over several tasks, see `hot_keys`. Counting
+    them in the raw bookings is cheaper than counting the daily sums.
+    """
     booked = daily.filter(F.col("issue").isNotNull())
-    joined = join_spreading_hot_keys(
-        booked, tickets, "issue", "oid", list(DAILY_KEYS), "hours_worktimesheet", hot_rows=hot_rows
-    )
+    hot = hot_keys(booked, "issue") if hot is None else hot
+    joined = join_spreading_hot_keys(booked, tickets, "issue", "oid", list(DAILY_KEYS), hot)
     return joined.select(*tickets.columns, *daily.columns)
 
 

@@ -10,7 +10,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketflow.operators.hot_keys import HOT_ROWS
+from ticketflow.operators.hot_keys import HOT_ROWS, hot_keys
 from ticketflow.operators.phases import phase_of, with_milestones
 from ticketflow.operators.worktime import (
     daily_hours,
@@ -45,19 +45,26 @@ def named_work(bookings: DataFrame, users: DataFrame, organizations: DataFrame,
     return with_names(work_only(bookings), users, organizations, groups)
 
 
-def worktime_by_ticket(named: DataFrame, tickets: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Ticket columns with daily booked time."""
-    return join_tickets(daily_hours(named), tickets, hot_rows)
+def hot_issues(bookings: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Issues with so many work bookings that their rows are split over several tasks."""
+    return hot_keys(work_only(bookings), "issue", hot_rows)
 
 
-def booked_time(named: DataFrame, tickets: DataFrame, milestones: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def worktime_by_ticket(named: DataFrame, tickets: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+    """Ticket columns with daily booked time; `hot` lists busy issues, see `hot_issues`."""
+    return join_tickets(daily_hours(named), tickets, hot)
+
+
+def booked_time(
+    named: DataFrame, tickets: DataFrame, milestones: DataFrame, hot: DataFrame | None = None
+) -> DataFrame:
     """The booked-time table with its phase.
 
     The milestones meet the tickets first, one row per ticket on both sides, so
     the long table of daily sums is shuffled for a single join.
     """
     daily = daily_hours(named)
-    joined = join_tickets(daily, with_milestones(tickets, milestones), hot_rows)
+    joined = join_tickets(daily, with_milestones(tickets, milestones), hot)
     phase = phase_of(F.col("targetday"), F.col("first_demand"), F.col("first_release"))
     return joined.select(*tickets.columns, *daily.columns, phase.alias("phase"))
 

@@ -30,7 +30,8 @@ def _cuts(spark: SparkSession) -> DataFrame:
 
 
 def _worktime(spark: SparkSession, base: str, team: bool = True) -> DataFrame:
-    return bt.worktime_by_ticket(views.named_work(spark, base), views.tickets(spark, base, team))
+    hot = bt.hot_issues(views.worktimesheet(spark, base))
+    return bt.worktime_by_ticket(views.named_work(spark, base), views.tickets(spark, base, team), hot)
 
 
 def _cases(spark: SparkSession, base: str, team: bool = False) -> DataFrame:
@@ -132,12 +133,14 @@ def worktime_sorted(spark: SparkSession, base: str) -> DataFrame:
 
 def phase_label(spark: SparkSession, base: str) -> DataFrame:
     tickets, milestones = views.tickets(spark, base), views.dev_milestones(spark, base)
-    return bt.booked_time(views.named_work(spark, base), tickets, milestones)
+    hot = bt.hot_issues(views.worktimesheet(spark, base))
+    return bt.booked_time(views.named_work(spark, base), tickets, milestones, hot)
 
 
 def phase_label_stored(spark: SparkSession, base: str) -> DataFrame:
     """The label added to an existing table of booked time."""
-    return phases.label_phase(_worktime(spark, base, team=False), views.dev_milestones(spark, base))
+    hot = bt.hot_issues(views.worktimesheet(spark, base))
+    return phases.label_phase(_worktime(spark, base, team=False), views.dev_milestones(spark, base), hot)
 
 
 def phase_unlabelled(spark: SparkSession, base: str) -> DataFrame:
@@ -145,7 +148,8 @@ def phase_unlabelled(spark: SparkSession, base: str) -> DataFrame:
 
 
 def phase_release_semi(spark: SparkSession, base: str) -> DataFrame:
-    return phases.released(_worktime(spark, base, team=False), views.dev_milestones(spark, base))
+    hot = bt.hot_issues(views.worktimesheet(spark, base))
+    return phases.released(_worktime(spark, base, team=False), views.dev_milestones(spark, base), hot)
 
 
 # Backlog

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 
 from ticketflow.operators import conformance, effort, flow, leaderboard, worktime
-from ticketflow.plans.booked_time import Inputs, booked_time, named_work
+from ticketflow.plans.booked_time import Inputs, booked_time, hot_issues, named_work
 from ticketflow.sources.reports import read_report, write_report
 from ticketflow.sources.sinks import full_refresh, scratch_folder
 
@@ -34,7 +34,7 @@ def publish(inputs: Inputs, folder: str, cutpoints: DataFrame, as_of: dt.date) -
         inputs.worktimesheet, inputs.permissionpolicyuser, inputs.organization, inputs.actiontypegroup
     )
     time = stored(
-        booked_time(named, tickets, inputs.dev_milestones),
+        booked_time(named, tickets, inputs.dev_milestones, hot_issues(inputs.worktimesheet)),
         f"{folder}/t_isd_worktimesheet.parquet",
         ("oid", "targetday"),
     )
