@@ -216,3 +216,20 @@ def test_changes_are_summed_before_the_first_shuffle(spark):
     text = plan(backlog(df, _cuts(spark, ["2020-01-05", "2020-01-20"]), "TICKET"))
     assert "partial_sum(change" in text
     assert "CartesianProduct" not in text and "NestedLoop" not in text
+
+
+def test_shared_columns_scan_the_cases_once(spark, conf, tmp_path):
+    conf("spark.sql.adaptive.enabled", "false")
+    spark.createDataFrame(_random_cases(6, 50, [0]), CASES).write.parquet(f"{tmp_path}/cases")
+    cuts = spark.createDataFrame([(day("2020-01-05"), "DEV"), (day("2020-01-20"), None)], "CUTPOINT date, TICKET string")
+    text = plan(backlog(spark.read.parquet(f"{tmp_path}/cases"), cuts, "TEAM"))
+    assert text.count("FileScan") == 1 and "ReusedExchange" in text
+
+
+def test_progress_with_shared_columns(spark):
+    df = spark.createDataFrame(_random_cases(4, 50, [0]), CASES)
+    cuts = spark.createDataFrame([(day("2020-01-05"), "DEV"), (day("2020-01-20"), None)], "CUTPOINT date, TICKET string")
+    seen = {step: Observation(step) for step in module.STEPS}
+    result = backlog(df, cuts, "TICKET", progress=seen).collect()
+    assert seen["cases"].get == {"rows": 50}
+    assert seen["backlog"].get == {"rows": len(result)} == {"rows": 2}

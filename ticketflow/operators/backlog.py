@@ -173,20 +173,23 @@ def _every_cut(changes: DataFrame, labels: list[str], cuts: DataFrame, extent: _
     return totals.join(_bounded(cuts, extent.rows <= BROADCAST_ROWS), "nth")
 
 
-def _matching_cuts(changes: DataFrame, labels: list[str], keys: list[str], cuts: DataFrame) -> DataFrame:
+def _matching_cuts(
+    changes: DataFrame, totals: DataFrame, labels: list[str], keys: list[str], cuts: DataFrame
+) -> DataFrame:
     """Each group at the cut dates of its own keys, NULL meeting NULL.
 
-    The equi-join makes the result rows and no others; they then take part in
-    the running total as rows without a change.
+    `totals` holds each group's sum of all changes: what is open after the last
+    cut date. The equi-join with the cut dates makes the result rows and no
+    others; what is open at one of them is the total less the later changes.
     """
     cut_keys = [f"cut_{k}" for k in keys]
     keyed = cuts.withColumnsRenamed(dict(zip(keys, cut_keys)))
-    groups = changes.select(*labels).distinct()
     on = [F.col(k).eqNullSafe(F.col(c)) for k, c in zip(keys, cut_keys)]
-    wanted = groups.join(keyed, on).drop(*cut_keys).withColumn("change", F.lit(0).cast("bigint"))
+    wanted = totals.join(keyed, on).drop(*cut_keys)
     line = wanted.unionByName(changes, allowMissingColumns=True)
-    so_far = Window.partitionBy(*labels).orderBy("nth").rangeBetween(Window.unboundedPreceding, 0)
-    return line.withColumn("running_total", F.sum("change").over(so_far)).filter(F.col("times").isNotNull())
+    later = Window.partitionBy(*labels).orderBy(F.col("nth").desc()).rangeBetween(Window.unboundedPreceding, -1)
+    open_then = F.col("total") - F.coalesce(F.sum("change").over(later), F.lit(0))
+    return line.withColumn("running_total", open_then).filter(F.col("times").isNotNull())
 
 
 def backlog(
@@ -260,12 +263,13 @@ def backlog(
             .drop("at")
         )
         changes = _changes(cases, labels, _calendar(numbered, extent), extent, strict)
-    changes = watch("changes", changes)
 
     if shared:
-        at_cuts = _matching_cuts(changes, labels, keys, cuts)
+        # The totals need the same sums as the changes, so both come from one shuffle and one scan.
+        totals = changes.groupBy(*labels).agg(F.sum("change").alias("total"))
+        at_cuts = _matching_cuts(watch("changes", changes), totals, labels, keys, cuts)
     else:
-        at_cuts = _every_cut(changes, labels, cuts, extent)
+        at_cuts = _every_cut(watch("changes", changes), labels, cuts, extent)
 
     names = dict(zip(shared + own, labels)) | dict(zip(of_cut, extra))
     groups = [F.col(names[c]).alias(c) for c in group_cols]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ticketflow.functions.calendar import month, month_label
@@ -53,19 +53,17 @@ def conformance_count(detail: DataFrame) -> DataFrame:
 def conformance_cumulative(counts: DataFrame) -> DataFrame:
     """Counts and running counts for every month between the first and the last.
 
-    Months are numbered; a class and flag holds at most one row per month.
+    Months are numbered; a class and flag holds at most one row per month, so
+    the window that finds the first and last month sees a few hundred rows.
+    Looking them up in the tickets would scan those once more.
     """
     first_day = F.to_date("CREATED_MONTH", "yyyy-MM")
     number = (F.year(first_day) * 12 + F.month(first_day) - 1).alias("_month")
     counts = counts.select(number, "TICKET", "CONFORM", "COUNT").filter(F.col("_month").isNotNull())
-    bounds = counts.agg(F.min("_month").alias("first"), F.max("_month").alias("last"))
+    everything = Window.partitionBy()
+    bounds = {"_first": F.min("_month").over(everything), "_last": F.max("_month").over(everything)}
     total = dense_running_total(
-        counts,
-        ["TICKET", "CONFORM"],
-        "_month",
-        "COUNT",
-        first=bounds.select("first").scalar(),
-        last=bounds.select("last").scalar(),
+        counts.withColumns(bounds), ["TICKET", "CONFORM"], "_month", "COUNT", F.col("_first"), F.col("_last")
     )
     first_day = F.make_date(F.floor(F.col("_month") / 12).cast("int"), F.col("_month") % 12 + 1, F.lit(1))
     return total.select(

@@ -12,22 +12,23 @@ def dense_running_total(
     """Amount and running total per key at every position from first to last.
 
     `df` holds one row per key and occupied position (an integer between first
-    and last). Each row is repeated up to the next occupied position, so the
-    gaps cost no join and no shuffle; the positions before a key's first row
-    get a zero total. The window sorts at most (last - first + 1) rows per key.
+    and last, which may be columns of `df`). Each row is repeated up to the
+    next occupied position, so the gaps cost no join and no shuffle; the
+    positions before a key's first row get a zero total. The window sorts at
+    most (last - first + 1) rows per key.
     """
     by_position = Window.partitionBy(*keys).orderBy(position)
+    begin = F.when(F.row_number().over(by_position) == 1, first).otherwise(F.col(position))
+    end = F.coalesce(F.lead(position).over(by_position) - 1, last)
     runs = df.select(
         *keys,
         position,
         amount,
         F.sum(amount).over(by_position.rowsBetween(Window.unboundedPreceding, 0)).alias("_total"),
-        F.lead(position).over(by_position).alias("_next"),
-        F.row_number().over(by_position).alias("_nth"),
+        begin.alias("_begin"),
+        end.alias("_end"),
     )
-    begin = F.when(F.col("_nth") == 1, first).otherwise(F.col(position))
-    end = F.coalesce(F.col("_next") - 1, last)
-    filled = runs.withColumn("_at", F.explode(F.sequence(begin, end)))
+    filled = runs.withColumn("_at", F.explode(F.sequence("_begin", "_end")))
     zero = F.lit(0).cast("bigint")
     return filled.select(
         *keys,
