@@ -19,7 +19,8 @@ TABLES = (
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     shared = str(tmp_path_factory.mktemp("shared"))
-    session = build_session("local[4]", 4, app="ticketflow-tests", options={"spark.checkpoint.dir": shared})
+    options = {"spark.checkpoint.dir": shared, "spark.sql.warehouse.dir": f"{shared}/warehouse"}
+    session = build_session("local[4]", 4, app="ticketflow-tests", options=options)
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -7,9 +7,9 @@ from pyspark.sql import types as T
 
 from ticketflow import session
 from ticketflow.functions.calendar import month_starts
-from ticketflow.plans import queries, views
+from ticketflow.plans import booked_time, queries, views
 from ticketflow.plans.reports import publish
-from ticketflow.sources import reports, sinks
+from ticketflow.sources import reports, sinks, tables
 
 
 def test_csv_text(spark, tmp_path):
@@ -57,6 +57,20 @@ def test_failed_refresh_keeps_the_old_table(spark, tmp_path):
     assert spark.read.parquet(path).count() == 3
 
 
+def test_catalog_tables(spark):
+    spark.sql("CREATE DATABASE stage")
+    try:
+        for rows_now in (5, 2):
+            sinks.full_refresh_table(spark.range(rows_now), "stage.t", sort_by=("id",))
+            assert tables.catalog_table(spark, "t", "stage").count() == rows_now
+        for name, schema in tables.SCHEMAS.items():
+            sinks.full_refresh_table(spark.createDataFrame([], schema), f"stage.{name}")
+        inputs = booked_time.catalog_inputs(spark, "stage")
+        assert inputs.dev_milestones.schema == tables.DEV_MILESTONES
+    finally:
+        spark.sql("DROP DATABASE stage CASCADE")
+
+
 def test_scratch_folder_follows_the_session(spark):
     shared = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     first, second = sinks.scratch_folder(spark), sinks.scratch_folder(spark)

@@ -21,7 +21,7 @@ from ticketflow.operators.worktime import (
     with_targetmonth,
     work_only,
 )
-from ticketflow.sources.tables import SCHEMAS, read_table
+from ticketflow.sources.tables import SCHEMAS, catalog_table, read_table
 
 
 @dataclass(frozen=True)
@@ -41,6 +41,11 @@ def read_inputs(spark: SparkSession, base: str) -> Inputs:
     return Inputs(**{name: read_table(spark, base, name) for name in SCHEMAS})
 
 
+def catalog_inputs(spark: SparkSession, schema: str | None = None) -> Inputs:
+    """The six input tables of a catalog schema."""
+    return Inputs(**{name: catalog_table(spark, name, schema) for name in SCHEMAS})
+
+
 def named_work(bookings: DataFrame, users: DataFrame, organizations: DataFrame, groups: DataFrame) -> DataFrame:
     return with_names(work_only(bookings), users, organizations, groups)
 

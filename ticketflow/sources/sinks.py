@@ -29,6 +29,13 @@ def full_refresh(df: DataFrame, path: str, sort_by: tuple[str, ...] = ()) -> Non
         raise OSError(f"could not move {staging} to {path}")
 
 
+def full_refresh_table(df: DataFrame, name: str, sort_by: tuple[str, ...] = ()) -> None:
+    """Replace a table of the catalog by the rows of `df`, whether or not it exists yet."""
+    if sort_by:
+        df = df.sortWithinPartitions(*sort_by)
+    df.write.mode("overwrite").format("parquet").saveAsTable(name)
+
+
 def scratch_folder(spark: SparkSession) -> str:
     """A new folder name on storage all executors share.
 

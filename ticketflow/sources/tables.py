@@ -57,6 +57,11 @@ def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{base}/{name}.parquet")
 
 
+def catalog_table(spark: SparkSession, name: str, schema: str | None = None) -> DataFrame:
+    """A table of the catalog, with its schema as prefix if it has one."""
+    return spark.table(f"{schema}.{name}" if schema else name)
+
+
 def blank_to_null(text: Column) -> Column:
     """An empty string is a missing value."""
     return F.nullif(text, F.lit(""))
