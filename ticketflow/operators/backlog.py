@@ -72,30 +72,35 @@ def _timestamp(name: str) -> Column:
     return F.col(name).cast("timestamp_ntz")
 
 
-def _numbered(cutpoints: DataFrame) -> DataFrame:
-    """Distinct cut dates `at` with their number 1..n, in order."""
-    at = cutpoints.select(_timestamp("CUTPOINT").alias("at")).filter(F.col("at").isNotNull()).distinct()
-    return at.withColumn("nth", F.row_number().over(Window.orderBy("at")))
-
-
-def _calendar(numbered: DataFrame, extent: _Extent) -> DataFrame:
+def _calendar(cutpoints: DataFrame, extent: _Extent) -> DataFrame:
     """Every day from the first to the last cut date.
 
-    `before` is the number of cut dates on earlier days, `times` holds the cut
-    dates of the day itself (one timestamp, or an array where days have more).
+    `before` is the number of distinct cut dates on earlier days, `times` holds
+    the cut dates of the day itself (one timestamp, or an array where days have
+    more). The window that counts up sees one row per day, whatever the length
+    of the list.
     """
     times = F.max("at") if extent.most_per_day <= 1 else F.sort_array(F.collect_list("at"))
-    by_day = numbered.groupBy(F.to_date("at").alias("day")).agg(
-        F.min("nth").alias("lowest"), F.max("nth").alias("highest"), times.alias("times")
-    )
-    next_day = F.lead("day", 1, extent.last_day + dt.timedelta(days=1)).over(Window.orderBy("day"))
-    spread = by_day.withColumn("next_day", next_day).withColumn(
-        "calendar_day", F.explode(F.sequence("day", F.date_sub("next_day", 1)))
+    in_order = Window.orderBy("day")
+    days = (
+        cutpoints.select(_timestamp("CUTPOINT").alias("at"))
+        .filter(F.col("at").isNotNull())
+        .distinct()
+        .groupBy(F.to_date("at").alias("day"))
+        .agg(F.count(F.lit(1)).alias("dates"), times.alias("times"))
+        .select(
+            "day",
+            "times",
+            F.sum("dates").over(in_order).alias("so_far"),
+            (F.sum("dates").over(in_order) - F.col("dates")).alias("earlier"),
+            F.lead("day", 1, extent.last_day + dt.timedelta(days=1)).over(in_order).alias("next_day"),
+        )
     )
+    spread = days.withColumn("calendar_day", F.explode(F.sequence("day", F.date_sub("next_day", 1))))
     has_cut = F.col("calendar_day") == F.col("day")
     return spread.select(
         "calendar_day",
-        F.when(has_cut, F.col("lowest") - 1).otherwise(F.col("highest")).alias("before"),
+        F.when(has_cut, F.col("earlier")).otherwise(F.col("so_far")).alias("before"),
         F.when(has_cut, F.col("times")).alias("times"),
     )
 
@@ -126,6 +131,18 @@ def _check_names(df: DataFrame, cutpoints: DataFrame, group_cols: tuple[str, ...
             raise ValueError(f"no grouping column {name} in the cases or the cut dates")
 
 
+def _with_number(cuts: DataFrame, calendar: DataFrame, extent: _Extent) -> DataFrame:
+    """Cut dates with their number `nth`: 1..n in order, 0 for a missing one."""
+    at = _timestamp("cut")
+    of_day = calendar.toDF("cut_day", "cut_before", "cut_times")
+    number = F.col("cut_before") + _passed(F.col("cut_times"), at, True, extent)
+    return (
+        cuts.join(_bounded(of_day, extent.days <= BROADCAST_ROWS), F.to_date(at) == F.col("cut_day"), "left")
+        .withColumn("nth", F.coalesce(number, F.lit(0)).cast("int"))
+        .drop("cut_day", "cut_before", "cut_times")
+    )
+
+
 def _changes(
     cases: DataFrame, labels: list[str], calendar: DataFrame, extent: _Extent, strict: bool
 ) -> DataFrame:
@@ -256,13 +273,9 @@ def backlog(
         nothing = F.lit(0).cast("bigint")
         changes = cases.select(*labels).distinct().withColumns({"nth": F.lit(0), "change": nothing})
     else:
-        numbered = _numbered(cutpoints)
-        cuts = (
-            cuts.join(_bounded(numbered, extent.dates <= BROADCAST_ROWS), _timestamp("cut") == F.col("at"), "left")
-            .withColumn("nth", F.coalesce("nth", F.lit(0)))
-            .drop("at")
-        )
-        changes = _changes(cases, labels, _calendar(numbered, extent), extent, strict)
+        calendar = _calendar(cutpoints, extent)
+        cuts = _with_number(cuts, calendar, extent)
+        changes = _changes(cases, labels, calendar, extent, strict)
 
     if shared:
         # The totals need the same sums as the changes, so both come from one shuffle and one scan.
