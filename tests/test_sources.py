@@ -102,4 +102,4 @@ def test_publish_writes_every_report(spark, tmp_path):
 
 def test_shuffle_partitions():
     assert session.shuffle_partitions(0, 8) == 8
-    assert session.shuffle_partitions(10 * 1024**4, 8) == 81920
+    assert session.shuffle_partitions(10 * 1024**4, 8) == 163840

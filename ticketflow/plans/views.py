@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketflow.plans import booked_time as bt
@@ -29,76 +29,53 @@ def _star(spark: SparkSession, base: str, name: str) -> DataFrame:
     return spark.read.schema(STAR[name]).parquet(f"{base}/{name}.parquet")
 
 
-def _days(n: Column) -> Column:
-    return F.make_dt_interval(n.cast("int"))
-
-
-def _hours(n: Column) -> Column:
-    return F.make_dt_interval(F.lit(0), n.cast("int"))
-
-
 def tickets(spark: SparkSession, base: str, team: bool = True) -> DataFrame:
     """Tickets; without `team` the app group and the join that fetches it are left out.
 
     Every order has its customer, so that join changes no row count.
     """
     orders = _star(spark, base, "orders")
-    priority = F.col("o_orderpriority")
-    ticket_type = (
-        F.when(priority == "1-URGENT", "DEV")
-        .when(priority == "2-HIGH", "DEV-VIP")
-        .when(priority == "3-MEDIUM", "SDEV")
-        .when(priority == "4-NOT SPECIFIED", "RFC")
-        .when(priority == "5-LOW", "INC")
-    )
-    closed = F.when(F.col("o_orderstatus") == "F", F.col("o_orderdate") + _days(F.col("o_orderkey") % 97))
     if team:
         customers = _star(spark, base, "customer").select("c_custkey", "c_mktsegment")
         orders = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
-    return orders.select(
-        F.col("o_orderkey").alias("oid"),
-        ticket_type.alias("ticket_type"),
-        *([F.col("c_mktsegment").alias("appgroup")] if team else []),
-        F.col("o_orderdate").alias("created"),
-        closed.alias("closed"),
+    return orders.selectExpr(
+        "o_orderkey AS oid",
+        """CASE o_orderpriority WHEN '1-URGENT' THEN 'DEV' WHEN '2-HIGH' THEN 'DEV-VIP' WHEN '3-MEDIUM' THEN 'SDEV'
+             WHEN '4-NOT SPECIFIED' THEN 'RFC' WHEN '5-LOW' THEN 'INC' END AS ticket_type""",
+        *(["c_mktsegment AS appgroup"] if team else []),
+        "o_orderdate AS created",
+        """CASE WHEN o_orderstatus = 'F'
+             THEN o_orderdate + make_dt_interval(CAST(o_orderkey % 97 AS INT)) END AS closed""",
     )
 
 
 def worktimesheet(spark: SparkSession, base: str) -> DataFrame:
-    line, order = F.col("l_linenumber"), F.col("l_orderkey")
-    start = F.to_timestamp_ntz(F.lit("1995-01-01 00:00:00"))
-    return _star(spark, base, "lineitem").select(
-        order.alias("issue"),
-        F.when(line != 7, F.col("l_suppkey") % 4).alias("owner"),
-        (F.lit(4) + F.col("l_partkey") % 2).alias("actiontypegroup"),
-        (start + _days(order % 2400 + line % 2) + _hours(line)).alias("startdate"),
-        F.col("l_quantity").alias("hours"),
-        F.when(line == 6, F.lit(None).cast("string"))
-        .when(F.col("l_returnflag") == "A", "TravelTime")
-        .otherwise("WorkTime")
-        .alias("timetype"),
+    return _star(spark, base, "lineitem").selectExpr(
+        "l_orderkey AS issue",
+        "CASE WHEN l_linenumber <> 7 THEN l_suppkey % 4 END AS owner",
+        "4 + l_partkey % 2 AS actiontypegroup",
+        """TIMESTAMP_NTZ '1995-01-01' + make_dt_interval(CAST(l_orderkey % 2400 + l_linenumber % 2 AS INT), l_linenumber)
+             AS startdate""",
+        "l_quantity AS hours",
+        """CASE WHEN l_linenumber = 6 THEN NULL WHEN l_returnflag = 'A' THEN 'TravelTime' ELSE 'WorkTime' END
+             AS timetype""",
     )
 
 
 def permissionpolicyuser(spark: SparkSession, base: str) -> DataFrame:
-    key = F.col("s_suppkey")
-    return _star(spark, base, "supplier").select(
-        key.alias("oid"),
-        F.concat(F.lit("User#"), (key % 2).cast("string")).alias("name"),
-        F.when(key % 10 != 0, key % 2).alias("defaultorganization"),
+    return _star(spark, base, "supplier").selectExpr(
+        "s_suppkey AS oid",
+        "'User#' || s_suppkey % 2 AS name",
+        "CASE WHEN s_suppkey % 10 <> 0 THEN s_suppkey % 2 END AS defaultorganization",
     )
 
 
 def organization(spark: SparkSession, base: str) -> DataFrame:
-    return _star(spark, base, "nation").select(
-        F.col("n_nationkey").cast("bigint").alias("oid"), F.col("n_name").alias("name")
-    )
+    return _star(spark, base, "nation").selectExpr("CAST(n_nationkey AS BIGINT) AS oid", "n_name AS name")
 
 
 def actiontypegroup(spark: SparkSession, base: str) -> DataFrame:
-    return _star(spark, base, "region").select(
-        F.col("r_regionkey").cast("bigint").alias("oid"), F.col("r_name").alias("name")
-    )
+    return _star(spark, base, "region").selectExpr("CAST(r_regionkey AS BIGINT) AS oid", "r_name AS name")
 
 
 def dev_milestones(spark: SparkSession, base: str) -> DataFrame:
@@ -106,20 +83,18 @@ def dev_milestones(spark: SparkSession, base: str) -> DataFrame:
 
     Both rows come from one scan: an order explodes into its one or two.
     """
-    key, date = F.col("o_orderkey"), F.col("o_orderdate")
-    first = F.struct(
-        F.when(key % 4 != 0, date + _days(key % 50) + _hours(F.lit(9))).alias("demand_start"),
-        F.when(key % 3 == 0, date + _days(F.lit(200) + key % 30)).alias("release_start"),
-    )
-    second = F.struct(
-        (date + _days(F.lit(30))).alias("demand_start"), F.lit(None).cast("timestamp_ntz").alias("release_start")
-    )
-    rows = F.when(key % 11 == 0, F.array(first, second)).otherwise(F.array(first))
+    first = """named_struct(
+      'demand_start', CASE WHEN o_orderkey % 4 <> 0
+                        THEN o_orderdate + make_dt_interval(CAST(o_orderkey % 50 AS INT), 9) END,
+      'release_start', CASE WHEN o_orderkey % 3 = 0
+                         THEN o_orderdate + make_dt_interval(CAST(200 + o_orderkey % 30 AS INT)) END)"""
+    second = """named_struct('demand_start', o_orderdate + make_dt_interval(30),
+                             'release_start', CAST(NULL AS TIMESTAMP_NTZ))"""
+    rows = f"CASE WHEN o_orderkey % 11 = 0 THEN array({first}, {second}) ELSE array({first}) END"
     return (
         _star(spark, base, "orders")
-        .filter(key % 13 != 0)
-        .select(key.alias("oid"), F.explode(rows).alias("m"))
-        .select("oid", "m.demand_start", "m.release_start")
+        .filter("o_orderkey % 13 <> 0")
+        .selectExpr("o_orderkey AS oid", f"inline({rows})")
     )
 
 
