@@ -55,6 +55,7 @@ def test_failed_refresh_keeps_the_old_table(spark, tmp_path):
     with pytest.raises(Exception, match="broken"):
         sinks.full_refresh(spark.range(3).selectExpr("if(id = 1, raise_error('broken'), id) AS id"), path)
     assert spark.read.parquet(path).count() == 3
+    assert [p.name for p in tmp_path.iterdir()] == ["t.parquet"]
 
 
 def test_catalog_tables(spark):

@@ -48,7 +48,7 @@ def _extent(cutpoints: DataFrame) -> _Extent:
     per_day = (
         cutpoints.select(_timestamp("CUTPOINT").alias("at"))
         .groupBy(F.to_date("at").alias("day"))
-        .agg(F.countDistinct("at").alias("dates"), F.count(F.lit(1)).alias("rows"))
+        .agg(F.size(F.collect_set("at")).alias("dates"), F.count(F.lit(1)).alias("rows"))
     )
     total = per_day.agg(
         F.sum("dates").alias("dates"),
@@ -80,19 +80,19 @@ def _calendar(cutpoints: DataFrame, extent: _Extent) -> DataFrame:
     more). The window that counts up sees one row per day, whatever the length
     of the list.
     """
-    times = F.max("at") if extent.most_per_day <= 1 else F.sort_array(F.collect_list("at"))
     in_order = Window.orderBy("day")
+    times = F.col("all_times") if extent.most_per_day > 1 else F.col("all_times")[0]
+    so_far = F.sum(F.size("all_times")).over(in_order)
     days = (
         cutpoints.select(_timestamp("CUTPOINT").alias("at"))
         .filter(F.col("at").isNotNull())
-        .distinct()
         .groupBy(F.to_date("at").alias("day"))
-        .agg(F.count(F.lit(1)).alias("dates"), times.alias("times"))
+        .agg(F.sort_array(F.collect_set("at")).alias("all_times"))
         .select(
             "day",
-            "times",
-            F.sum("dates").over(in_order).alias("so_far"),
-            (F.sum("dates").over(in_order) - F.col("dates")).alias("earlier"),
+            times.alias("times"),
+            so_far.alias("so_far"),
+            (so_far - F.size("all_times")).alias("earlier"),
             F.lead("day", 1, extent.last_day + dt.timedelta(days=1)).over(in_order).alias("next_day"),
         )
     )

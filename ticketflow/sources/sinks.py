@@ -19,14 +19,18 @@ def full_refresh(df: DataFrame, path: str, sort_by: tuple[str, ...] = ()) -> Non
     spark = df.sparkSession
     if sort_by:
         df = df.sortWithinPartitions(*sort_by)
-    staging = f"{path.rstrip('/')}__new_{uuid.uuid4().hex}"
-    df.write.parquet(staging)
     hadoop = spark._jvm.org.apache.hadoop.fs
     target = hadoop.Path(path)
+    staging = hadoop.Path(f"{path.rstrip('/')}__new_{uuid.uuid4().hex}")
     files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        df.write.parquet(staging.toString())
+    except Exception:
+        files.delete(staging, True)
+        raise
     files.delete(target, True)
-    if not files.rename(hadoop.Path(staging), target):
-        raise OSError(f"could not move {staging} to {path}")
+    if not files.rename(staging, target):
+        raise OSError(f"could not move {staging.toString()} to {path}")
 
 
 def full_refresh_table(df: DataFrame, name: str, sort_by: tuple[str, ...] = ()) -> None:
