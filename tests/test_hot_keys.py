@@ -62,3 +62,10 @@ def test_hot_keys_read_only_the_key_and_are_counted_once(conf, tables, tmp_path)
     text = plan(join_spreading_hot_keys(large, tables[1], "k", "id", ["i"], hot_keys(large, "k")))
     assert "ReadSchema: struct<k:bigint>" in text
     assert text.count("partial_count(1)") == 1 and "ReusedExchange" in text
+
+
+def test_columns_named_like_parts_survive(spark):
+    large = spark.createDataFrame([(1, 1, 2.0), (1, 2, 3.0)], "k bigint, i int, rows double")
+    single = spark.createDataFrame([(1, "a", "b")], "id bigint, part string, copy string")
+    joined = join_spreading_hot_keys(large, single, "k", "id", ["i"], hot_keys(large, "k", 1))
+    assert rows(joined) == [(1, 1, 2.0, 1, "a", "b"), (1, 2, 3.0, 1, "a", "b")]

@@ -16,9 +16,9 @@ def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     that is what bounds its broadcast. Only the key column is read, and counts
     are summed on the map side.
     """
-    counted = df.groupBy(F.col(key).alias("hot_key")).agg(F.count(F.lit(1)).alias("rows"))
-    return counted.filter((F.col("rows") > hot_rows) & F.col("hot_key").isNotNull()).select(
-        "hot_key", F.ceil(F.col("rows") / F.lit(hot_rows)).cast("int").alias("parts")
+    counted = df.groupBy(F.col(key).alias("_hot_key")).agg(F.count(F.lit(1)).alias("_rows"))
+    return counted.filter((F.col("_rows") > hot_rows) & F.col("_hot_key").isNotNull()).select(
+        "_hot_key", F.ceil(F.col("_rows") / F.lit(hot_rows)).cast("int").alias("_hot_parts")
     )
 
 
@@ -42,19 +42,19 @@ def join_spreading_hot_keys(
 
     Adaptive execution drops both joins with `hot` when the list is empty.
     """
-    part = F.coalesce(F.pmod(F.xxhash64(*spread_by), F.col("parts")).cast("int"), F.lit(0))
+    part = F.coalesce(F.pmod(F.xxhash64(*spread_by), F.col("_hot_parts")).cast("int"), F.lit(0))
     split = (
-        large.join(F.broadcast(hot), F.col(large_key) == F.col("hot_key"), "left")
-        .withColumn("part", part)
-        .drop("hot_key", "parts")
+        large.join(F.broadcast(hot), F.col(large_key) == F.col("_hot_key"), "left")
+        .withColumn("_hot_part", part)
+        .drop("_hot_key", "_hot_parts")
     )
-    copies = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("parts") - 1, F.lit(0))))
+    copies = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_hot_parts") - 1, F.lit(0))))
     repeated = (
-        single.join(F.broadcast(hot), F.col(single_key) == F.col("hot_key"), "left")
-        .withColumn("copy", copies)
-        .drop("hot_key", "parts")
+        single.join(F.broadcast(hot), F.col(single_key) == F.col("_hot_key"), "left")
+        .withColumn("_hot_copy", copies)
+        .drop("_hot_key", "_hot_parts")
     )
-    on = (F.col(large_key) == F.col(single_key)) & (F.col("part") == F.col("copy"))
+    on = (F.col(large_key) == F.col(single_key)) & (F.col("_hot_part") == F.col("_hot_copy"))
     if where is not None:
         on = on & where
-    return split.join(repeated, on, how).drop("part", "copy")
+    return split.join(repeated, on, how).drop("_hot_part", "_hot_copy")
