@@ -163,10 +163,13 @@ def _random_cases(seed, n, hours):
     ]
 
 
-@pytest.mark.parametrize("broadcast_rows", [0, 500_000], ids=["shuffled", "broadcast"])
-@pytest.mark.parametrize("cut_hours", [[0], [0, 9], [0, 6, 9, 12, 18]], ids=["days", "two a day", "many a day"])
-def test_equals_the_full_product(spark, monkeypatch, cut_hours, broadcast_rows):
+@pytest.mark.parametrize(
+    "cut_hours, broadcast_rows, written_out",
+    [([0], 500_000, 24), ([0, 9], 500_000, 24), ([0, 6, 9, 12, 18], 500_000, 24), ([0, 6, 9, 12, 18], 0, 1), ([0], 0, 24)],
+)
+def test_equals_the_full_product(spark, monkeypatch, cut_hours, broadcast_rows, written_out):
     monkeypatch.setattr(module, "BROADCAST_ROWS", broadcast_rows)
+    monkeypatch.setattr(module, "WRITTEN_OUT", written_out)
     rnd = random.Random(7)
     cases = _random_cases(1, 300, [0, 0, 6, 9, 12])
     moments = [dt.datetime(2020, 1, 5) + dt.timedelta(days=rnd.randrange(40), hours=rnd.choice(cut_hours)) for _ in range(30)]

@@ -13,6 +13,8 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
@@ -26,6 +28,9 @@ STEPS = ("cases", "changes", "backlog")
 # are joined by shuffle.
 BROADCAST_ROWS = 500_000
 
+# Up to this many cut dates a day are compared one by one.
+WRITTEN_OUT = 24
+
 
 @dataclass(frozen=True)
 class _Extent:
@@ -76,23 +81,21 @@ def _calendar(cutpoints: DataFrame, extent: _Extent) -> DataFrame:
     """Every day from the first to the last cut date.
 
     `before` is the number of distinct cut dates on earlier days, `times` holds
-    the cut dates of the day itself (one timestamp, or an array where days have
-    more). The window that counts up sees one row per day, whatever the length
-    of the list.
+    the cut dates of the day itself. The window that counts up sees one row per
+    day, whatever the length of the list.
     """
     in_order = Window.orderBy("day")
-    times = F.col("all_times") if extent.most_per_day > 1 else F.col("all_times")[0]
-    so_far = F.sum(F.size("all_times")).over(in_order)
+    so_far = F.sum(F.size("times")).over(in_order)
     days = (
         cutpoints.select(_timestamp("CUTPOINT").alias("at"))
         .filter(F.col("at").isNotNull())
         .groupBy(F.to_date("at").alias("day"))
-        .agg(F.sort_array(F.collect_set("at")).alias("all_times"))
+        .agg(F.collect_set("at").alias("times"))
         .select(
             "day",
-            times.alias("times"),
+            "times",
             so_far.alias("so_far"),
-            (so_far - F.size("all_times")).alias("earlier"),
+            (so_far - F.size("times")).alias("earlier"),
             F.lead("day", 1, extent.last_day + dt.timedelta(days=1)).over(in_order).alias("next_day"),
         )
     )
@@ -111,12 +114,18 @@ def _day_within(moment: Column, extent: _Extent) -> Column:
 
 
 def _passed(times: Column, moment: Column, closed: bool, extent: _Extent) -> Column:
-    """How many of the day's cut dates lie before the moment (up to it, if closed)."""
-    if extent.most_per_day <= 1:
-        passed = times <= moment if closed else times < moment
-        return F.when(passed, 1).otherwise(0)
-    hits = F.filter(times, (lambda t: t <= moment) if closed else (lambda t: t < moment))
-    return F.coalesce(F.size(hits), F.lit(0))
+    """How many of the day's cut dates lie before the moment (up to it, if closed).
+
+    Written out for a few cut dates a day, which compiles to plain comparisons.
+    """
+
+    def hit(time: Column) -> Column:
+        return time <= moment if closed else time < moment
+
+    if extent.most_per_day > WRITTEN_OUT:
+        return F.coalesce(F.size(F.filter(times, hit)), F.lit(0))
+    hits = (F.when(hit(F.get(times, F.lit(i))), 1).otherwise(0) for i in range(extent.most_per_day))
+    return reduce(add, hits)
 
 
 def _bounded(df: DataFrame, small: bool) -> DataFrame:
