@@ -7,12 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketflow.llm import decontaminate, line_dedup, mixing, quality_classifier, quality_rules, secrets
-from ticketflow.llm import substring_dedup, suffix_dedup
+from ticketflow.llm import decontaminate, line_dedup, lm_scoring, mixing, ngram_jaccard, quality_classifier
+from ticketflow.llm import quality_rules, secrets, substring_dedup, suffix_dedup
 from ticketflow.llm.text import read
 
 # Fixed by the contract: the score from which a document counts as good.
 GOOD_SCORE = 0.3
+# Fixed by the contract: words in a shingle, least similarity in percent.
+SHINGLE_WORDS = 3
+SIMILARITY = 90
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,6 +69,16 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = lm_scoring.score_documents(read(spark, sf_dir, "documents"))
+    mean = F.when(F.col("n_words") > 0, F.col("log_score") / F.col("n_words"))
+    return scored.select("doc_id", "n_words", F.round("log_score", 4).alias("log_score"), F.round(mean, 6).alias("mean_score"))
+
+
+def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_jaccard.jaccard_join(read(spark, sf_dir, "documents"), SHINGLE_WORDS, SIMILARITY)
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -77,6 +90,8 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op6_secret_scan,
         op7_quality_rules,
         op8_source_mixing,
+        op9_lm_scoring,
+        op10_ngram_jaccard,
     )
 }
 LLM_ORACLE: dict[str, str] = {}
