@@ -14,7 +14,12 @@ window of a text lies in one segment. Shards are consecutive whole anchors up
 to a plan's shard_bytes, which bounds the index; an anchor that occurs very often
 loses its equal segments before the shuffle.
 
-Texts are shuffled once, by row; the three passes over them (anchors, segments,
+Texts that are equal as a whole are told apart first, by two 64-bit hashes:
+only the one with the smallest doc_id is searched, the others share its fate.
+An anchor with a single distinct segment needs no index, for its windows stand
+nowhere else.
+
+Texts are shuffled once, by row; all passes over them (anchors, segments,
 removal) read that one exchange.
 """
 
@@ -29,7 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticketflow.llm.text import Words, chunks, grams, mix, window_min
+from ticketflow.llm.text import Words, chunks, cut_lineage, grams, mix, window_min
 
 # Stands in for a missing doc_id while texts go through pandas.
 NO_ID = -(1 << 63)
@@ -120,17 +125,19 @@ def runs_of(symbols: Symbols, length: int, gram: int) -> Runs:
 class Plan(NamedTuple):
     """How an operator reads texts and judges shards.
 
-    `judge` takes the segments of a shard (bytes of each, how often each
-    occurs, key of the earliest occurrence: document and place) and gives, for
-    each, two boolean arrays over its windows: removed wherever the segment
-    occurs, and removed in all but its earliest occurrence.
+    `judge` takes the segments of a shard (bytes of each, number of windows,
+    how often each occurs, document and place of the earliest occurrence) and
+    gives two boolean arrays over all their windows: removed wherever the
+    segment occurs, and removed in all but its earliest occurrence.
+    `spares_first` says that the earliest of several equal strings stays.
     """
 
     split: Callable[[list[bytes]], Symbols]
     length: int
     gram: int
     shard_bytes: int
-    judge: Callable[[list[bytes], np.ndarray, np.ndarray, np.ndarray], list[tuple[np.ndarray, np.ndarray]]]
+    spares_first: bool
+    judge: Callable[[list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -139,13 +146,28 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.xxhash64("doc_id", "text").alias("_row"), known, "text")
 
 
+def roles(keyed_docs: DataFrame) -> DataFrame:
+    """(_r, _id, alone, first) per distinct row: whether no other row has the text, and whether none with a smaller id."""
+    text = keyed_docs.select("_row", "doc_id", F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(1), "text").alias("h2"))
+    per_row = text.groupBy("_row", "doc_id", "h1", "h2").agg(F.count("*").alias("n"))
+    same = text.groupBy("h1", "h2").agg(F.count("*").alias("total"), F.min("doc_id").alias("least"))
+    same = same.withColumnsRenamed({"h1": "g1", "h2": "g2"})
+    joined = per_row.join(same, (F.col("h1") == F.col("g1")) & (F.col("h2") == F.col("g2")))
+    return joined.select(
+        F.col("_row").alias("_r"),
+        F.col("doc_id").alias("_id"),
+        (F.col("total") == 1).alias("alone"),
+        (F.col("doc_id") == F.col("least")).alias("first"),
+    )
+
+
 def _anchors(plan: Plan) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = batch["_row"].to_numpy()
             for first, _, held in chunks(batch["text"]):
                 runs = runs_of(plan.split(held), plan.length, plan.gram)
-                # Once per text and anchor; `twice` says that the text alone makes it repeated.
+                # Once per text and anchor; n > 1 says that the text alone makes it repeated.
                 order = np.lexsort((runs.anchor, runs.doc))
                 anchor, doc, places = runs.anchor[order], runs.doc[order], runs.places[order]
                 if not len(anchor):
@@ -158,101 +180,141 @@ def _anchors(plan: Plan) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataF
     return scan
 
 
-def _segments(plan: Plan) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+_SEGMENT = "anchor long, seg binary, n long, doc_id long, begin long, windows int, plain boolean, content binary"
+_PLACE = "seg binary, _row long, doc_id long, begin long"
+
+
+def _segments(plan: Plan, contents: bool) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Segments around the wanted anchors: with contents, equal ones of a batch merged; else where each one stands."""
+
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows, ids = batch["_row"].to_numpy(), batch["doc_id"].to_numpy()
+            rows, ids = batch["_row"].tolist(), batch["doc_id"].tolist()
             wanted = list(batch["anchors"])
+            merged: dict[bytes, list] = {}
             for first, _, held in chunks(batch["text"]):
                 symbols = plan.split(held)
                 runs = runs_of(symbols, plan.length, plan.gram)
-                out = []
                 bounds = np.searchsorted(runs.doc, np.arange(len(held) + 1))
-                for d in range(len(held)):
-                    own = slice(bounds[d], bounds[d + 1])
-                    hit = np.isin(runs.anchor[own], np.asarray(wanted[first + d], dtype=np.int64))
-                    for k in np.flatnonzero(hit) + bounds[d]:
-                        begin, end = int(runs.begin[k]), int(runs.end[k])
-                        content = symbols.cut(begin, end + plan.length)
-                        out.append(
-                            (
-                                int(runs.anchor[k]),
-                                hashlib.blake2b(content, digest_size=16).digest(),
-                                rows[first + d],
-                                ids[first + d],
-                                begin - int(symbols.first[d]),
-                                content,
-                            )
-                        )
-                if out:
-                    yield pd.DataFrame(out, columns=["anchor", "seg", "_row", "doc_id", "begin", "content"])
+                hit = np.concatenate(
+                    [np.isin(runs.anchor[bounds[d] : bounds[d + 1]], wanted[first + d]) for d in range(len(held))]
+                )
+                hit = np.flatnonzero(hit)
+                at = runs.begin[hit] - symbols.first[runs.doc[hit]]
+                places = []
+                for doc, anchor, begin, end, place, n in zip(
+                    *(x.tolist() for x in (runs.doc[hit], runs.anchor[hit], runs.begin[hit], runs.end[hit], at)),
+                    runs.places[hit].tolist(),
+                    strict=True,
+                ):
+                    content = symbols.cut(begin, end + plan.length)
+                    seg = hashlib.blake2b(content, digest_size=16).digest()
+                    if not contents:
+                        places.append((seg, rows[first + doc], ids[first + doc], place))
+                    elif seg not in merged:
+                        merged[seg] = [anchor, seg, 1, ids[first + doc], place, end - begin + 1, n == 1, content]
+                    else:
+                        known = merged[seg]
+                        known[2] += 1
+                        if (ids[first + doc], place) < (known[3], known[4]):
+                            known[3], known[4] = ids[first + doc], place
+                if places:
+                    yield pd.DataFrame(places, columns=["seg", "_row", "doc_id", "begin"])
+            if merged:
+                names = ["anchor", "seg", "n", "doc_id", "begin", "windows", "plain", "content"]
+                yield pd.DataFrame(list(merged.values()), columns=names)
 
     return scan
 
 
 def _judged(plan: Plan) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    def shard(parts: list[pd.DataFrame]) -> pd.DataFrame:
-        held = pd.concat(parts, ignore_index=True)
-        verdicts = plan.judge(
-            list(held["content"]), held["n"].to_numpy(), held["doc_id"].to_numpy(), held["begin"].to_numpy()
-        )
-        every, later = [], []
-        for a, b in verdicts:
-            every.append(_ranges(a))
-            later.append(_ranges(b))
+    def shard(held: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        anchor = held["anchor"].to_numpy()
+        new = np.concatenate(([True], anchor[1:] != anchor[:-1], [True]))
+        single = new[:-1] & new[1:] & held["plain"].to_numpy()
+        # A segment that is its anchor's only one: its windows stand where the segment stands.
+        only = held[single]
+        only = only[only["n"].to_numpy() > 1]
+        if len(only):
+            whole = [[0, w - 1] for w in only["windows"].tolist()]
+            none = [[]] * len(only)
+            yield result(only, none if plan.spares_first else whole, whole if plan.spares_first else none)
+        rest = held[~single]
+        if len(rest):
+            windows = rest["windows"].to_numpy()
+            every, later = plan.judge(
+                list(rest["content"]), windows, rest["n"].to_numpy(), rest["doc_id"].to_numpy(), rest["begin"].to_numpy()
+            )
+            yield result(rest, _ranges(every, windows), _ranges(later, windows))
+
+    def result(held: pd.DataFrame, every: list, later: list) -> pd.DataFrame:
         return pd.DataFrame(
-            {"seg": held["seg"], "first_doc": held["doc_id"], "first_begin": held["begin"], "every": every, "later": later}
+            {"seg": held["seg"].to_numpy(), "first_doc": held["doc_id"].to_numpy(), "first_begin": held["begin"].to_numpy()}
+            | {"every": every, "later": later}
         )
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         parts, size = [], 0
         for batch in batches:
-            anchor = batch["anchor"].to_numpy()
-            edges = np.flatnonzero(np.diff(anchor)) + 1
-            for part in np.split(np.arange(len(batch)), edges):
-                piece = batch.iloc[part]
+            parts.append(batch)
+            size += int(batch["content"].str.len().sum())
+            while size >= plan.shard_bytes:
                 # A shard ends between two anchors once it is full.
-                if size >= plan.shard_bytes and parts[-1]["anchor"].iloc[-1] != piece["anchor"].iloc[0]:
-                    yield shard(parts)
-                    parts, size = [], 0
-                parts.append(piece)
-                size += int(piece["content"].str.len().sum())
-        if parts:
-            yield shard(parts)
+                held = pd.concat(parts, ignore_index=True) if len(parts) > 1 else parts[0]
+                anchor = held["anchor"].to_numpy()
+                ends = np.flatnonzero(anchor[1:] != anchor[:-1]) + 1
+                total = np.cumsum(held["content"].str.len().to_numpy())
+                full = ends[total[ends - 1] >= plan.shard_bytes] if len(ends) else ends
+                if not len(full):
+                    parts = [held]
+                    break
+                cut = int(full[0])
+                yield from shard(held.iloc[:cut])
+                parts = [held.iloc[cut:].reset_index(drop=True)]
+                size = int(total[-1] - total[cut - 1])
+        if parts and size:
+            yield from shard(pd.concat(parts, ignore_index=True))
 
     return scan
 
 
-def _ranges(mask: np.ndarray) -> list[int]:
-    """First and last of every run of True, flat."""
-    edges = np.flatnonzero(np.diff(np.concatenate(([False], mask, [False])).astype(np.int8)))
-    edges[1::2] -= 1
-    return edges.tolist()
+def _ranges(mask: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
+    """For consecutive pieces of the mask, first and last place of every run of True in the piece, flat."""
+    bounds = np.concatenate(([0], np.cumsum(sizes)))
+    piece = np.repeat(np.arange(len(sizes)), sizes)
+    new = np.concatenate(([True], piece[1:] != piece[:-1]))
+    last = np.concatenate((new[1:], [True]))
+    begins = np.flatnonzero(mask & (new | ~np.concatenate(([False], mask[:-1]))))
+    ends = np.flatnonzero(mask & (last | ~np.concatenate((mask[1:], [False]))))
+    flat = np.stack((begins, ends), axis=1) - bounds[piece[begins]][:, None]
+    cuts = np.searchsorted(piece[begins], np.arange(len(sizes) + 1)) * 2
+    flat = flat.ravel().astype(np.int32)
+    return [flat[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
 
 
-def repeated_windows(keyed_docs: DataFrame, plan: Plan) -> DataFrame:
+def repeated_windows(searched: DataFrame, plan: Plan) -> DataFrame:
     """(_row, found) for every text with windows to remove: doc_id and spans, the flat first and last window of each
-    stretch."""
-    anchors = keyed_docs.mapInPandas(_anchors(plan), "anchor long, _row long, n long")
+    stretch. `searched` holds (_row, doc_id, text)."""
+    anchors = searched.mapInPandas(_anchors(plan), "anchor long, _row long, n long")
     repeated = anchors.groupBy("anchor").agg(F.sum("n").alias("n")).filter("n > 1").select("anchor")
     wanted = anchors.select("anchor", "_row").join(repeated, "anchor", "left_semi")
-    wanted = wanted.groupBy("_row").agg(F.collect_set("anchor").alias("anchors")).withColumnRenamed("_row", "_r")
-    with_anchors = keyed_docs.join(wanted.hint("shuffle_hash"), F.col("_row") == F.col("_r")).drop("_r")
-    segments = with_anchors.mapInPandas(
-        _segments(plan), "anchor long, seg binary, _row long, doc_id long, begin long, content binary"
-    )
-    # Equal segments become one before they are dealt to shards.
-    distinct = segments.groupBy("anchor", "seg").agg(
-        F.count("*").alias("n"),
+    wanted = wanted.groupBy("_row").agg(F.collect_set("anchor").alias("anchors")).withColumnRenamed("_row", "_w")
+    with_anchors = searched.join(wanted.hint("shuffle_hash"), F.col("_row") == F.col("_w")).drop("_w")
+    # Merged in each batch, dealt by anchor, merged for good where they arrive.
+    dealt = with_anchors.mapInPandas(_segments(plan, True), _SEGMENT).repartition("anchor")
+    distinct = dealt.groupBy("anchor", "seg").agg(
+        F.sum("n").alias("n"),
         F.min(F.struct("doc_id", "begin")).alias("first"),
-        F.min("content").alias("content"),
+        F.first("windows").alias("windows"),
+        F.first("plain").alias("plain"),
+        F.first("content").alias("content"),
     )
-    distinct = distinct.select("anchor", "seg", "n", "first.doc_id", "first.begin", "content")
-    dealt = distinct.repartition("anchor").sortWithinPartitions("anchor", "seg")
-    verdicts = dealt.mapInPandas(
+    distinct = distinct.select("anchor", "seg", "n", "first.doc_id", "first.begin", "windows", "plain", "content")
+    verdicts = distinct.sortWithinPartitions("anchor", "seg").mapInPandas(
         _judged(plan), "seg binary, first_doc long, first_begin long, every array<int>, later array<int>"
-    ).filter("size(every) > 0 OR size(later) > 0")
-    placed = segments.select("seg", "_row", "doc_id", "begin").join(verdicts, "seg")
+    )
+    verdicts = verdicts.filter("size(every) > 0 OR size(later) > 0")
+    placed = with_anchors.mapInPandas(_segments(plan, False), _PLACE).join(verdicts, "seg")
     here = (F.col("doc_id") == F.col("first_doc")) & (F.col("begin") == F.col("first_begin"))
     spans = F.concat("every", F.when(here, F.array().cast("array<int>")).otherwise(F.col("later")))
     placed = placed.select("_row", "doc_id", F.transform(spans, lambda x: x + F.col("begin")).alias("spans"))
@@ -260,17 +322,26 @@ def repeated_windows(keyed_docs: DataFrame, plan: Plan) -> DataFrame:
 
 
 def removals(docs: DataFrame, plan: Plan) -> DataFrame:
-    """(doc_id, text, spans) for every row of `docs`; spans is NULL where nothing is removed, a missing id NO_ID.
+    """(doc_id, text, spans, whole) for every row of `docs`; spans is NULL where nothing is removed, whole says that
+    all windows are; a missing id is NO_ID.
 
-    Texts meet their spans by _row alone, the key they were dealt by before,
-    so that exchange is used again; doc_id then tells rows apart whose hash is
+    Texts meet roles and spans by _row alone, the key they were dealt by, so
+    that one exchange serves all; doc_id then tells rows apart whose hash is
     equal by chance.
     """
     rows = keyed(docs)
-    found = repeated_windows(rows, plan).withColumnRenamed("_row", "_r")
-    joined = rows.join(found.hint("shuffle_hash"), F.col("_row") == F.col("_r"), "left")
+    role = cut_lineage(roles(rows)).groupBy("_r").agg(F.collect_list(F.struct("_id", "alone", "first")).alias("_roles"))
+    with_role = rows.join(role.hint("shuffle_hash"), F.col("_row") == F.col("_r")).drop("_r")
+    own_role = F.filter("_roles", lambda x: x["_id"] == F.col("doc_id"))[0]
+    with_role = with_role.select("_row", "doc_id", "text", own_role["alone"].alias("alone"), own_role["first"].alias("first"))
+    searched = with_role.filter("first").select("_row", "doc_id", "text")
+    found = repeated_windows(searched, plan).withColumnRenamed("_row", "_r")
+    joined = with_role.join(found.hint("shuffle_hash"), F.col("_row") == F.col("_r"), "left")
     own = F.filter("found", lambda x: x["doc_id"] == F.col("doc_id"))
-    return joined.select("doc_id", "text", F.flatten(F.transform(own, lambda x: x["spans"])).alias("spans"))
+    whole = ~F.col("first") if plan.spares_first else ~F.col("alone")
+    return joined.select(
+        "doc_id", "text", F.flatten(F.transform(own, lambda x: x["spans"])).alias("spans"), whole.alias("whole")
+    )
 
 
 def named(rows: DataFrame) -> DataFrame:
@@ -278,8 +349,10 @@ def named(rows: DataFrame) -> DataFrame:
     return rows.withColumn("doc_id", F.nullif(F.col("doc_id"), F.lit(NO_ID)))
 
 
-def covered(spans: object, n: int, length: int) -> np.ndarray:
-    """Which of n symbols lie in a window of the spans (flat first and last window)."""
+def covered(spans: object, whole: bool, n: int, length: int) -> np.ndarray:
+    """Which of n symbols lie in a removed window: one of the spans (flat first and last window), or any."""
+    if whole:
+        return np.full(n, n >= length)
     change = np.zeros(n + 1, dtype=np.int64)
     if spans is not None and len(spans):
         flat = np.asarray(spans, dtype=np.int64)

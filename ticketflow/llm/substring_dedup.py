@@ -72,7 +72,7 @@ class FMIndex:
         text[solid] = ids + 1
         rank = text + m - 1
         rank[~solid] = np.arange(m)
-        order, step = np.argsort(rank, kind="stable"), 1
+        order, step = np.argsort(rank), 1
         while True:
             key = rank[order]
             dense = np.concatenate(([0], np.cumsum(key[1:] != key[:-1])))
@@ -83,7 +83,7 @@ class FMIndex:
             ahead = np.zeros(n, dtype=np.int64)
             ahead[: n - step] = rank[step:] + 1
             rank = rank * (n + 1) + ahead
-            order, step = np.argsort(rank, kind="stable"), step * 2
+            order, step = np.argsort(rank), step * 2
         self.text = text
         bwt = text[order - 1]
         bits = max(1, int(len(known)).bit_length())
@@ -101,8 +101,8 @@ class FMIndex:
         return both[: len(low)] + shift, both[len(low) :] + shift
 
 
-def repeated_in(index: FMIndex, sizes: np.ndarray, length: int) -> list[np.ndarray]:
-    """For each segment, which of its windows occur at least twice in the index.
+def repeated_in(index: FMIndex, sizes: np.ndarray, length: int) -> np.ndarray:
+    """For all segments in turn, which of their windows occur at least twice in the index.
 
     A search starts at the right end of `ahead` + 1 windows and goes left. If
     it reaches the first of them with two occurrences left, all of them repeat,
@@ -138,35 +138,32 @@ def repeated_in(index: FMIndex, sizes: np.ndarray, length: int) -> list[np.ndarr
         left[again] = window[again] + ahead[again] + length
         low[again], high[again] = 0, index.n
         lanes = lanes[window[lanes] < windows[lanes]]
-    hit = np.cumsum(marked)[:-1] > 0
-    return np.split(hit, mark_at[1:-1])
+    return np.cumsum(marked)[:-1] > 0
 
 
 def judge(
-    contents: list[bytes], n: np.ndarray, docs: np.ndarray, begins: np.ndarray
-) -> list[tuple[np.ndarray, np.ndarray]]:
+    contents: list[bytes], windows: np.ndarray, n: np.ndarray, docs: np.ndarray, begins: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
     """Every window of a segment that occurs twice, and every window the index finds twice, goes everywhere."""
     w = Words(contents)
     hashes = w.hashes()
     segments = [hashes[w.first[k] : w.first[k + 1]] for k in range(len(contents))]
-    sizes = np.array([len(s) for s in segments])
-    found = repeated_in(FMIndex(segments), sizes, WINDOW)
-    none = lambda k: np.zeros(len(found[k]), dtype=bool)
-    return [(found[k] | (n[k] > 1), none(k)) for k in range(len(segments))]
+    found = repeated_in(FMIndex(segments), np.diff(w.first), WINDOW) | np.repeat(n > 1, windows)
+    return found, np.zeros(len(found), dtype=bool)
 
 
-PLAN = Plan(as_words, WINDOW, GRAM, SHARD_BYTES, judge)
+PLAN = Plan(as_words, WINDOW, GRAM, SHARD_BYTES, False, judge)
 
 
 def _rest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        spans = list(batch["spans"])
+        spans, whole = list(batch["spans"]), batch["whole"].tolist()
         for first, last, held in chunks(batch["text"]):
             w = Words(held)
             kept, total, gone = [], [], []
             for d in range(len(held)):
                 a, b = int(w.first[d]), int(w.first[d + 1])
-                drop = covered(spans[first + d], b - a, WINDOW)
+                drop = covered(spans[first + d], whole[first + d], b - a, WINDOW)
                 stay = np.flatnonzero(~drop) + a
                 data = held[d]
                 base = int(w.at[d])
@@ -176,18 +173,21 @@ def _rest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 gone.append(int(drop.sum()))
             part = batch.iloc[first:last]
             yield pd.DataFrame(
-                {"doc_id": part["doc_id"], "kept_text": kept, "n_words": total, "n_removed": gone, "spans": spans[first:last]}
+                {"doc_id": part["doc_id"], "kept_text": kept, "n_words": total, "n_removed": gone}
+                | {"spans": spans[first:last], "whole": whole[first:last]}
             )
 
 
 def dedup_substrings(docs: DataFrame) -> DataFrame:
-    """One row per row of `docs`: doc_id, kept_text (words joined by a space), n_words, n_removed, spans.
+    """One row per row of `docs`: doc_id, kept_text (words joined by a space), n_words, n_removed, spans,
+    whole.
 
     spans holds the first and last repeated window (word numbers) of every
-    stretch, flat; NULL where nothing repeats.
+    stretch, flat; NULL where nothing repeats. whole says that all windows are
+    repeated because another row has the same text.
     """
     kept = removals(docs, PLAN).mapInPandas(
-        _rest, "doc_id long, kept_text string, n_words long, n_removed long, spans array<int>"
+        _rest, "doc_id long, kept_text string, n_words long, n_removed long, spans array<int>, whole boolean"
     )
     return named(kept)
 
