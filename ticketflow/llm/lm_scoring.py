@@ -1,21 +1,15 @@
 """Stupid-backoff scores of documents under n-gram counts of the whole corpus.
 
-Documents are dealt into chunks of about CHUNK_CHARS. A chunk lists its
-distinct n-grams with their counts, split over shards by hash; a shard adds up
-the counts of all chunks (the count table of its hashes) and answers each
-chunk's list with the totals; the chunk joins the totals to its exploded n-grams
-and sums per document. Between chunk and shard a list travels as one row: sorted
-64-bit hashes as packed differences. An n-gram that every document holds is one
-entry per chunk, so no hash is hot.
-
-Chunks and shards grow in number with the corpus, not in size; a document is
-never split.
+Documents are dealt into chunks. A chunk's distinct n-grams are counted in
+tables partitioned by hash (see `counts`), the totals are joined to the
+exploded n-grams of the chunk, and the scores are summed per document. A
+document is never split.
 
 The score of a word w after the words c: count(c w) / count(c) if c w occurs
 MIN_COUNT times or more in the corpus, else ALPHA times the score with one word
 less before it; for a single word count(w) / number of words. The natural
 logarithms are summed. MIN_COUNT is 2, so that a document is not scored by
-n-grams that it alone holds.
+n-grams that it alone holds once.
 
 Defined cases: a missing or empty text has no words and score 0; repeated rows
 count as often as they stand; an empty table gives an empty result; words are
@@ -24,7 +18,6 @@ taken as they are.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,31 +25,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ticketflow.llm.counts import LIST, answers, chunked, lists, totals_of
 from ticketflow.llm.text import Words, chunks, grams, n_words_of
 
 ORDER = 2
 ALPHA = 0.4
 MIN_COUNT = 2
-CHUNK_CHARS = 8 << 20
-SHARD_CHARS = 24 << 20
-
-
-def _pack(numbers: np.ndarray) -> bytes:
-    """Numbers as byte planes, compressed; small numbers leave high planes empty."""
-    return zlib.compress(np.ascontiguousarray(numbers.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes(), 1)
-
-
-def _unpack(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zlib.decompress(data), dtype=np.uint8).reshape(8, -1)
-    return np.ascontiguousarray(planes.T).view("<u8").ravel()
-
-
-def pack_sorted(numbers: np.ndarray) -> bytes:
-    return _pack(np.diff(numbers, prepend=np.uint64(0)))
-
-
-def unpack_sorted(data: bytes) -> np.ndarray:
-    return np.cumsum(_unpack(data), dtype=np.uint64)
 
 
 def _grams_of(texts: list, order: int) -> Iterator[tuple[int, Words, list[np.ndarray], list[np.ndarray]]]:
@@ -77,37 +51,18 @@ def _requests(order: int, shards: int):
         parts = [k[i] for _, _, keys, inside in _grams_of(list(chunk["text"]), order) for k, i in zip(keys, inside, strict=True)]
         none = np.zeros(0, dtype=np.uint64)
         keys, counts = np.unique(np.concatenate(parts) if parts else none, return_counts=True)
-        # Shards are equal ranges of the hash's upper half.
-        shard = ((keys >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)
-        bounds = np.searchsorted(shard, np.arange(shards + 1, dtype=np.uint64))
-        own = int(chunk["chunk"].iloc[0])
-        out = [
-            (own, s, pack_sorted(keys[a:b]), _pack(counts[a:b]))
-            for s, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True))
-            if a < b
-        ]
-        return pd.DataFrame(out, columns=["chunk", "shard", "keys", "counts"])
+        return lists(int(chunk["chunk"].iloc[0]), keys, counts, shards)
 
     return ask
 
 
-def _answers(shard: pd.DataFrame) -> pd.DataFrame:
-    lists = [unpack_sorted(k) for k in shard["keys"]]
-    known, place = np.unique(np.concatenate(lists), return_inverse=True)
-    counts = np.concatenate([_unpack(c) for c in shard["counts"]]).astype(np.float64)
-    totals = np.bincount(place, weights=counts).astype(np.int64)[place]
-    back = np.split(totals, np.cumsum([len(x) for x in lists])[:-1])
-    return pd.DataFrame({"chunk": shard["chunk"], "shard": shard["shard"], "totals": [_pack(t) for t in back]})
-
-
 def _scores(order: int, alpha: float, min_count: int, total: int):
-    def score(chunk: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+    def score(chunk: pd.DataFrame, answered: pd.DataFrame) -> pd.DataFrame:
         texts = list(chunk["text"])
         slices = list(_grams_of(texts, order))
         parts = [k[i] for _, _, keys, inside in slices for k, i in zip(keys, inside, strict=True)]
         known = np.unique(np.concatenate(parts)) if parts else np.zeros(0, dtype=np.uint64)
-        answers = answers.sort_values("shard")
-        totals = np.concatenate([_unpack(t) for t in answers["totals"]]).astype(np.float64) if len(answers) else np.zeros(0)
+        totals = totals_of(answered).astype(np.float64)
         n_words, sums = np.zeros(len(texts), dtype=np.int64), np.zeros(len(texts))
         for first, w, keys, inside in slices:
             n = len(w.doc)
@@ -145,14 +100,11 @@ def score_documents(
     """(doc_id, n_words, log_score) for every row of `docs`: the sum of the natural logarithms of its words' scores."""
     whole = docs.agg(F.sum(F.length("text")).alias("chars"), F.sum(n_words_of(F.col("text"))).alias("words")).first()
     size, total = whole["chars"] or 0, whole["words"] or 0
-    n_chunks, shards = size // CHUNK_CHARS + 1, size // SHARD_CHARS + 1
     # Ids travel as text, so that a missing one stays missing.
-    rows = docs.select(
-        F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_chunks)).alias("chunk"), F.col("doc_id").cast("string"), "text"
-    )
+    rows, shards = chunked(docs.select(F.col("doc_id").cast("string"), "text"), size)
     by_chunk = rows.groupBy("chunk")
-    asked = by_chunk.applyInPandas(_requests(order, shards), "chunk long, shard int, keys binary, counts binary")
-    answered = asked.groupBy("shard").applyInPandas(_answers, "chunk long, shard int, totals binary")
+    asked = by_chunk.applyInPandas(_requests(order, shards), LIST)
+    answered = answers(asked)
     scored = by_chunk.cogroup(answered.groupBy("chunk")).applyInPandas(
         _scores(order, alpha, min_count, total), "doc_id string, n_words long, log_score double"
     )

@@ -4,19 +4,19 @@ A document's set holds its distinct word shingles. Documents with equal sets
 form a class, and only one set per class goes on. Two sets with a similarity
 of `percent` or more must share a token among the first p = n - ceil(n *
 percent / 100) + 1 of each, under any order of all tokens. Several orders are
-used: each puts frequent tokens last, by a sketch of the corpus, and differs
-in how it orders the rest.
+used: each puts rare tokens first, by the power of two of their document count
+over the whole corpus (see `counts`), and differs in how it orders equals.
 
 Tokens shared under the first order connect sets to candidate groups, without
-any pair being written. The sets of a group then meet in one task, or, if they
+any pair being written. Tokens of one document only connect nothing and are
+left out. The sets of a group then meet in one task, or, if they
 are many, block by block. There the other orders are intersected: a pair is
 verified only if it shares a prefix token under every order and is not yet
 connected. So a group of many copies costs about one check per copy, and what
 leaves the task is a forest of links, never all pairs.
 
-Bounds: the sketch has SKETCH counters at every corpus size and only decides an
-order, so its errors cost time and lose nothing; a block holds BLOCK_TOKENS
-tokens, or one set.
+Bounds: a chunk and a shard of counts have a fixed size; a block holds about
+BLOCK_TOKENS tokens, or one set.
 
 Defined cases: a document with fewer words than a shingle has its whole
 sequence as its one shingle; without words its set is empty and it is linked
@@ -36,10 +36,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ticketflow.llm.components import components
+from ticketflow.llm.counts import LIST, answers, chunked, lists, totals_of
 from ticketflow.llm.text import Words, chunks, cut_lineage, grams, mix
 
-SKETCH = 1 << 20
-_PIECE = 1 << 14
 BLOCK_TOKENS = 1 << 20
 SEEDS = (0x51ED270B, 0xA24BAED5, 0x9FB21C65)
 _NO_ID = -(1 << 63)
@@ -68,89 +67,56 @@ def shingle_sets(texts: list[bytes], words: int) -> tuple[np.ndarray, np.ndarray
     return token, np.searchsorted(doc, np.arange(len(texts) + 1))
 
 
-def _counts(words: int):
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(SKETCH, dtype=np.int64)
-        for batch in batches:
-            for _, _, held in chunks(batch["text"]):
-                token, _ = shingle_sets(held, words)
-                total += np.bincount((token % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH)
-        pieces = total.reshape(-1, _PIECE)
-        yield pd.DataFrame({"piece": range(len(pieces)), "counts": [p.astype("<u4").tobytes() for p in pieces]})
-
-    return scan
-
-
-def _sum(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    total: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for piece, counts in zip(batch["piece"], batch["counts"], strict=True):
-            total[piece] = total.get(piece, 0) + np.frombuffer(counts, dtype="<u4").astype(np.int64)
-    yield pd.DataFrame({"piece": list(total), "counts": [t.astype("<u8").tobytes() for t in total.values()]})
-
-
-def frequency_levels(docs: DataFrame, words: int) -> np.ndarray:
-    """A level from 0 (rare) to 15 for every counter of the sketch, SKETCH bytes in all.
-
-    Level 0 is up to twice the mean count and 16 more; each further level is
-    twice as frequent.
-    """
-    pieces = docs.select("text").mapInPandas(_counts(words), "piece int, counts binary")
-    summed = pieces.repartition("piece").mapInPandas(_sum, "piece int, counts binary").collect()
-    total = np.zeros(SKETCH, dtype=np.float64)
-    for row in summed:
-        at = row["piece"] * _PIECE
-        total[at : at + _PIECE] += np.frombuffer(row["counts"], dtype="<u8")
-    base = 2 * total.mean() + 16
-    return np.clip(np.ceil(np.log2(np.maximum(total / base, 1))), 0, 15).astype(np.uint8)
-
-
-def order_key(token: np.ndarray, levels: np.ndarray, seed: int) -> np.ndarray:
-    level = levels[(token % np.uint64(SKETCH)).astype(np.int64)].astype(np.uint64)
-    return (level << np.uint64(60)) | (mix(token ^ np.uint64(seed * 0x9E3779B1)) >> np.uint64(4))
+def levels_of(counts: np.ndarray) -> np.ndarray:
+    """The power of two of each document count, 15 at most."""
+    return np.minimum(np.log2(np.maximum(counts, 1)), 15).astype(np.uint8)
 
 
-def prefixes(token: np.ndarray, first: np.ndarray, levels: np.ndarray, seed: int, percent: int) -> np.ndarray:
+def prefixes(token: np.ndarray, level: np.ndarray, first: np.ndarray, seed: int, percent: int) -> np.ndarray:
     """Which tokens are in the prefix of their set under one order."""
+    key = (level.astype(np.uint64) << np.uint64(60)) | (mix(token ^ np.uint64(seed * 0x9E3779B1)) >> np.uint64(4))
     size = np.diff(first)
     length = np.where(size > 0, size + (-percent * size // 100) + 1, 0)
-    doc = np.repeat(np.arange(len(size)), size)
-    order = np.lexsort((order_key(token, levels, seed), doc))
+    order = np.lexsort((key, np.repeat(np.arange(len(size)), size)))
     place = np.arange(len(token)) - np.repeat(first[:-1], size)
     mask = np.zeros(len(token), dtype=bool)
     mask[order] = place < np.repeat(length, size)
     return mask
 
 
-def _sets(words: int, percent: int, held_levels):
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        levels = held_levels.value
-        for batch in batches:
-            for begin, end, held in chunks(batch["text"]):
-                token, first = shingle_sets(held, words)
-                mask = prefixes(token, first, levels, SEEDS[0], percent)
-                ids, front = [], []
-                for d in range(len(held)):
-                    own = slice(first[d], first[d + 1])
-                    ids.append(hashlib.blake2b(token[own].tobytes(), digest_size=16).digest())
-                    front.append(token[own][mask[own]].view(np.int64))
-                yield pd.DataFrame(
-                    {"doc_id": batch["doc_id"].iloc[begin:end].to_numpy(), "n": np.diff(first), "set": ids, "front": front}
-                )
+def _requests(words: int, shards: int):
+    def ask(chunk: pd.DataFrame) -> pd.DataFrame:
+        parts = [shingle_sets(held, words)[0] for _, _, held in chunks(list(chunk["text"]))]
+        keys, counts = np.unique(np.concatenate(parts), return_counts=True)
+        return lists(int(chunk["chunk"].iloc[0]), keys, counts, shards)
 
-    return scan
+    return ask
 
 
-def _tokens_of(words: int):
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for begin, end, held in chunks(batch["text"]):
-                token, first = shingle_sets(held, words)
-                part = batch.iloc[begin:end]
-                tokens = [token[first[d] : first[d + 1]].tobytes() for d in range(len(held))]
-                yield pd.DataFrame({"node": part["node"], "label": part["label"], "blocks": part["blocks"], "tokens": tokens})
+_SET = "doc_id long, n long, set binary, front array<long>, tokens binary, levels binary"
 
-    return scan
+
+def _sets(words: int, percent: int):
+    def fronts(chunk: pd.DataFrame, answered: pd.DataFrame) -> pd.DataFrame:
+        slices = [(begin, held, *shingle_sets(held, words)) for begin, _, held in chunks(list(chunk["text"]))]
+        known = np.unique(np.concatenate([token for _, _, token, _ in slices])) if slices else np.zeros(0, dtype=np.uint64)
+        counts = totals_of(answered)
+        ids, out = chunk["doc_id"].tolist(), []
+        for begin, held, token, first in slices:
+            count = counts[np.searchsorted(known, token)] if len(token) else np.zeros(0, dtype=np.int64)
+            level = levels_of(count)
+            # A token of one document joins it to no other.
+            mask = prefixes(token, level, first, SEEDS[0], percent) & (count > 1)
+            for d in range(len(held)):
+                own = slice(first[d], first[d + 1])
+                data = token[own].tobytes()
+                front = token[own][mask[own]].view(np.int64)
+                full = (data, level[own].tobytes()) if len(front) else (None, None)
+                digest = hashlib.blake2b(data, digest_size=16).digest()
+                out.append((ids[begin + d], int(first[d + 1] - first[d]), digest, front, *full))
+        return pd.DataFrame(out, columns=["doc_id", "n", "set", "front", "tokens", "levels"])
+
+    return fronts
 
 
 class _Postings:
@@ -171,7 +137,7 @@ class _Postings:
 
 
 def links(
-    sets: list[np.ndarray], side: np.ndarray, levels: np.ndarray, percent: int
+    sets: list[np.ndarray], levels: list[np.ndarray], side: np.ndarray, percent: int
 ) -> list[tuple[int, int]]:
     """A forest of links between sets: enough to connect all that are connected by links between different sides.
 
@@ -182,13 +148,13 @@ def links(
     size = np.array([len(s) for s in sets])
     across = side.any()
     first = np.concatenate(([0], np.cumsum(size)))
-    raw = np.concatenate(sets)
+    raw, level = np.concatenate(sets), np.concatenate(levels)
     known, token = np.unique(raw, return_inverse=True)
     member = np.repeat(np.arange(m), size)
     every = _Postings(member, token, len(known))
     fronts = []
     for seed in SEEDS:
-        mask = prefixes(raw, first, levels, seed, percent)
+        mask = prefixes(raw, level, first, seed, percent)
         where = np.concatenate(([0], np.cumsum(np.bincount(member[mask], minlength=m))))
         fronts.append((token[mask], where, _Postings(member[mask], token[mask], len(known))))
     group = np.arange(m)
@@ -215,25 +181,25 @@ def links(
     return forest
 
 
-def _verify(percent: int, held_levels):
-    def of(nodes: list, tokens: list, sides: list) -> Iterator[pd.DataFrame]:
-        if len(nodes) > 1:
-            sets = [np.frombuffer(t, dtype=np.uint64) for t in tokens]
-            forest = links(sets, np.array(sides), held_levels.value, percent)
+def _verify(percent: int):
+    def of(held: list) -> Iterator[pd.DataFrame]:
+        if len(held) > 1:
+            sets = [np.frombuffer(r.tokens, dtype=np.uint64) for r in held]
+            levels = [np.frombuffer(r.levels, dtype=np.uint8) for r in held]
+            side = np.array([r.block != r.low for r in held])
+            forest = links(sets, levels, side, percent)
             if forest:
-                yield pd.DataFrame([(nodes[a], nodes[b]) for a, b in forest], columns=["a", "b"])
+                yield pd.DataFrame([(held[a].node, held[b].node) for a, b in forest], columns=["a", "b"])
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key, nodes, tokens, sides = None, [], [], []
+        held: list = []
         for batch in batches:
             for row in batch.itertuples(index=False):
-                if (row.label, row.low, row.high) != key:
-                    yield from of(nodes, tokens, sides)
-                    key, nodes, tokens, sides = (row.label, row.low, row.high), [], [], []
-                nodes.append(row.node)
-                tokens.append(row.tokens)
-                sides.append(int(row.block != row.low))
-        yield from of(nodes, tokens, sides)
+                if held and (row.label, row.low, row.high) != (held[0].label, held[0].low, held[0].high):
+                    yield from of(held)
+                    held = []
+                held.append(row)
+        yield from of(held)
 
     return scan
 
@@ -245,36 +211,31 @@ def near_components(docs: DataFrame, words: int, percent: int) -> DataFrame:
     when their sets' intersection is `percent` hundredths of their union or
     more.
     """
-    spark = docs.sparkSession
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc_id"), "text")
-    levels = spark.sparkContext.broadcast(frequency_levels(rows, words))
-    sets = cut_lineage(
-        rows.mapInPandas(_sets(words, percent, levels), "doc_id long, n long, set binary, front array<long>")
-    )
+    rows, shards = chunked(rows, rows.agg(F.sum(F.length("text"))).first()[0] or 0)
+    by_chunk = rows.groupBy("chunk")
+    answered = answers(by_chunk.applyInPandas(_requests(words, shards), LIST))
+    sets = cut_lineage(by_chunk.cogroup(answered.groupBy("chunk")).applyInPandas(_sets(words, percent), _SET))
     # One node per class of equal sets: its smallest doc_id.
     classes = sets.filter("n > 0").groupBy("set").agg(F.min("doc_id").alias("node"))
-    fronts = sets.filter("n > 0").select("doc_id", "set", "front")
-    fronts = fronts.join(classes.withColumnRenamed("set", "_s"), (F.col("set") == F.col("_s")) & (F.col("doc_id") == F.col("node")))
-    shared = cut_lineage(fronts.select("node", F.explode("front").alias("token")))
-    least = shared.groupBy("token").agg(F.min("node").alias("b"), F.max("node").alias("c")).filter("b < c")
-    candidate = shared.join(least, "token").filter("node <> b").select(F.col("node").alias("a"), "b")
-    groups = cut_lineage(components(candidate))
-    sizes = sets.select("doc_id", "n").join(groups, F.col("doc_id") == F.col("node"))
-    blocks = sizes.groupBy("component").agg(F.ceil(F.sum("n") / BLOCK_TOKENS).alias("blocks"))
-    chosen = groups.join(blocks, "component").select(F.col("node"), F.col("component").alias("label"), "blocks")
-    texts = rows.join(chosen.hint("shuffle_hash"), F.col("doc_id") == F.col("node"))
-    held = texts.select("node", "label", "blocks", "text").mapInPandas(
-        _tokens_of(words), "node long, label long, blocks long, tokens binary"
+    keeper = classes.withColumnRenamed("set", "_s")
+    candidates = sets.filter("tokens IS NOT NULL").join(
+        keeper, (F.col("set") == F.col("_s")) & (F.col("doc_id") == F.col("node"))
     )
-    block = F.pmod(F.xxhash64("node"), F.col("blocks"))
-    held = held.withColumn("block", block).withColumn(
+    shared = cut_lineage(candidates.select("node", F.explode("front").alias("token")))
+    least = shared.groupBy("token").agg(F.min("node").alias("b"), F.max("node").alias("c")).filter("b < c")
+    edges = shared.join(least, "token").filter("node <> b").select(F.col("node").alias("a"), "b")
+    groups = cut_lineage(components(edges)).withColumnsRenamed({"node": "_node", "component": "label"})
+    members = candidates.select("node", "n", "tokens", "levels").join(groups, F.col("node") == F.col("_node")).drop("_node")
+    blocks = members.groupBy("label").agg(F.ceil(F.sum("n") / BLOCK_TOKENS).alias("blocks"))
+    members = members.join(blocks.withColumnRenamed("label", "_l"), F.col("label") == F.col("_l"))
+    members = members.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks"))).withColumn(
         "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
     )
-    dealt = held.select(
-        "node", "label", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "tokens"
-    )
+    low, high = F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
+    dealt = members.select("node", "label", "block", low, high, "tokens", "levels")
     dealt = dealt.repartition("label", "low", "high").sortWithinPartitions("label", "low", "high", "node")
-    forest = dealt.mapInPandas(_verify(percent, levels), "a long, b long")
+    forest = dealt.mapInPandas(_verify(percent), "a long, b long")
     found = components(forest).withColumnsRenamed({"node": "_node", "component": "_component"})
     named = sets.select("doc_id", "n", "set").join(classes, "set", "left").join(found, F.col("node") == F.col("_node"), "left")
     return named.select(
