@@ -34,7 +34,7 @@ MAX_REPEATS = 3
 # Relative weight of a source at the start and the end of training, in turn like WEIGHTS, linear in between:
 # the first kind grows, the second stays, the third fades. Each pair has the mean 1.
 SCHEDULES = ((0.5, 1.5), (1.0, 1.0), (1.5, 0.5))
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 5_000
 
 
 def source_targets(sizes: DataFrame, weights: tuple = WEIGHTS, max_repeats: int = MAX_REPEATS) -> DataFrame:
