@@ -74,8 +74,6 @@ def _suspects(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for hashes, several in held:
         hashes, place, counts = np.unique(mix(hashes), return_index=True, return_counts=True)
         again = several[place] | (counts > 1) | once.has(hashes)
-        if (counts > 1).any():
-            again |= counts > 1
         twice.add(hashes[again])
         once.add(hashes)
     for hashes, _ in held:
@@ -91,8 +89,9 @@ def _key(line: Column) -> Column:
 
 def repeated_keys(docs: DataFrame, min_length: int = MIN_LENGTH, min_docs: int = MIN_DOCS) -> DataFrame:
     """(doc_id, digest): lines to drop, as SHA-256 of their key, in all documents but the one that keeps them."""
-    lines = docs.select("doc_id", F.split(F.coalesce("text", F.lit("")), "\n").alias("_l"))
-    lines = lines.select("doc_id", F.explode_outer("_l").alias("_line")).select("doc_id", _key(F.col("_line")).alias("key"))
+    # Keys are made inside the array, so that each is made once and the filter stays above.
+    keys = F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), _key)
+    lines = docs.select("doc_id", keys.alias("_k")).select("doc_id", F.explode_outer("_k").alias("key"))
     lines = lines.filter(F.length("key") >= min_length)
     hashed = lines.select(F.xxhash64("key").alias("h")).mapInPandas(_merge, "h long, twice boolean")
     suspects = hashed.repartition("h").mapInPandas(_suspects, "h long").distinct()

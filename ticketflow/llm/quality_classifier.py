@@ -35,6 +35,7 @@ BUCKETS = 256
 SHAPES = 10
 WIDTH = BUCKETS + SHAPES
 _BATCH = 2_000
+RIDGE_ROWS = 10
 
 
 class Model(NamedTuple):
@@ -106,6 +107,8 @@ def _descend(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None,
     first, second = np.zeros_like(theta), np.zeros_like(theta)
     add = lambda x: np.hstack([x, np.ones((len(x), 1))]).astype(np.float32)
     p, u = add(positive), add(unlabelled)
+    # The fewer rows, the stronger the pull to zero.
+    ridge = 1e-3 + RIDGE_ROWS / len(p)
     for step in range(1, steps + 1):
         short = theta.astype(np.float32)
         zp, zu = np.clip(p @ short, -80, 80), np.clip(u @ short, -80, 80)
@@ -118,7 +121,7 @@ def _descend(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None,
         else:
             risk = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
             slope = prior * as_positive + rest - prior * as_negative if risk >= 0 else prior * as_negative - rest
-        slope = slope + 1e-3 * theta
+        slope = slope + ridge * theta
         first = 0.9 * first + 0.1 * slope
         second = 0.999 * second + 0.001 * slope * slope
         theta = theta - 0.03 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)

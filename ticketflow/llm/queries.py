@@ -94,4 +94,66 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_ngram_jaccard,
     )
 }
-LLM_ORACLE: dict[str, str] = {}
+
+_LINE_SQL = r"""
+WITH split AS (
+  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents
+), numbered AS (
+  SELECT doc_id, unnest(parts) AS line, unnest(range(len(parts))) AS place FROM split
+), keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM numbered
+), often AS (
+  SELECT key, max(doc_id) AS keeper FROM keyed WHERE length(key) >= 40
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 5
+), judged AS (
+  SELECT k.*, o.key IS NOT NULL AND k.doc_id <> o.keeper AS gone FROM keyed k LEFT JOIN often o ON k.key = o.key
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
+
+_MIX_SQL = r"""
+WITH sized AS (
+  SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS k,
+         CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
+  FROM documents
+), per AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+         (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS kind FROM sized GROUP BY source
+), weighed AS (
+  SELECT *, CASE kind WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS w, 3 * source_size AS top
+  FROM per
+), ranked AS (
+  SELECT *, row_number() OVER (ORDER BY top / w, source NULLS LAST) AS r FROM weighed
+), levels AS (
+  SELECT a.source, a.source_size, a.kind, a.w, a.top, a.r,
+         ((SELECT sum(source_size) FROM per) - coalesce((SELECT sum(b.top) FROM ranked b WHERE b.r < a.r), 0))
+         / (SELECT sum(b.w) FROM ranked b WHERE b.r >= a.r) AS level
+  FROM ranked a
+), shared AS (
+  SELECT *, (SELECT l.level FROM levels l WHERE l.level * l.w < l.top ORDER BY l.r LIMIT 1) AS share FROM levels
+), targets AS (
+  SELECT *, CASE WHEN level * w >= top OR share IS NULL THEN CAST(top AS DOUBLE) ELSE share * w END AS target FROM shared
+), placed AS (
+  SELECT s.doc_id, s.size, t.source_size, t.target, t.kind,
+         sum(s.size) OVER (PARTITION BY s.source ORDER BY s.k, s.doc_id, s.size ROWS UNBOUNDED PRECEDING)
+         - s.size + s.size / 2 AS middle
+  FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
+), counted AS (
+  SELECT *, CASE WHEN size > 0 THEN CAST(least(greatest(ceil((target - middle) / source_size), 0), 3) AS BIGINT)
+            ELSE 0 END AS copies,
+         CASE kind WHEN 0 THEN 0.5::DOUBLE WHEN 1 THEN 1.0::DOUBLE ELSE 1.5::DOUBLE END AS a,
+         CASE kind WHEN 0 THEN 1.5::DOUBLE WHEN 1 THEN 1.0::DOUBLE ELSE 0.5::DOUBLE END AS b
+  FROM placed
+), timed AS (
+  SELECT *, CASE WHEN copies > 0 THEN middle / target * (a + b) / 2 END AS area FROM counted
+)
+SELECT doc_id, size, source_size, target, size * copies AS taken, copies,
+       CASE WHEN area IS NOT NULL THEN
+         round(least(greatest(2 * area / (a + sqrt(greatest(a * a + 2 * (b - a) * area, 0))), 0), 1), 6) END AS position
+FROM timed
+"""
+
+LLM_ORACLE: dict[str, str] = {"op3_line_dedup": _LINE_SQL, "op8_source_mixing": _MIX_SQL}
