@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ticketflow.sources.sinks import scratch_folder
+
 # Fixed by the contracts: the characters that separate words.
 SPACES = " \t\n\x0b\x0c\r"
 _IS_SPACE = np.zeros(256, dtype=bool)
@@ -25,17 +26,9 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder name in the folder that all executors share."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base is None:
-        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    return f"{base.rstrip('/')}/text-{uuid.uuid4().hex}"
-
-
 def cut_lineage(df: DataFrame) -> DataFrame:
     """The same rows, read back from a table in the shared folder."""
-    path = shared_folder(df.sparkSession)
+    path = scratch_folder(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
