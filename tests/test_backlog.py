@@ -236,3 +236,13 @@ def test_progress_with_shared_columns(spark):
     result = backlog(df, cuts, "TICKET", progress=seen).collect()
     assert seen["cases"].get == {"rows": 50}
     assert seen["backlog"].get == {"rows": len(result)} == {"rows": 2}
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_many_cut_dates_on_one_day(spark, conf, ansi):
+    conf("spark.sql.ansi.enabled", ansi)
+    moments = [at("2020-01-01") + dt.timedelta(minutes=i) for i in range(30)] + [at("2020-01-09")]
+    cuts = spark.createDataFrame([(m,) for m in moments], "CUTPOINT timestamp_ntz")
+    cases = spark.createDataFrame([(at("2020-01-05"), None)], "START timestamp_ntz, END timestamp_ntz")
+    found = {r.CUTPOINT: r.COUNT for r in backlog(cases, cuts).collect()}
+    assert found == {m: int(m == moments[-1]) for m in moments}

@@ -238,3 +238,12 @@ def test_highest_fte(spark):
 def test_boards_are_cut_before_the_shuffle(spark):
     text = plan(queries.leaderboard_longest_open(spark, DATA))
     assert "WindowGroupLimit" in text and "Partial" in text
+
+
+def test_tickets_without_a_month_stay_in_the_running_counts(spark):
+    counts = spark.createDataFrame(
+        [("2020-01", "Development", True, 2), ("2020-03", "Development", True, 1), (None, "Development", True, 4)],
+        "CREATED_MONTH string, TICKET string, CONFORM boolean, COUNT bigint",
+    )
+    found = {r.CREATED_MONTH: (r.COUNT, r.CUMULATIVE_COUNT) for r in conformance.conformance_cumulative(counts).collect()}
+    assert found == {"2020-01": (2, 2), "2020-02": (0, 2), "2020-03": (1, 3), None: (4, 4)}

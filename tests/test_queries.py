@@ -5,8 +5,9 @@ import pytest
 from conftest import DATA, plan
 
 import __spark_entry__ as entry
+from ticketflow.plans.oracle import ORACLE
+from ticketflow.plans.queries import QUERIES
 
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
 TYPES = {
     "bigint": "BIGINT",
     "int": "INTEGER",
@@ -34,6 +35,7 @@ def _table(frame):
 
 def test_every_query_has_its_sql():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

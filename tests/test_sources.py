@@ -39,6 +39,49 @@ def test_csv_round_trip(spark, tmp_path):
     assert first.startswith("s,n,x,d,t,b\n")
 
 
+def test_csv_columns_go_by_name(spark, tmp_path):
+    path = tmp_path / "t.csv"
+    path.write_text("CREATED_MONTH,OTHER,NEW_TICKET,TICKET\n2020-01,x,5,DEV\n")
+    df = reports.read_csv(spark, str(path), reports.REPORTS["t_nb_ticket"])
+    assert [tuple(r) for r in df.collect()] == [("2020-01", "DEV", 5)]
+    with pytest.raises(ValueError, match="APPGROUP"):
+        reports.read_csv(spark, str(path), reports.REPORTS["t_nb_ticket_team"])
+
+
+def test_csv_bad_cell_is_an_error(spark, tmp_path):
+    path = tmp_path / "t.csv"
+    path.write_text("TICKET,N\nDEV,5 x\n")
+    with pytest.raises(Exception, match="5 x|MALFORMED"):
+        reports.read_csv(spark, str(path), "TICKET string, N int").collect()
+
+
+def test_catalog_refresh_reads_itself_and_keeps_the_old_table(spark):
+    name = "refreshed_catalog_table"
+    try:
+        sinks.full_refresh_table(spark.range(5), name)
+        sinks.full_refresh_table(spark.table(name).filter("id > 2"), name)
+        assert [r.id for r in spark.table(name).orderBy("id").collect()] == [3, 4]
+        with pytest.raises(Exception, match="broken"):
+            sinks.full_refresh_table(spark.range(3).selectExpr("if(id = 1, raise_error('broken'), id) AS id"), name)
+        assert spark.table(name).count() == 2
+        assert [t.name for t in spark.catalog.listTables() if t.name.startswith(name)] == [name]
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_empty_text_counts_as_missing(spark, tmp_path):
+    tickets = spark.createDataFrame([(1, "", "", None, None), (2, "DEV", "A", None, None)], tables.TICKETS)
+    tickets.write.parquet(f"{tmp_path}/tickets.parquet")
+    found = {r.oid: (r.ticket_type, r.appgroup) for r in tables.read_table(spark, str(tmp_path), "tickets").collect()}
+    assert found == {1: (None, None), 2: ("DEV", "A")}
+
+
+def test_publish_refuses_a_time_of_day(spark, tmp_path):
+    cuts = spark.sql("SELECT TIMESTAMP_NTZ '2000-01-01 06:00:00' AS CUTPOINT")
+    with pytest.raises(Exception, match="time of day"):
+        publish(views.inputs(spark, DATA), str(tmp_path), cuts, queries.AS_OF)
+
+
 def test_full_refresh_with_and_without_an_old_table(spark, tmp_path):
     path = f"{tmp_path}/t.parquet"
     sinks.full_refresh(spark.range(10), path)

@@ -43,6 +43,11 @@ class _Extent:
     most_per_day: int
     missing: bool
 
+    @property
+    def small(self) -> bool:
+        """Whether the calendar, which holds a row a day and all cut dates, may be broadcast."""
+        return max(self.days, self.dates) <= BROADCAST_ROWS
+
     @property
     def days(self) -> int:
         return 0 if self.first_day is None else (self.last_day - self.first_day).days + 1
@@ -104,7 +109,7 @@ def _calendar(cutpoints: DataFrame, extent: _Extent) -> DataFrame:
     return spread.select(
         "calendar_day",
         F.when(has_cut, F.col("earlier")).otherwise(F.col("so_far")).alias("before"),
-        F.when(has_cut, F.col("times")).alias("times"),
+        F.when(has_cut, F.col("times")).otherwise(F.array().cast("array<timestamp_ntz>")).alias("times"),
     )
 
 
@@ -116,14 +121,15 @@ def _day_within(moment: Column, extent: _Extent) -> Column:
 def _passed(times: Column, moment: Column, closed: bool, extent: _Extent) -> Column:
     """How many of the day's cut dates lie before the moment (up to it, if closed).
 
-    Written out for a few cut dates a day, which compiles to plain comparisons.
+    Written out for a few cut dates a day, which compiles to plain comparisons;
+    either form counts the same.
     """
 
     def hit(time: Column) -> Column:
         return time <= moment if closed else time < moment
 
     if extent.most_per_day > WRITTEN_OUT:
-        return F.coalesce(F.size(F.filter(times, hit)), F.lit(0))
+        return F.coalesce(F.size(F.filter(F.coalesce(times, F.array().cast("array<timestamp_ntz>")), hit)), F.lit(0))
     hits = (F.when(hit(F.get(times, F.lit(i))), 1).otherwise(0) for i in range(extent.most_per_day))
     return reduce(add, hits)
 
@@ -146,7 +152,7 @@ def _with_number(cuts: DataFrame, calendar: DataFrame, extent: _Extent) -> DataF
     of_day = calendar.toDF("cut_day", "cut_before", "cut_times")
     number = F.col("cut_before") + _passed(F.col("cut_times"), at, True, extent)
     return (
-        cuts.join(_bounded(of_day, extent.days <= BROADCAST_ROWS), F.to_date(at) == F.col("cut_day"), "left")
+        cuts.join(_bounded(of_day, extent.small), F.to_date(at) == F.col("cut_day"), "left")
         .withColumn("nth", F.coalesce(number, F.lit(0)).cast("int"))
         .drop("cut_day", "cut_before", "cut_times")
     )
@@ -161,7 +167,7 @@ def _changes(
     single open case stay known.
     """
     start, end = F.col("START"), F.col("END")
-    small = extent.days <= BROADCAST_ROWS
+    small = extent.small
     opened = calendar.toDF("open_day", "open_before", "open_times")
     closed = calendar.toDF("close_day", "close_before", "close_times")
     placed = (

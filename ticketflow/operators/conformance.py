@@ -55,8 +55,13 @@ def conformance_cumulative(counts: DataFrame) -> DataFrame:
 
     Months are numbered; a class and flag holds at most one row per month, so
     the window that finds the first and last month sees a few hundred rows.
-    Looking them up in the tickets would scan those once more.
+    Looking them up in the tickets would scan those once more. Tickets without a
+    created month stand in no order: they keep a row of their own per class and
+    flag, with their own count as the running one.
     """
+    undated = counts.filter(F.col("CREATED_MONTH").isNull()).select(
+        "CREATED_MONTH", "TICKET", "CONFORM", "COUNT", F.col("COUNT").alias("CUMULATIVE_COUNT")
+    )
     first_day = F.to_date("CREATED_MONTH", "yyyy-MM")
     number = (F.year(first_day) * 12 + F.month(first_day) - 1).alias("_month")
     counts = counts.select(number, "TICKET", "CONFORM", "COUNT").filter(F.col("_month").isNotNull())
@@ -66,10 +71,11 @@ def conformance_cumulative(counts: DataFrame) -> DataFrame:
         counts.withColumns(bounds), ["TICKET", "CONFORM"], "_month", "COUNT", F.col("_first"), F.col("_last")
     )
     first_day = F.make_date(F.floor(F.col("_month") / 12).cast("int"), F.col("_month") % 12 + 1, F.lit(1))
-    return total.select(
+    dated = total.select(
         month_label(first_day).alias("CREATED_MONTH"),
         "TICKET",
         "CONFORM",
         "COUNT",
         F.col("running_total").alias("CUMULATIVE_COUNT"),
     )
+    return dated.unionByName(undated)

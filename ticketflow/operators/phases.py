@@ -49,7 +49,8 @@ def label_phase(worktime: DataFrame, milestones: DataFrame, hot: DataFrame | Non
         worktime, first_milestones(milestones), "oid", "milestone_oid", list(DAILY_KEYS), hot, "left"
     )
     phase = phase_of(F.col("targetday"), F.col("first_demand"), F.col("first_release"))
-    return joined.select(*worktime.columns, phase.alias("phase"))
+    kept = [name for name in worktime.columns if name != "phase"]
+    return joined.select(*kept, phase.alias("phase"))
 
 
 def released(worktime: DataFrame, milestones: DataFrame, hot: DataFrame | None = None) -> DataFrame:

@@ -14,7 +14,7 @@ tickets AS (
          c_mktsegment AS appgroup,
          o_orderdate AS created,
          CASE WHEN o_orderstatus = 'F' THEN o_orderdate + to_days(CAST(o_orderkey % 97 AS INT)) END AS closed
-  FROM orders JOIN customer ON o_custkey = c_custkey)"""
+  FROM orders LEFT JOIN customer ON c_custkey = o_custkey)"""
 
 CLASSED = """
 classed AS (
@@ -53,14 +53,15 @@ milestones AS (
   FROM orders WHERE o_orderkey % 13 <> 0 AND o_orderkey % 11 = 0)"""
 
 ENRICHED = """
+people AS (
+  SELECT users.oid AS person, users.name AS user_worktimesheet, place.name AS userorg_worktimesheet
+  FROM users LEFT JOIN organizations AS place ON place.oid = users.defaultorganization),
+kinds AS (SELECT oid AS kind, name AS kind_name FROM action_groups),
 enriched AS (
-  SELECT a.issue, b.name AS user_worktimesheet, c.name AS userorg_worktimesheet,
-         d.name AS actiontypegroup, a.startdate, a.hours
-  FROM worktimesheet a
-  LEFT JOIN users b ON a.owner = b.oid
-  LEFT JOIN organizations c ON b.defaultorganization = c.oid
-  LEFT JOIN action_groups d ON a.actiontypegroup = d.oid
-  WHERE a.timetype = 'WorkTime')"""
+  SELECT issue, user_worktimesheet, userorg_worktimesheet, kind_name AS actiontypegroup, startdate, hours
+  FROM (SELECT * FROM worktimesheet WHERE timetype = 'WorkTime') AS booked
+  LEFT JOIN kinds ON kind = booked.actiontypegroup
+  LEFT JOIN people ON person = booked.owner)"""
 
 DAILY = """
 daily AS (
@@ -73,15 +74,13 @@ by_ticket AS (
   SELECT t.*, d.* FROM tickets t JOIN daily d ON t.oid = d.issue)"""
 
 LABELLED = """
+starts AS (
+  SELECT oid AS case_oid, min(release_start) AS released, min(demand_start) AS demanded FROM milestones GROUP BY oid),
 labelled AS (
-  SELECT w.*,
-         CASE WHEN EXISTS (SELECT 1 FROM milestones m WHERE m.oid = w.oid AND m.release_start IS NOT NULL
-                           AND w.targetday >= m.release_start) THEN 'Release'
-              WHEN EXISTS (SELECT 1 FROM milestones m WHERE m.oid = w.oid AND m.demand_start IS NOT NULL
-                           AND w.targetday >= m.demand_start) THEN 'Demand'
-              WHEN EXISTS (SELECT 1 FROM milestones m WHERE m.oid = w.oid AND m.demand_start IS NOT NULL
-                           AND w.targetday < m.demand_start) THEN 'Pre-demand' END AS phase
-  FROM by_ticket w)"""
+  SELECT by_ticket.*,
+         CASE WHEN targetday >= released THEN 'Release' WHEN targetday >= demanded THEN 'Demand'
+              WHEN targetday < demanded THEN 'Pre-demand' END AS phase
+  FROM by_ticket LEFT JOIN starts ON case_oid = by_ticket.oid)"""
 
 MONTH_CUTS = """
 cuts AS (
@@ -134,6 +133,13 @@ _FULL = (
 _NO_TEAM = _FULL.replace("appgroup, ", "")
 
 
+def _moments(step: str) -> str:
+    return f"""
+cuts AS (
+  SELECT unnest(generate_series(TIMESTAMP '1997-03-01 00:00:00', TIMESTAMP '1997-03-31 23:00:00', INTERVAL {step}))
+         AS cutpoint)"""
+
+
 def _backlog(cuts: str, *groups: str, source: str = "tickets", count: str = "COUNT") -> str:
     parts = (TICKETS, CLASSED, cuts) if source == "classed" else (TICKETS, cuts)
     selected = "".join(f", {g} AS {a}" for g, a in (x.split(":") for x in groups))
@@ -172,7 +178,8 @@ def _throughput_time(team: bool) -> str:
 
 def _fte(breakdown: str, alias: str, where: str, team: bool, norm: bool) -> str:
     organisation = ', userorg_worktimesheet AS "USERORG_WORKTIMESHEET"' if team else ""
-    per_ticket = ', sum(hours_worktimesheet) / 160.0::DOUBLE / count(DISTINCT oid) AS "FTE_NORM"' if norm else ""
+    booked = "count(DISTINCT CASE WHEN hours_worktimesheet IS NOT NULL THEN oid END)"
+    per_ticket = f', sum(hours_worktimesheet) / 160.0::DOUBLE / nullif({booked}, 0) AS "FTE_NORM"' if norm else ""
     return _with(
         *_LABELLED,
         """
@@ -207,6 +214,12 @@ _PHASE_LABEL = _with(*_LABELLED, then=f"SELECT {_FULL}, phase FROM labelled")
 ORACLE: dict[str, str] = {
     "src_tickets": _with(TICKETS, then="SELECT * FROM tickets"),
     "src_worktime": _with(WORKTIMESHEET, then="SELECT * FROM worktimesheet"),
+    "src_users": _with(LOOKUPS, then="SELECT oid, name, CAST(defaultorganization AS BIGINT) AS defaultorganization FROM users"),
+    "src_organizations": _with(LOOKUPS, then="SELECT CAST(oid AS BIGINT) AS oid, name FROM organizations"),
+    "src_action_groups": _with(LOOKUPS, then="SELECT CAST(oid AS BIGINT) AS oid, name FROM action_groups"),
+    "src_milestones": _with(MILESTONES, then="SELECT * FROM milestones"),
+    "src_csv_reordered": _with(TICKETS, then="SELECT * FROM tickets"),
+    "sink_catalog_refresh": _with(TICKETS, then="SELECT * FROM tickets WHERE closed IS NULL"),
     "src_csv_roundtrip": _with(TICKETS, then="SELECT * FROM tickets"),
     "sink_full_refresh": _PHASE_LABEL,
     "publish_conformance_csv": _CONFORMANCE_DETAIL,
@@ -246,13 +259,13 @@ FROM tickets""",
     "worktime_by_ticket": _by_ticket(_FULL),
     "worktime_sorted": _by_ticket(_FULL) + " ORDER BY oid NULLS LAST, targetday NULLS LAST",
     "phase_label": _PHASE_LABEL,
-    "phase_label_stored": _with(*_LABELLED, then=f"SELECT {_NO_TEAM}, phase FROM labelled"),
+    "phase_label_stored": _with(*_LABELLED, then=f"SELECT {_FULL}, phase FROM labelled"),
     "phase_unlabelled": _PHASE_LABEL + " WHERE phase IS NULL",
     "phase_release_semi": _with(
         *_BY_TICKET,
         MILESTONES,
         then=f"""
-SELECT {_NO_TEAM} FROM by_ticket w
+SELECT {_FULL} FROM by_ticket w
 WHERE EXISTS (SELECT 1 FROM milestones m WHERE m.oid = w.oid AND m.release_start IS NOT NULL
               AND w.targetday >= m.release_start)""",
     ),
@@ -260,14 +273,16 @@ WHERE EXISTS (SELECT 1 FROM milestones m WHERE m.oid = w.oid AND m.release_start
     "backlog_by_type": _backlog(MONTH_CUTS, "ticket_type:ticket_type"),
     "backlog_by_type_team": _backlog(MONTH_CUTS, "ticket_type:ticket_type", "appgroup:appgroup"),
     "backlog_daily": _backlog(DAY_CUTS, "ticket_type:ticket_type"),
+    "backlog_hourly": _backlog(_moments("1 HOUR"), "ticket_type:ticket_type"),
+    "backlog_minutely": _backlog(_moments("1 MINUTE"), "ticket_type:ticket_type"),
     "backlog_matched_cutpoints": _with(
         TICKETS,
         """
 cuts AS (
   SELECT f.ticket_type, CAST(f.cut AS DATE) AS cutpoint
   FROM (SELECT ticket_type, unnest(generate_series(date_trunc('month', min(created)), TIMESTAMP '2001-12-01',
-                                                   to_months(CAST(length(ticket_type) AS INT)))) AS cut
-        FROM tickets WHERE ticket_type <> 'INC' GROUP BY ticket_type) f)""",
+                                                   INTERVAL 1 MONTH)) AS cut
+        FROM tickets GROUP BY ticket_type) f)""",
         then="""
 SELECT c.cutpoint AS "CUTPOINT", t.ticket_type, t.appgroup,
        CAST(sum(CASE WHEN c.cutpoint >= created AND (closed IS NULL OR c.cutpoint <= closed) THEN 1 ELSE 0 END)

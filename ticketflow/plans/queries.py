@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ticketflow.functions.calendar import month_starts, month_starts_between
@@ -17,12 +18,14 @@ from ticketflow.operators.backlog import STEPS, backlog
 from ticketflow.plans import booked_time as bt
 from ticketflow.plans import views
 from ticketflow.sources.reports import read_csv, read_report, write_csv, write_report
-from ticketflow.sources.sinks import full_refresh, scratch_folder
+from ticketflow.sources.sinks import full_refresh, full_refresh_table, scratch_folder
+from ticketflow.sources.tables import without_blanks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 AS_OF = dt.date(2002, 1, 1)
 FIRST_CUT, LAST_CUT = dt.date(1995, 1, 1), dt.date(2001, 12, 1)
+MONTH_BEGIN, MONTH_END = "1997-03-01 00:00:00", "1997-03-31 23:00:00"
 
 
 def _cuts(spark: SparkSession) -> DataFrame:
@@ -49,6 +52,38 @@ def src_worktime(spark: SparkSession, base: str) -> DataFrame:
     return views.worktimesheet(spark, base)
 
 
+def src_users(spark: SparkSession, base: str) -> DataFrame:
+    return without_blanks(views.permissionpolicyuser(spark, base))
+
+
+def src_organizations(spark: SparkSession, base: str) -> DataFrame:
+    return without_blanks(views.organization(spark, base))
+
+
+def src_action_groups(spark: SparkSession, base: str) -> DataFrame:
+    return without_blanks(views.actiontypegroup(spark, base))
+
+
+def src_milestones(spark: SparkSession, base: str) -> DataFrame:
+    return views.dev_milestones(spark, base)
+
+
+def src_csv_reordered(spark: SparkSession, base: str) -> DataFrame:
+    """A file whose columns stand in another order than declared."""
+    tickets = views.tickets(spark, base)
+    path = f"{scratch_folder(spark)}/tickets.csv"
+    write_csv(tickets.select(*reversed(tickets.columns)), path)
+    return read_csv(spark, path, tickets.schema)
+
+
+def sink_catalog_refresh(spark: SparkSession, base: str) -> DataFrame:
+    """A table of the catalog replaced by rows read from itself."""
+    name = f"t_isd_tickets_{uuid.uuid4().hex}"
+    full_refresh_table(views.tickets(spark, base), name)
+    full_refresh_table(spark.table(name).filter("closed IS NULL"), name, ("oid",))
+    return spark.table(name)
+
+
 def src_csv_roundtrip(spark: SparkSession, base: str) -> DataFrame:
     tickets = views.tickets(spark, base)
     path = f"{scratch_folder(spark)}/tickets.csv"
@@ -140,7 +175,7 @@ def phase_label(spark: SparkSession, base: str) -> DataFrame:
 def phase_label_stored(spark: SparkSession, base: str) -> DataFrame:
     """The label added to an existing table of booked time."""
     hot = bt.hot_issues(views.worktimesheet(spark, base))
-    return phases.label_phase(_worktime(spark, base, team=False), views.dev_milestones(spark, base), hot)
+    return phases.label_phase(_worktime(spark, base), views.dev_milestones(spark, base), hot)
 
 
 def phase_unlabelled(spark: SparkSession, base: str) -> DataFrame:
@@ -149,7 +184,7 @@ def phase_unlabelled(spark: SparkSession, base: str) -> DataFrame:
 
 def phase_release_semi(spark: SparkSession, base: str) -> DataFrame:
     hot = bt.hot_issues(views.worktimesheet(spark, base))
-    return phases.released(_worktime(spark, base, team=False), views.dev_milestones(spark, base), hot)
+    return phases.released(_worktime(spark, base), views.dev_milestones(spark, base), hot)
 
 
 # Backlog
@@ -173,11 +208,31 @@ def backlog_daily(spark: SparkSession, base: str) -> DataFrame:
     return backlog(_cases(spark, base), spark.range(1).select(F.explode(days).alias("CUTPOINT")), "ticket_type")
 
 
+def backlog_hourly(spark: SparkSession, base: str) -> DataFrame:
+    """Every hour of one month."""
+    return backlog(_cases(spark, base), _moments(spark, F.make_dt_interval(hours=F.lit(1))), "ticket_type")
+
+
+def backlog_minutely(spark: SparkSession, base: str) -> DataFrame:
+    """Every minute of one month."""
+    return backlog(_cases(spark, base), _moments(spark, F.make_dt_interval(mins=F.lit(1))), "ticket_type")
+
+
+def _moments(spark: SparkSession, step: Column) -> DataFrame:
+    bounds = (F.lit(at).cast("timestamp_ntz") for at in (MONTH_BEGIN, MONTH_END))
+    return spark.range(1).select(F.explode(F.sequence(*bounds, step)).alias("CUTPOINT"))
+
+
 def backlog_matched_cutpoints(spark: SparkSession, base: str) -> DataFrame:
-    """Each type at its own cut dates: the month starts from its first ticket on, INC left out."""
+    """Each type at its own cut dates: the month starts from its first ticket on.
+
+    The cut dates also name a type that no ticket has; it meets nothing.
+    """
     first = views.tickets(spark, base, team=False).groupBy("ticket_type").agg(F.min("created").alias("first"))
-    later = F.sequence(F.trunc("first", "month"), F.lit(LAST_CUT), F.make_ym_interval(months=F.length("ticket_type")))
-    cutpoints = first.filter(F.col("ticket_type") != "INC").select("ticket_type", F.explode(later).alias("CUTPOINT"))
+    later = F.sequence(F.trunc("first", "month"), F.lit(LAST_CUT), F.make_ym_interval(months=F.lit(1)))
+    cutpoints = first.select("ticket_type", F.explode(later).alias("CUTPOINT"))
+    unmatched = spark.range(1).select(F.lit("no such type").alias("ticket_type"), F.lit(LAST_CUT).alias("CUTPOINT"))
+    cutpoints = cutpoints.select("ticket_type", F.to_date("CUTPOINT").alias("CUTPOINT")).unionByName(unmatched)
     return backlog(_cases(spark, base, team=True), cutpoints, "ticket_type", "appgroup")
 
 
@@ -299,6 +354,12 @@ def leaderboard_display(spark: SparkSession, base: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "src_tickets": src_tickets,
     "src_worktime": src_worktime,
+    "src_users": src_users,
+    "src_organizations": src_organizations,
+    "src_action_groups": src_action_groups,
+    "src_milestones": src_milestones,
+    "src_csv_reordered": src_csv_reordered,
+    "sink_catalog_refresh": sink_catalog_refresh,
     "src_csv_roundtrip": src_csv_roundtrip,
     "sink_full_refresh": sink_full_refresh,
     "publish_conformance_csv": publish_conformance_csv,
@@ -323,6 +384,8 @@ QUERIES: dict[str, Query] = {
     "backlog_by_type": backlog_by_type,
     "backlog_by_type_team": backlog_by_type_team,
     "backlog_daily": backlog_daily,
+    "backlog_hourly": backlog_hourly,
+    "backlog_minutely": backlog_minutely,
     "backlog_matched_cutpoints": backlog_matched_cutpoints,
     "backlog_observed": backlog_observed,
     "backlog_month_start": backlog_month_start,

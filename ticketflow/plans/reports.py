@@ -5,11 +5,12 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ticketflow.operators import conformance, effort, flow, leaderboard, worktime
 from ticketflow.plans.booked_time import Inputs, booked_time, hot_issues, named_work
 from ticketflow.sources.reports import read_report, write_report
-from ticketflow.sources.sinks import full_refresh, scratch_folder
+from ticketflow.sources.sinks import full_refresh, remove_folder, scratch_folder
 
 
 def publish(inputs: Inputs, folder: str, cutpoints: DataFrame, as_of: dt.date) -> None:
@@ -18,9 +19,13 @@ def publish(inputs: Inputs, folder: str, cutpoints: DataFrame, as_of: dt.date) -
     What several reports need is computed once and read back from shared
     storage: the booked-time table, its monthly sums, the counts by team and
     the conformance of each ticket. A lost executor costs only its own tasks.
+    Backlog comes ordered by cut date and class, a board in the order of its
+    blocks. The backlog report holds dates, so a cut date with a time of day is
+    an error.
     """
     tickets = inputs.tickets
     spark = tickets.sparkSession
+    scratch = scratch_folder(spark)
 
     def stored(df: DataFrame, path: str, sort_by: tuple[str, ...] = ()) -> DataFrame:
         full_refresh(df, path, sort_by)
@@ -38,7 +43,7 @@ def publish(inputs: Inputs, folder: str, cutpoints: DataFrame, as_of: dt.date) -
         f"{folder}/t_isd_worktimesheet.parquet",
         ("oid", "targetday"),
     )
-    monthly = stored(effort.monthly_effort(time), f"{scratch_folder(spark)}/monthly.parquet")
+    monthly = stored(effort.monthly_effort(time), f"{scratch}/monthly.parquet")
     for suffix, team in (("", False), ("_team", True)):
         report(f"t_fte_ticket{suffix}", effort.fte_by_class(monthly, team))
         report(f"t_fte_phases{suffix}", effort.fte_by_phase(monthly, team))
@@ -48,11 +53,21 @@ def publish(inputs: Inputs, folder: str, cutpoints: DataFrame, as_of: dt.date) -
     report("t_nb_ticket", flow.over_teams(new, "NEW_TICKET"))
     closed = report("t_throughput_ticket_team", flow.throughput(tickets, team=True))
     report("t_throughput_ticket", flow.over_teams(closed, "THROUGHPUT"))
-    backlog = report("t_backlog_ticket_team", flow.backlog_at(tickets, cutpoints, team=True))
-    report("t_backlog_ticket", flow.over_teams(backlog, "BACKLOG"))
+    day = F.to_date("CUTPOINT")
+    within = F.raise_error(F.lit("a cut date of the backlog report has a time of day")).cast("date")
+    whole = cutpoints.withColumn(
+        "CUTPOINT", F.when(day.cast("timestamp_ntz") == F.col("CUTPOINT").cast("timestamp_ntz"), day).otherwise(within)
+    )
+    backlog = stored(flow.backlog_at(tickets, whole, team=True), f"{scratch}/backlog.parquet")
+    report("t_backlog_ticket_team", backlog.orderBy("CUTPOINT", "TICKET", "APPGROUP"))
+    report("t_backlog_ticket", flow.over_teams(backlog, "BACKLOG").orderBy("CUTPOINT", "TICKET"))
 
     detail = report("t_conf", conformance.conformance_detail(tickets, inputs.dev_milestones))
     report("t_conf_agg", conformance.conformance_cumulative(conformance.conformance_count(detail)))
 
-    report("t_lb_tp_open", leaderboard.longest_open(tickets, as_of))
-    report("t_lb_fte_open", leaderboard.highest_fte(tickets, worktime.total_hours(monthly)))
+    # A few rows per class: one file keeps their order.
+    longest = leaderboard.longest_open(tickets, as_of)
+    report("t_lb_tp_open", longest.orderBy("TICKET", "RANK").coalesce(1))
+    highest = leaderboard.highest_fte(tickets, worktime.total_hours(monthly))
+    report("t_lb_fte_open", highest.orderBy("TICKET", "RANK").coalesce(1))
+    remove_folder(spark, scratch)

@@ -47,11 +47,23 @@ _DIALECT = {
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, multiline: bool = True) -> DataFrame:
     """CSV with a declared schema; empty strings count as missing.
 
+    Columns are found by their name in the header line, whatever their order;
+    others are left out, a missing one is an error. A cell that does not parse
+    as its type fails the read.
     Inference would turn month labels into timestamps, so a schema is needed.
     A file with quoted line breaks cannot be split between tasks; pass
     `multiline=False` for large single files known to hold none.
     """
-    df = spark.read.options(**_DIALECT).option("multiLine", multiline).schema(schema).csv(path)
+    declared = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    reader = spark.read.options(**_DIALECT).option("multiLine", multiline)
+    header = reader.csv(path).columns
+    missing = [name for name in declared.fieldNames() if name not in header]
+    if missing:
+        raise ValueError(f"no column {', '.join(missing)} in the header of {path}")
+    kinds = {f.name: f.dataType for f in declared.fields}
+    in_file = T.StructType([T.StructField(name, kinds.get(name, T.StringType())) for name in header])
+    df = reader.options(mode="FAILFAST", enforceSchema="false").schema(in_file).csv(path)
+    df = df.select(*declared.fieldNames())
     return df.select(
         *(
             blank_to_null(F.col(f.name)).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name)

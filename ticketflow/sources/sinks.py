@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -11,9 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 def full_refresh(df: DataFrame, path: str, sort_by: tuple[str, ...] = ()) -> None:
     """Replace the Parquet table at `path`, whether or not it exists yet.
 
-    The new rows are written next to the table first and take its place only
-    when complete, so a failed run leaves the old table readable. `sort_by`
-    orders the rows inside each file. That needs no shuffle; a table promises
+    The new rows are written next to the table first. When complete, the old
+    table moves aside and the new one takes its place; the old one is deleted
+    last and moved back if the new one cannot take its place. `sort_by` orders the rows inside each file. That needs no shuffle; a table promises
     no order across its files.
     """
     spark = df.sparkSession
@@ -28,16 +29,48 @@ def full_refresh(df: DataFrame, path: str, sort_by: tuple[str, ...] = ()) -> Non
     except Exception:
         files.delete(staging, True)
         raise
-    files.delete(target, True)
+    old = hadoop.Path(f"{path.rstrip('/')}__old_{uuid.uuid4().hex}")
+    replaces = files.exists(target)
+    if replaces and not files.rename(target, old):
+        files.delete(staging, True)
+        raise OSError(f"could not move the old table at {path} aside")
     if not files.rename(staging, target):
-        raise OSError(f"could not move {staging.toString()} to {path}")
+        if replaces:
+            files.rename(old, target)
+        files.delete(staging, True)
+        raise OSError(f"could not move the new table to {path}")
+    if replaces:
+        files.delete(old, True)
 
 
 def full_refresh_table(df: DataFrame, name: str, sort_by: tuple[str, ...] = ()) -> None:
-    """Replace a table of the catalog by the rows of `df`, whether or not it exists yet."""
+    """Replace a table of the catalog by the rows of `df`, whether or not it exists yet.
+
+    Written under another name and swapped by renaming, so `df` may read the
+    table itself and a failed run leaves the old one.
+    """
+    spark = df.sparkSession
     if sort_by:
         df = df.sortWithinPartitions(*sort_by)
-    df.write.mode("overwrite").format("parquet").saveAsTable(name)
+    mark = uuid.uuid4().hex
+    staging, old = f"{name}__new_{mark}", f"{name}__old_{mark}"
+    try:
+        df.write.format("parquet").saveAsTable(staging)
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {staging}")
+        raise
+    replaces = spark.catalog.tableExists(name)
+    if replaces:
+        spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
+    try:
+        spark.sql(f"ALTER TABLE {staging} RENAME TO {name}")
+    except Exception:
+        if replaces:
+            spark.sql(f"ALTER TABLE {old} RENAME TO {name}")
+        spark.sql(f"DROP TABLE IF EXISTS {staging}")
+        raise
+    if replaces:
+        spark.sql(f"DROP TABLE {old}")
 
 
 def scratch_folder(spark: SparkSession) -> str:
@@ -48,7 +81,14 @@ def scratch_folder(spark: SparkSession) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
-        if not spark.sparkContext.master.startswith("local"):
+        # local[...] is one machine; local-cluster is not treated as one.
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         base = tempfile.gettempdir()
     return f"{base.rstrip('/')}/ticketflow-{uuid.uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder and all it holds."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

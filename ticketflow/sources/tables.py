@@ -50,16 +50,26 @@ SCHEMAS = {
 
 
 def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
-    """One input table, found by name under the base folder.
+    """One input table, found by name under the base folder; empty strings count as missing.
 
     The declared schema spares Spark the look into a file's footer.
     """
-    return spark.read.schema(SCHEMAS[name]).parquet(f"{base}/{name}.parquet")
+    return without_blanks(spark.read.schema(SCHEMAS[name]).parquet(f"{base}/{name}.parquet"))
 
 
 def catalog_table(spark: SparkSession, name: str, schema: str | None = None) -> DataFrame:
-    """A table of the catalog, with its schema as prefix if it has one."""
-    return spark.table(f"{schema}.{name}" if schema else name)
+    """A table of the catalog, with its schema as prefix if it has one; empty strings count as missing."""
+    return without_blanks(spark.table(f"{schema}.{name}" if schema else name))
+
+
+def without_blanks(df: DataFrame) -> DataFrame:
+    """Every empty string of a text column as a missing value."""
+    return df.select(
+        *(
+            blank_to_null(F.col(f.name)).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name)
+            for f in df.schema.fields
+        )
+    )
 
 
 def blank_to_null(text: Column) -> Column:
