@@ -62,11 +62,18 @@ def catalog_table(spark: SparkSession, name: str, schema: str | None = None) ->
     return without_blanks(spark.table(f"{schema}.{name}" if schema else name))
 
 
+# Only ever compared with one kind of booking, which an empty string does not
+# equal; left as it is, the comparison reaches the file scan.
+_AS_IS = ("timetype",)
+
+
 def without_blanks(df: DataFrame) -> DataFrame:
-    """Every empty string of a text column as a missing value."""
+    """Every empty string of a text column as a missing value, but for columns only compared with a set value."""
     return df.select(
         *(
-            blank_to_null(F.col(f.name)).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name)
+            blank_to_null(F.col(f.name)).alias(f.name)
+            if isinstance(f.dataType, T.StringType) and f.name not in _AS_IS
+            else F.col(f.name)
             for f in df.schema.fields
         )
     )
