@@ -23,8 +23,10 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -69,10 +71,14 @@ def findings(text: str) -> list[tuple[int, int, int, str]]:
         found.extend((1, m.start(), m.end(), m[0]) for m in ACCESS.finditer(text))
     found.extend((2, m.start(), m.end(), m[0]) for m in HEX.finditer(text))
     covered = sorted((a, b) for _, a, b, _ in found)
+    begins = [a for a, _ in covered]
+    # The furthest end of all base findings up to each one; they may overlap.
+    ends = list(accumulate((b for _, b in covered), max))
     for m in FREE.finditer(text):
         value = m[0]
         if any(c.isdigit() for c in value) and any(c.isalpha() for c in value):
-            if not any(a < m.end() and m.start() < b for a, b in covered):
+            before = bisect_left(begins, m.end())
+            if not before or ends[before - 1] <= m.start():
                 found.append((3, m.start(), m.end(), value))
     return sorted(found, key=lambda x: (x[1], x[0]))
 
