@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 from collections import Counter
 
@@ -139,6 +140,27 @@ def test_secret_base_spans(docs, texts):
     assert ordered(r[:5] for r in found) == ordered(expected)
 
 
+def test_secret_free_tokens_stay_clear_of_base_findings():
+    rng = random.Random(3)
+    for _ in range(500):
+        parts = []
+        for _ in range(rng.randint(1, 12)):
+            letters = "abcdef0123456789ABCXYZ" + rng.choice(["", " =/"])
+            begin = rng.choice(["password=", "token: ", "", " ", "AKIA", "="])
+            parts.append(begin + "".join(rng.choices(letters, k=rng.randint(5, 45))))
+        text = rng.choice(["", " ", "\n"]).join(parts)
+        found = secrets.findings(text)
+        base = [(a, b) for k, a, b, _ in found if k < 3]
+        free = [
+            m.span()
+            for m in secrets.FREE.finditer(text)
+            if any(c.isdigit() for c in m[0])
+            and any(c.isalpha() for c in m[0])
+            and not any(a < m.end() and m.start() < b for a, b in base)
+        ]
+        assert [(a, b) for k, a, b, _ in found if k == 3] == free
+
+
 def test_secret_ownership(spark):
     key = "Zx81kQ02mV77pL3s9TbY"
     rows = [(i, f"value {key}A end", f"o{i}", 1) for i in range(5)] + [(9, f"value {key}B end", "o1", 1), (10, None, None, 1)]
