@@ -217,7 +217,7 @@ def near_components(docs: DataFrame, words: int, percent: int) -> DataFrame:
     answered = answers(by_chunk.applyInPandas(_requests(words, shards), LIST))
     sets = cut_lineage(by_chunk.cogroup(answered.groupBy("chunk")).applyInPandas(_sets(words, percent), _SET))
     # One node per class of equal sets: its smallest doc_id.
-    classes = sets.filter("n > 0").groupBy("set").agg(F.min("doc_id").alias("node"))
+    classes = cut_lineage(sets.filter("n > 0").groupBy("set").agg(F.min("doc_id").alias("node")))
     keeper = classes.withColumnRenamed("set", "_s")
     candidates = sets.filter("tokens IS NOT NULL").join(
         keeper, (F.col("set") == F.col("_s")) & (F.col("doc_id") == F.col("node"))
@@ -237,12 +237,12 @@ def near_components(docs: DataFrame, words: int, percent: int) -> DataFrame:
     dealt = dealt.repartition("label", "low", "high").sortWithinPartitions("label", "low", "high", "node")
     forest = dealt.mapInPandas(_verify(percent), "a long, b long")
     found = components(forest).withColumnsRenamed({"node": "_node", "component": "_component"})
-    named = sets.select("doc_id", "n", "set").join(classes, "set", "left").join(found, F.col("node") == F.col("_node"), "left")
-    return named.select(
-        "doc_id",
-        F.col("n").alias("n_shingles"),
-        F.coalesce("_component", "node", "doc_id").alias("component_id"),
-    )
+    # Classes get their component first. The documents then meet them in one join of two tables, which adaptive
+    # execution splits where very many documents hold one set.
+    placed = classes.join(found, F.col("node") == F.col("_node"), "left")
+    placed = cut_lineage(placed.select(F.col("set").alias("_s"), F.coalesce("_component", "node").alias("_c")))
+    named = sets.select("doc_id", "n", "set").join(placed, F.col("set") == F.col("_s"), "left")
+    return named.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("_c", "doc_id").alias("component_id"))
 
 
 def jaccard_join(docs: DataFrame, words: int, percent: int) -> DataFrame:
