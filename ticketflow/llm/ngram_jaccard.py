@@ -238,7 +238,7 @@ def near_components(docs: DataFrame, words: int, percent: int) -> DataFrame:
     forest = dealt.mapInPandas(_verify(percent), "a long, b long")
     found = components(forest).withColumnsRenamed({"node": "_node", "component": "_component"})
     # Classes get their component first. The documents then meet them in one join of two tables, which adaptive
-    # execution splits where very many documents hold one set.
+    # execution can split where very many documents hold one set.
     placed = classes.join(found, F.col("node") == F.col("_node"), "left")
     placed = cut_lineage(placed.select(F.col("set").alias("_s"), F.coalesce("_component", "node").alias("_c")))
     named = sets.select("doc_id", "n", "set").join(placed, F.col("set") == F.col("_s"), "left")
