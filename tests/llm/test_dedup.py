@@ -90,6 +90,15 @@ def test_suffix_array():
         assert suffix_dedup.suffix_array(text).tolist() == sorted(range(len(text)), key=lambda i: text[i:].tolist())
 
 
+def test_suffix_array_of_large_symbols():
+    # Three names below 4 million do not fit one 64-bit number, as in the recursion over a shard of 10 MB.
+    rng = random.Random(4)
+    large = [1, 2, 2_200_000, 2_900_000, 3_999_998, 3_999_999]
+    for _ in range(200):
+        text = np.array([rng.choice(large) for _ in range(rng.randint(3, 90))], dtype=np.int64)
+        assert suffix_dedup.suffix_array(text).tolist() == sorted(range(len(text)), key=lambda i: text[i:].tolist())
+
+
 def test_wavelet_matrix_counts():
     values = np.random.default_rng(1).integers(0, 13, 500)
     matrix = substring_dedup.WaveletMatrix(values, 4)
