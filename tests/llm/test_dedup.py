@@ -83,6 +83,39 @@ def test_repeated_byte_strings(docs, texts):
     assert ordered(found) == ordered(expected)
 
 
+@pytest.mark.parametrize("phrase_words", [12, 60])
+@pytest.mark.parametrize(
+    ("module", "run"),
+    [
+        (substring_dedup, lambda d: substring_dedup.substring_digest(substring_dedup.dedup_substrings(d))),
+        (suffix_dedup, lambda d: suffix_dedup.suffix_digest(suffix_dedup.dedup_suffixes(d))),
+    ],
+)
+def test_hot_anchors_are_dealt_again(spark, monkeypatch, module, run, phrase_words):
+    rng = random.Random(phrase_words)
+    some = lambda n: [f"{rng.randrange(1 << 20):x}" for _ in range(n)]
+    phrase, rows = some(phrase_words), []
+    for i in range(300):
+        before, after = some(30), some(30)
+        rows.append((i, " ".join(before + phrase + after)))
+        if i % 5 == 0:
+            rows.append((1000 - i, " ".join([*some(3), *before[-25:], *phrase, *after[:20]])))
+    rows.append((2000, " ".join([*phrase, *some(5), *phrase, *phrase])))
+    rows.append((2001, " ".join(["same"] * 400 + phrase)))
+    df = spark.createDataFrame([(d, t, "s", 1, 2, 3) for d, t in rows], SCHEMA).repartition(3)
+    expected = ordered(run(df).collect())
+    assert sum(r[2] for r in expected) > 0
+    plan = module.PLAN._replace(shard_bytes=6000)
+    judge, bound = plan.judge, 2 * plan.shard_bytes
+
+    def bounded(contents, *rest):
+        assert len(contents) == 1 or sum(map(len, contents)) <= bound
+        return judge(contents, *rest)
+
+    monkeypatch.setattr(module, "PLAN", plan._replace(judge=bounded))
+    assert ordered(run(df).collect()) == expected
+
+
 def test_suffix_array():
     rng = random.Random(3)
     for _ in range(200):

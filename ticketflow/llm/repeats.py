@@ -14,6 +14,12 @@ window of a text lies in one segment. Shards are consecutive whole anchors up
 to a plan's shard_bytes, which bounds the index; an anchor that occurs very often
 loses its equal segments before the shuffle.
 
+An anchor whose distinct segments exceed shard_bytes is dealt again: its
+segments are cut by a second anchor, the least gram under another hash, which
+equal windows share as well, and the pieces go to shards of their own. What is
+still too large after DEALS rounds is dealt window by window, each with the
+digest of its content, and counted. So no shard grows with the corpus.
+
 Texts that are equal as a whole are told apart first, by two 64-bit hashes:
 only the one with the smallest doc_id is searched, the others share its fate.
 An anchor with a single distinct segment needs no index, for its windows stand
@@ -33,12 +39,15 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ticketflow.llm.text import Words, chunks, cut_lineage, grams, mix, window_min
 
 # Stands in for a missing doc_id while texts go through pandas.
 NO_ID = -(1 << 63)
 _ANCHOR_BITS = np.uint64(20)
+# How often a too large anchor is dealt again by a further anchor before its windows are dealt one by one.
+DEALS = 2
 
 
 class Symbols(NamedTuple):
@@ -97,9 +106,12 @@ class Runs(NamedTuple):
     places: np.ndarray
 
 
-def runs_of(symbols: Symbols, length: int, gram: int) -> Runs:
+def runs_of(symbols: Symbols, length: int, gram: int, deal: int = 0) -> Runs:
+    """The stretches of all texts; every `deal` has anchors under a hash of its own."""
     words = symbols.starts is not None
     found = grams(symbols.values, gram) if words else _byte_grams(symbols.data, gram)
+    if deal:
+        found = mix(found ^ mix(np.uint64([deal])))
     # The low bits tell places apart, so that the same anchor twice within a stretch shows.
     place = np.arange(len(found), dtype=np.uint64) & ((np.uint64(1) << _ANCHOR_BITS) - np.uint64(1))
     found = (found >> _ANCHOR_BITS << _ANCHOR_BITS) | place
@@ -227,7 +239,55 @@ def _segments(plan: Plan, contents: bool) -> Callable[[Iterator[pd.DataFrame]],
     return scan
 
 
-def _judged(plan: Plan) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+# A segment to judge, a verdict on one (every and later; without content), or a single window (with its digest).
+_DEALT = (
+    "anchor long, seg binary, n long, doc_id long, begin long, windows int, plain boolean, content binary, "
+    "shift int, every array<int>, later array<int>, digest binary"
+)
+_NAMES = [column.split()[0] for column in _DEALT.split(", ")]
+
+
+def _again(plan: Plan, held: pd.DataFrame, deal: int) -> Iterator[pd.DataFrame]:
+    """Segments of one anchor cut into pieces by the anchors of this deal, or into windows after the last one."""
+    texts = list(held["content"])
+    sizes = np.array([len(t) for t in texts])
+    slices = np.flatnonzero(np.diff(np.cumsum(sizes) // plan.shard_bytes, prepend=-1))
+    for a, b in zip(slices.tolist(), [*slices[1:].tolist(), len(texts)], strict=True):
+        symbols = plan.split(texts[a:b])
+        if deal <= DEALS:
+            runs = runs_of(symbols, plan.length, plan.gram, deal)
+            doc, begin, windows = runs.doc, runs.begin, runs.end - runs.begin + 1
+            old = held["anchor"].to_numpy()[a:b][doc].view(np.uint64)
+            more = {
+                "anchor": mix(mix(old) ^ runs.anchor.view(np.uint64)).view(np.int64),
+                "plain": runs.places == 1,
+                "content": [symbols.cut(x, x + w + plan.length - 1) for x, w in zip(begin.tolist(), windows.tolist(), strict=True)],
+                "digest": None,
+            }
+        else:
+            many = held["windows"].to_numpy()[a:b]
+            doc = np.repeat(np.arange(b - a), many)
+            begin = symbols.first[doc] + np.arange(len(doc)) - np.repeat(np.cumsum(many) - many, many)
+            windows = np.ones(len(doc), dtype=np.int64)
+            values, wide = symbols.values.tobytes(), symbols.values.itemsize
+            more = {
+                "anchor": 0,
+                "plain": True,
+                "content": None,
+                "digest": [
+                    hashlib.blake2b(values[x * wide : (x + plan.length) * wide], digest_size=16).digest()
+                    for x in begin.tolist()
+                ],
+            }
+        part = held.iloc[a:b].iloc[doc]
+        same = {name: part[name].to_numpy() for name in ("seg", "n", "doc_id", "begin")}
+        shift = part["shift"].to_numpy() + (begin - symbols.first[doc])
+        yield pd.DataFrame(same | more | {"windows": windows, "shift": shift, "every": None, "later": None})[_NAMES]
+
+
+def _judged(plan: Plan, deal: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Verdicts on the segments, sorted by anchor; those of an anchor beyond shard_bytes are dealt again."""
+
     def shard(held: pd.DataFrame) -> Iterator[pd.DataFrame]:
         anchor = held["anchor"].to_numpy()
         new = np.concatenate(([True], anchor[1:] != anchor[:-1], [True]))
@@ -241,43 +301,133 @@ def _judged(plan: Plan) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFr
             yield result(only, none if plan.spares_first else whole, whole if plan.spares_first else none)
         rest = held[~single]
         if len(rest):
-            windows = rest["windows"].to_numpy()
+            windows, begins = rest["windows"].to_numpy(), (rest["begin"] + rest["shift"]).to_numpy()
             every, later = plan.judge(
-                list(rest["content"]), windows, rest["n"].to_numpy(), rest["doc_id"].to_numpy(), rest["begin"].to_numpy()
+                list(rest["content"]), windows, rest["n"].to_numpy(), rest["doc_id"].to_numpy(), begins
             )
             yield result(rest, _ranges(every, windows), _ranges(later, windows))
 
     def result(held: pd.DataFrame, every: list, later: list) -> pd.DataFrame:
-        return pd.DataFrame(
-            {"seg": held["seg"].to_numpy(), "first_doc": held["doc_id"].to_numpy(), "first_begin": held["begin"].to_numpy()}
-            | {"every": every, "later": later}
-        )
+        # Dealt by segment from here on.
+        anchor = np.frombuffer(b"".join(held["seg"]), dtype="<i8")[::2]
+        if deal:
+            every, later = (
+                [np.asarray(x, dtype=np.int32) + by for x, by in zip(spans, held["shift"].tolist(), strict=True)]
+                for spans in (every, later)
+            )
+        settled = held.assign(anchor=anchor, content=None, every=every, later=later, digest=None)[_NAMES]
+        return settled[[len(x) + len(y) > 0 for x, y in zip(every, later, strict=True)]]
+
+    def shards(held: pd.DataFrame, size: np.ndarray, final: bool) -> Iterator[pd.DataFrame | int]:
+        """Verdicts on full shards of the rows, and at last the number of rows done."""
+        anchor = held["anchor"].to_numpy()
+        bounds = np.concatenate(([0], np.flatnonzero(anchor[1:] != anchor[:-1]) + 1, [len(held)]))
+        total = np.concatenate(([0], np.cumsum(size)))[bounds]
+        begin = 0
+        for k in range(len(bounds) - 1 if final else len(bounds) - 2):
+            if total[k + 1] - total[k] > plan.shard_bytes and bounds[k + 1] - bounds[k] > 1:
+                if begin < k:
+                    yield from shard(held.iloc[bounds[begin] : bounds[k]])
+                yield from _again(plan, held.iloc[bounds[k] : bounds[k + 1]], deal + 1)
+                begin = k + 1
+            elif total[k + 1] - total[begin] >= plan.shard_bytes:
+                yield from shard(held.iloc[bounds[begin] : bounds[k + 1]])
+                begin = k + 1
+        last = len(bounds) - 1 if final else len(bounds) - 2
+        if final and begin < last:
+            yield from shard(held.iloc[bounds[begin] :])
+            begin = last
+        yield int(bounds[begin])
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        parts, size = [], 0
+        parts, size, hot = [], 0, None
         for batch in batches:
+            if deal:
+                settled = batch["content"].isna().to_numpy()
+                if settled.any():
+                    yield batch[settled]
+                    batch = batch[~settled]
+            else:
+                batch = batch.assign(shift=0)
+            if hot is not None and len(batch):
+                more = batch["anchor"].to_numpy() == hot
+                if more.any():
+                    yield from _again(plan, batch[more], deal + 1)
+                    batch = batch[~more]
+                if len(batch):
+                    hot = None
+            if not len(batch):
+                continue
             parts.append(batch)
             size += int(batch["content"].str.len().sum())
-            while size >= plan.shard_bytes:
-                # A shard ends between two anchors once it is full.
-                held = pd.concat(parts, ignore_index=True) if len(parts) > 1 else parts[0]
-                anchor = held["anchor"].to_numpy()
-                ends = np.flatnonzero(anchor[1:] != anchor[:-1]) + 1
-                total = np.cumsum(held["content"].str.len().to_numpy())
-                full = ends[total[ends - 1] >= plan.shard_bytes] if len(ends) else ends
-                if not len(full):
-                    parts = [held]
-                    break
-                cut = int(full[0])
-                yield from shard(held.iloc[:cut])
-                parts = [held.iloc[cut:].reset_index(drop=True)]
-                size = int(total[-1] - total[cut - 1])
-        if parts and size:
-            yield from shard(pd.concat(parts, ignore_index=True))
+            if size < plan.shard_bytes:
+                continue
+            held = pd.concat(parts, ignore_index=True) if len(parts) > 1 else parts[0]
+            sizes = held["content"].str.len().to_numpy()
+            done = 0
+            for found in shards(held, sizes, False):
+                if isinstance(found, int):
+                    done = found
+                else:
+                    yield found
+            held, sizes = held.iloc[done:], sizes[done:]
+            # The last anchor may go on in the next batch.
+            anchor = held["anchor"].to_numpy()
+            tail = int(np.searchsorted(anchor, anchor[-1]))
+            if sizes[tail:].sum() > plan.shard_bytes and len(held) - tail > 1:
+                if tail:
+                    yield from shard(held.iloc[:tail])
+                yield from _again(plan, held.iloc[tail:], deal + 1)
+                hot, held, sizes = int(anchor[-1]), held.iloc[:0], sizes[:0]
+            parts, size = ([held.reset_index(drop=True)], int(sizes.sum())) if len(held) else ([], 0)
+        if parts:
+            held = pd.concat(parts, ignore_index=True)
+            for found in shards(held, held["content"].str.len().to_numpy(), True):
+                if not isinstance(found, int):
+                    yield found
 
     return scan
 
 
+def _verdicts(plan: Plan, distinct: DataFrame) -> DataFrame:
+    """(seg, first_doc, first_begin, every, later) for the segments with windows to remove."""
+    dealt = distinct.sortWithinPartitions("anchor", "seg").mapInPandas(_judged(plan, 0), _DEALT)
+    for deal in range(1, DEALS + 1):
+        dealt = dealt.repartition("anchor").sortWithinPartitions("anchor", "seg", "shift")
+        dealt = dealt.mapInPandas(_judged(plan, deal), _DEALT)
+    # Single windows are counted by their digest; a verdict has a partition of its own.
+    same = Window.partitionBy(F.coalesce("digest", "seg"))
+    place = F.struct("doc_id", (F.col("begin") + F.col("shift")).alias("at"))
+    dealt = dealt.select("*", F.sum("n").over(same).alias("_total"), place.alias("_place"))
+    dealt = dealt.select("*", F.min("_place").over(same).alias("_least"))
+    window = F.array("shift", "shift")
+    none = F.array().cast("array<int>")
+    least = F.col("_place") == F.col("_least")
+    if plan.spares_first:
+        every, later = F.when(~least, window), F.when(least & (F.col("n") > 1), window)
+    else:
+        every, later = F.when(F.col("_total") > 1, window), F.lit(None).cast("array<int>")
+    lone = F.col("digest").isNotNull()
+    judged = dealt.select(
+        "seg",
+        "doc_id",
+        "begin",
+        F.when(lone, F.coalesce(every, none)).otherwise(F.col("every")).alias("every"),
+        F.when(lone, F.coalesce(later, none)).otherwise(F.col("later")).alias("later"),
+    )
+    # The pieces of a segment come together again.
+    return (
+        judged.filter("size(every) > 0 OR size(later) > 0")
+        .groupBy("seg")
+        .agg(
+            F.first("doc_id").alias("first_doc"),
+            F.first("begin").alias("first_begin"),
+            F.flatten(F.collect_list("every")).alias("every"),
+            F.flatten(F.collect_list("later")).alias("later"),
+        )
+    )
+
+
 def _ranges(mask: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
     """For consecutive pieces of the mask, first and last place of every run of True in the piece, flat."""
     bounds = np.concatenate(([0], np.cumsum(sizes)))
@@ -310,10 +460,7 @@ def repeated_windows(searched: DataFrame, plan: Plan) -> DataFrame:
         F.first("content").alias("content"),
     )
     distinct = distinct.select("anchor", "seg", "n", "first.doc_id", "first.begin", "windows", "plain", "content")
-    verdicts = distinct.sortWithinPartitions("anchor", "seg").mapInPandas(
-        _judged(plan), "seg binary, first_doc long, first_begin long, every array<int>, later array<int>"
-    )
-    verdicts = verdicts.filter("size(every) > 0 OR size(later) > 0")
+    verdicts = _verdicts(plan, distinct)
     placed = with_anchors.mapInPandas(_segments(plan, False), _PLACE).join(verdicts, "seg")
     here = (F.col("doc_id") == F.col("first_doc")) & (F.col("begin") == F.col("first_begin"))
     spans = F.concat("every", F.when(here, F.array().cast("array<int>")).otherwise(F.col("later")))
