@@ -270,3 +270,12 @@ def test_pipeline_edges(spark):
     assert corpus_pipeline.apply_line_dedup(spark, docs, SMALL).count() == len(rows)
     assert corpus_pipeline.apply_near_dedup(spark, docs, SMALL).count() == len(EDGES)
     assert corpus_pipeline.apply_mixing(spark, docs, SMALL).count() == len(rows)
+
+
+def test_registered_scores_use_trigrams(spark, tmp_path):
+    # "c" follows "a b" always, but "b" only half of the time.
+    rows = [(i, "a b c") for i in range(4)] + [(i, "x b d") for i in range(4, 8)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r.doc_id: r.log_score for r in queries.op9_lm_scoring(spark, str(tmp_path)).collect()}
+    # count(a) / words, count(a b) / count(a), count(a b c) / count(a b)
+    assert found == {i: round(math.log(4 / 24), 4) for i in range(8)}

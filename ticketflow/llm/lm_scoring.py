@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from ticketflow.llm.counts import LIST, answers, chunked, lists, totals_of
 from ticketflow.llm.text import Words, chunks, grams, n_words_of
 
-ORDER = 2
+ORDER = 3
 ALPHA = 0.4
 MIN_COUNT = 2
 
