@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketflow.llm import decontaminate, line_dedup, lm_scoring, mixing, ngram_jaccard, quality_classifier
-from ticketflow.llm import quality_rules, secrets, substring_dedup, suffix_dedup
+from ticketflow.llm import collocations, decontaminate, knn_join, line_dedup, lm_scoring, mixing, ngram_jaccard
+from ticketflow.llm import quality_classifier, quality_rules, secrets, spelling_variants, substring_dedup, suffix_dedup
 from ticketflow.llm.text import read
 
 # Fixed by the contract: the score from which a document counts as good.
@@ -16,6 +16,8 @@ GOOD_SCORE = 0.3
 # Fixed by the contract: words in a shingle, least similarity in percent.
 SHINGLE_WORDS = 3
 SIMILARITY = 90
+# Fixed by the contract: vectors whose id is a multiple of this are queries.
+QUERY_STEP = 50
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,6 +81,18 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard.jaccard_join(read(spark, sf_dir, "documents"), SHINGLE_WORDS, SIMILARITY)
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.spelling_variants(read(spark, sf_dir, "documents"))
+
+
+def op13_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return knn_join.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % QUERY_STEP == 0)
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -92,6 +106,9 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_source_mixing,
         op9_lm_scoring,
         op10_ngram_jaccard,
+        op11_collocations,
+        op12_spelling_variants,
+        op13_top_k,
     )
 }
 
@@ -156,4 +173,106 @@ SELECT doc_id, size, source_size, target, size * copies AS taken, copies,
 FROM timed
 """
 
-LLM_ORACLE: dict[str, str] = {"op3_line_dedup": _LINE_SQL, "op8_source_mixing": _MIX_SQL}
+_PHRASE_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                             'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), worded AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), grams AS (
+  SELECT lang, s.size AS size, w[t.i : t.i + s.size - 1] AS p
+  FROM worded, range(1, 5) s(size), unnest(range(1, CAST(len(w) AS BIGINT) - s.size + 2)) AS t(i)
+), f AS (
+  SELECT lang, size, p, count(*) AS a FROM grams GROUP BY lang, size, p
+), totals AS (
+  SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE size = 1 GROUP BY lang
+), often AS (
+  SELECT * FROM f WHERE size > 1 AND a >= 30
+), inner_parts AS (
+  SELECT o.lang, o.p[b.i : b.i + s.size - 1] AS part, max(o.a) AS around
+  FROM often o, range(2, 4) s(size), unnest(range(1, o.size - s.size + 2)) AS b(i)
+  WHERE s.size < o.size GROUP BY 1, 2
+), cut AS (
+  SELECT o.lang, o.size, o.p, o.a, k.k AS k, l.a AS l, r.a AS r,
+         CAST(2000000::HUGEINT * o.a // (l.a + r.a) AS BIGINT) AS score
+  FROM often o, unnest(range(1, o.size)) AS k(k), f l, f r
+  WHERE l.lang = o.lang AND l.p = o.p[1 : k.k] AND r.lang = o.lang AND r.p = o.p[k.k + 1 : o.size]
+), weakest AS (
+  SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1
+), kept AS (
+  SELECT w.*, array_to_string(w.p, ' ') AS phrase FROM weakest w
+  LEFT JOIN inner_parts i ON i.lang = w.lang AND i.part = w.p
+  WHERE i.around IS NULL OR 100 * i.around < 80 * w.a
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept
+)
+SELECT r.lang, r.rank, r.phrase, r.a, r.l, r.r, t.n, r.score, CAST(r.k AS INTEGER) AS cut
+FROM ranked r JOIN totals t ON t.lang = r.lang WHERE r.rank <= 2000
+"""
+
+# The checksum of a text is taken bit by bit; near words share the rest that is left without one code point.
+_SPELLING_SQL = r"""
+WITH runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS d,
+         unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                             'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]+')) AS run
+  FROM documents
+), per_document AS (
+  SELECT d, run, count(*) AS times FROM runs WHERE length(run) >= 7 GROUP BY d, run
+), hashed AS (
+  SELECT run, times, xor(4294967295, list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(range(1, 2 * octet_length(encode(d || ':' || run)), 2),
+      lambda i: CAST(('0x' || substr(hex(encode(d || ':' || run)), CAST(i AS INTEGER), 2)) AS BIGINT))),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), range(0, 8)),
+      lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END))) AS h
+  FROM per_document
+), damaged AS (
+  SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, CAST(h % length(run) AS INTEGER))
+                                   || substr(run, CAST(h % length(run) AS INTEGER) + 2) ELSE run END AS word, times
+  FROM hashed
+), words AS (
+  SELECT word, CAST(sum(times) AS BIGINT) AS n FROM damaged WHERE length(word) >= 7 GROUP BY word HAVING sum(times) >= 2
+), lacking AS (
+  SELECT word, n, i, substr(word, 1, CAST(i AS INTEGER) - 1) || substr(word, CAST(i AS INTEGER) + 1) AS rest
+  FROM words, unnest(range(1, length(word) + 1)) AS t(i)
+), near AS (
+  SELECT a.word AS word, a.n AS n, b.word AS other, b.n AS m
+  FROM lacking a JOIN lacking b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT a.word, a.n, b.word, b.n FROM lacking a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, b.n, a.word, a.n FROM lacking a JOIN words b ON a.rest = b.word
+), judged AS (
+  SELECT word, n, count(*) AS n_near,
+         first(CASE WHEN m >= 10 * n THEN other END ORDER BY m DESC, encode(other)) AS form,
+         first(CASE WHEN m >= 10 * n THEN m END ORDER BY m DESC, encode(other)) AS form_n
+  FROM near GROUP BY word, n
+), walk AS (
+  WITH RECURSIVE steps(word, last) AS (
+    SELECT word, form FROM judged WHERE form IS NOT NULL
+    UNION ALL SELECT s.word, j.form FROM steps s JOIN judged j ON j.word = s.last WHERE j.form IS NOT NULL
+  ) SELECT s.word, s.last FROM steps s LEFT JOIN judged j ON j.word = s.last WHERE j.form IS NULL
+)
+SELECT w.word, j.form, coalesce(k.last, w.word) AS root, w.n, coalesce(j.n_near, 0) AS n_near, j.form_n
+FROM words w LEFT JOIN judged j ON j.word = w.word LEFT JOIN walk k ON k.word = w.word
+"""
+
+_NEAREST_SQL = r"""
+WITH usable AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), ranked AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score,
+         row_number() OVER (PARTITION BY q.vec_id ORDER BY list_dot_product(q.v, c.v) DESC, c.vec_id) AS place
+  FROM usable q JOIN usable c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= 5
+"""
+
+LLM_ORACLE: dict[str, str] = {
+    "op3_line_dedup": _LINE_SQL,
+    "op8_source_mixing": _MIX_SQL,
+    "op11_collocations": _PHRASE_SQL,
+    "op12_spelling_variants": _SPELLING_SQL,
+    "op13_top_k": _NEAREST_SQL,
+}
