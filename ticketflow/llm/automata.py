@@ -5,8 +5,8 @@ weights. It is built from sorted sequences; states with the same arcs (label,
 weight, target) are one state. An arc's weight is that of the sequence it
 completes; zero stands for a mere prefix. All work is done on whole arrays.
 
-Sequences go in and out as tables: a matrix of label numbers, 1 and up, rows in
-order and filled up with 0, with an array of weights.
+Sequences go in and out as tables: a matrix of label numbers (32 bits), 1 and
+up, rows in order and filled up with 0, with an array of weights.
 """
 
 from __future__ import annotations
@@ -62,7 +62,7 @@ def compact(labels: list[bytes], rows: np.ndarray, weights: np.ndarray) -> Table
     used = np.zeros(len(labels) + 1, dtype=bool)
     used[rows] = True
     used[0] = False
-    number = np.cumsum(used)
+    number = np.cumsum(used, dtype=np.int32)
     number[~used] = 0
     return Table([labels[i - 1] for i in np.flatnonzero(used).tolist()], number[rows], weights)
 
@@ -75,7 +75,8 @@ def order_keys(rows: np.ndarray) -> np.ndarray:
         if span * wide >= 1 << 62:
             _, key = np.unique(key, return_inverse=True)
             span = int(key.max(initial=0)) + 1
-        key = key * wide + rows[:, d]
+        key *= wide
+        key += rows[:, d]
         span *= wide
     return key
 
@@ -182,17 +183,17 @@ def _merged(arc: np.ndarray, begin: np.ndarray, size: np.ndarray) -> tuple[np.nd
 def paths(a: Automaton) -> Table:
     """The sequences of an automaton with a weight above zero, in order."""
     states = np.array([len(a.first) - 2])
-    prefix = np.zeros((1, 0), dtype=np.int64)
+    prefix = np.zeros((1, 0), dtype=np.int32)
     found, weights = [], []
     for d in range(a.depth):
         count = a.first[states + 1] - a.first[states]
         arcs = _spread(a.first[states], count)
-        prefix = np.concatenate((np.repeat(prefix, count, axis=0), a.label[arcs][:, None]), axis=1)
+        prefix = np.concatenate((np.repeat(prefix, count, axis=0), a.label[arcs].astype(np.int32)[:, None]), axis=1)
         states = a.target[arcs]
         real = a.weight[arcs] > 0
         found.append(np.pad(prefix[real], ((0, 0), (0, a.depth - d - 1))))
         weights.append(a.weight[arcs][real])
-    rows = np.concatenate(found) if found else np.zeros((0, a.depth), dtype=np.int64)
+    rows = np.concatenate(found) if found else np.zeros((0, a.depth), dtype=np.int32)
     return summed(a.labels, rows, np.concatenate(weights)) if len(rows) else Table([], rows, np.zeros(0, dtype=np.int64))
 
 
@@ -202,7 +203,7 @@ def renumbered(tables: list[Table]) -> tuple[list[bytes], list[np.ndarray]]:
     number = {label: i + 1 for i, label in enumerate(labels)}
     rows = []
     for t in tables:
-        new = np.array([0, *(number[label] for label in t.labels)], dtype=np.int64)
+        new = np.array([0, *(number[label] for label in t.labels)], dtype=np.int32)
         rows.append(new[t.rows])
     return labels, rows
 
@@ -211,7 +212,7 @@ def union(tables: list[Table], depth: int, how: np.ufunc = np.add) -> Table:
     """All sequences of the tables; weights of the same sequence are added up (or combined by `how`)."""
     tables = [t for t in tables if len(t.rows)]
     if not tables:
-        return Table([], np.zeros((0, depth), dtype=np.int64), np.zeros(0, dtype=np.int64))
+        return Table([], np.zeros((0, depth), dtype=np.int32), np.zeros(0, dtype=np.int64))
     labels, rows = renumbered(tables)
     return summed(labels, np.concatenate(rows), np.concatenate([t.weights for t in tables]), how)
 

@@ -63,14 +63,16 @@ _SPACE = re.compile(rb"[ \t\n\x0b\x0c\r]")
 _REACH = re.compile(rb"[ \t]*(?:[^ \t\n\x0b\x0c\r]+[ \t]+){0,%d}[^ \t\n\x0b\x0c\r]*" % (LONGEST - 2))
 
 # Bytes of text whose n-grams are sorted at once, characters of text per range, ranges united in one round.
-SLICE_BYTES = 12 << 20
-RANGE_CHARS = 12 << 20
-FAN = 256
-# Sampled n-grams per range; at most so many ranges, which bounds the sample on the driver.
-SAMPLED = 32
-MOST_RANGES = 1 << 14
+SLICE_BYTES = 6 << 20
+RANGE_CHARS = 4 << 20
+FAN = 1024
+# N-grams that are gathered before they are united.
+UNITED_ROWS = 1 << 19
+# Sampled n-grams per range; at most so many ranges, which bounds the sample on the driver (beyond, ranges grow).
+SAMPLED = 16
+MOST_RANGES = 1 << 16
 # Phrases that occur often enough are far fewer than n-grams, so their ranges are wider by this.
-WIDER = 16
+WIDER = 32
 
 DEPTH = LONGEST + 1
 _PART = "grp int, coarse int, fine int, automaton binary"
@@ -94,16 +96,16 @@ def _windows(texts: list[bytes], own: list[int], langs: list[bytes]) -> tuple[li
     w = Words(texts)
     n = len(w.starts)
     if not n:
-        return [], np.zeros((0, DEPTH), dtype=np.int64)
+        return [], np.zeros((0, DEPTH), dtype=np.int32)
     hashes, at, word = np.unique(w.hashes(), return_index=True, return_inverse=True)
     data = w.data.tobytes()
     found = [data[s:e] for s, e in zip(w.starts[at].tolist(), w.ends[at].tolist(), strict=True)]
     labels = sorted({*found, *langs})
     number = {label: i + 1 for i, label in enumerate(labels)}
-    ids = np.array([number[x] for x in found], dtype=np.int64)[word]
+    ids = np.array([number[x] for x in found], dtype=np.int32)[word]
     lines = (w.data >= 10) & (w.data <= 13)
     piece = np.cumsum(lines)[w.starts]
-    rows = np.zeros((n, DEPTH), dtype=np.int64)
+    rows = np.zeros((n, DEPTH), dtype=np.int32)
     rows[:, 0] = np.array([number[x] for x in langs], dtype=np.int64)[w.doc]
     rows[:, 1] = ids
     for k in range(1, LONGEST):
@@ -193,8 +195,15 @@ def _count_rows(cuts: list[Sequence], wider: int, groups: int) -> Callable[[Iter
     return scan
 
 
-def _united(held: pd.Series, how: np.ufunc = np.add) -> Table:
-    return union([paths(unpack(x)) for x in held], DEPTH, how)
+def _united(held: pd.Series) -> Table:
+    """The union of automata; a few at a time, so that what is held is little more than the result."""
+    whole, parts, size = None, [], 0
+    for data in held:
+        parts.append(paths(unpack(data)))
+        size += len(parts[-1].rows)
+        if size >= UNITED_ROWS and (whole is None or size >= len(whole.rows)):
+            whole, parts, size = union([whole, *parts] if whole else parts, DEPTH), [], 0
+    return union([whole, *parts] if whole else parts, DEPTH)
 
 
 def _finer(cuts: list[Sequence], wider: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
@@ -236,14 +245,14 @@ def _asked(table: Table) -> tuple[Table, dict[tuple[int, int], np.ndarray], np.n
         for j in range(i + 1, LONGEST + 1):
             # Words i to j of longer phrases.
             at = np.flatnonzero((words >= j) & (words > j - i) & (words >= 2))
-            part = np.zeros((len(at), DEPTH), dtype=np.int64)
+            part = np.zeros((len(at), DEPTH), dtype=np.int32)
             part[:, 0] = rows[at, 0]
             part[:, 1 : 1 + j - i] = rows[at, 1 + i : 1 + j]
             made.append(part)
             around.append(weights[at])
             keys[i, j] = at
     at = np.flatnonzero(words >= 2)
-    lang = np.zeros((len(at), DEPTH), dtype=np.int64)
+    lang = np.zeros((len(at), DEPTH), dtype=np.int32)
     lang[:, 0] = rows[at, 0]
     parts = np.concatenate([*made, lang])
     if not len(parts):
