@@ -86,7 +86,7 @@ def summed(labels: list[bytes], rows: np.ndarray, weights: np.ndarray, how: np.u
     if not len(rows):
         return Table([], rows, weights)
     key = order_keys(rows)
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     key = key[order]
     at = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
     return Table(labels, rows[order[at]], how.reduceat(weights[order], at))
@@ -96,7 +96,7 @@ def prefixes(labels: list[bytes], rows: np.ndarray) -> Table:
     """Every prefix of the rows, with the number of rows that begin with it."""
     if not len(rows):
         return Table([], rows, np.zeros(0, dtype=np.int64))
-    rows = rows[np.argsort(order_keys(rows), kind="stable")]
+    rows = rows[np.argsort(order_keys(rows))]
     changed = np.zeros(len(rows), dtype=bool)
     changed[0] = True
     starts, depths, counts = [], [], []
@@ -109,7 +109,7 @@ def prefixes(labels: list[bytes], rows: np.ndarray) -> Table:
         counts.append(count[real])
         depths.append(np.full(int(real.sum()), d))
     start, depth = np.concatenate(starts), np.concatenate(depths)
-    order = np.argsort(start * (rows.shape[1] + 1) + depth, kind="stable")
+    order = np.argsort(start * (rows.shape[1] + 1) + depth)
     start, depth = start[order], depth[order]
     out = rows[start]
     out[np.arange(rows.shape[1])[None, :] > depth[:, None]] = 0
@@ -180,8 +180,8 @@ def _merged(arc: np.ndarray, begin: np.ndarray, size: np.ndarray) -> tuple[np.nd
     return kept, number
 
 
-def paths(a: Automaton) -> Table:
-    """The sequences of an automaton with a weight above zero, in order."""
+def paths(a: Automaton, ordered: bool = True) -> Table:
+    """The sequences of an automaton with a weight above zero; unless `ordered`, by their lengths."""
     states = np.array([len(a.first) - 2])
     prefix = np.zeros((1, 0), dtype=np.int32)
     found, weights = [], []
@@ -194,7 +194,10 @@ def paths(a: Automaton) -> Table:
         found.append(np.pad(prefix[real], ((0, 0), (0, a.depth - d - 1))))
         weights.append(a.weight[arcs][real])
     rows = np.concatenate(found) if found else np.zeros((0, a.depth), dtype=np.int32)
-    return summed(a.labels, rows, np.concatenate(weights)) if len(rows) else Table([], rows, np.zeros(0, dtype=np.int64))
+    if not len(rows):
+        return Table([], rows, np.zeros(0, dtype=np.int64))
+    found = Table(a.labels, rows, np.concatenate(weights))
+    return summed(*found) if ordered else found
 
 
 def renumbered(tables: list[Table]) -> tuple[list[bytes], list[np.ndarray]]:

@@ -63,8 +63,8 @@ _SPACE = re.compile(rb"[ \t\n\x0b\x0c\r]")
 _REACH = re.compile(rb"[ \t]*(?:[^ \t\n\x0b\x0c\r]+[ \t]+){0,%d}[^ \t\n\x0b\x0c\r]*" % (LONGEST - 2))
 
 # Bytes of text whose n-grams are sorted at once, characters of text per range, ranges united in one round.
-SLICE_BYTES = 6 << 20
-RANGE_CHARS = 4 << 20
+SLICE_BYTES = 8 << 20
+RANGE_CHARS = 8 << 20
 FAN = 1024
 # N-grams that are gathered before they are united.
 UNITED_ROWS = 1 << 19
@@ -199,7 +199,7 @@ def _united(held: pd.Series) -> Table:
     """The union of automata; a few at a time, so that what is held is little more than the result."""
     whole, parts, size = None, [], 0
     for data in held:
-        parts.append(paths(unpack(data)))
+        parts.append(paths(unpack(data), ordered=False))
         size += len(parts[-1].rows)
         if size >= UNITED_ROWS and (whole is None or size >= len(whole.rows)):
             whole, parts, size = union([whole, *parts] if whole else parts, DEPTH), [], 0
