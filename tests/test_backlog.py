@@ -121,7 +121,9 @@ def test_empty_inputs(spark):
     assert rows(backlog(some, _cuts(spark, []), "TICKET")) == []
 
 
-def test_strict(spark):
+@pytest.mark.parametrize("local_rows", [100_000, 1])
+def test_strict(spark, monkeypatch, local_rows):
+    monkeypatch.setattr(module, "LOCAL_ROWS", local_rows)
     cuts = _cuts(spark, ["2020-01-10", "2020-01-20"])
     late = _cases(spark, [(None, "2020-01-09", "DEV", "a"), ("2020-01-01", None, "DEV", "a")])
     assert rows(backlog(late, cuts, strict=True)) == [(day("2020-01-10"), 1), (day("2020-01-20"), 1)]
@@ -129,7 +131,7 @@ def test_strict(spark):
         with pytest.raises(PySparkException, match="missing start date"):
             backlog(_cases(spark, [(None, end, "DEV", "a")]), cuts, strict=True).collect()
     with pytest.raises(ValueError, match="missing cut date"):
-        backlog(late, _cuts(spark, [None]), strict=True)
+        backlog(late, _cuts(spark, [None, "2020-01-01"]), strict=True)
 
 
 @pytest.mark.parametrize("name", ["START", "END", "CUTPOINT", "COUNT", "count", "NOWHERE"])
@@ -164,12 +166,20 @@ def _random_cases(seed, n, hours):
 
 
 @pytest.mark.parametrize(
-    "cut_hours, broadcast_rows, written_out",
-    [([0], 500_000, 24), ([0, 9], 500_000, 24), ([0, 6, 9, 12, 18], 500_000, 24), ([0, 6, 9, 12, 18], 0, 1), ([0], 0, 24)],
+    "cut_hours, broadcast_rows, local_rows, bins",
+    [
+        ([0], 500_000, 100_000, 4),
+        ([0, 9], 500_000, 100_000, 4),
+        ([0, 6, 9, 12, 18], 0, 100_000, 4),
+        ([0, 6, 9, 12, 18], 500_000, 3, 4),
+        ([0, 9], 0, 3, 1000),
+        ([0], 0, 3, 1),
+    ],
 )
-def test_equals_the_full_product(spark, monkeypatch, cut_hours, broadcast_rows, written_out):
+def test_equals_the_full_product(spark, monkeypatch, cut_hours, broadcast_rows, local_rows, bins):
     monkeypatch.setattr(module, "BROADCAST_ROWS", broadcast_rows)
-    monkeypatch.setattr(module, "WRITTEN_OUT", written_out)
+    monkeypatch.setattr(module, "LOCAL_ROWS", local_rows)
+    monkeypatch.setattr(module, "BINS", bins)
     rnd = random.Random(7)
     cases = _random_cases(1, 300, [0, 0, 6, 9, 12])
     moments = [dt.datetime(2020, 1, 5) + dt.timedelta(days=rnd.randrange(40), hours=rnd.choice(cut_hours)) for _ in range(30)]
@@ -180,8 +190,9 @@ def test_equals_the_full_product(spark, monkeypatch, cut_hours, broadcast_rows,
     assert rows(backlog(df, cut_df, "TEAM", "TICKET")) == _brute(cases, cuts, lambda c: (c[3], c[2]))
 
 
-@pytest.mark.parametrize("seed", range(2))
-def test_shared_columns_equal_the_matching_product(spark, seed):
+@pytest.mark.parametrize("seed, local_rows", [(0, 100_000), (1, 100_000), (1, 3)])
+def test_shared_columns_equal_the_matching_product(spark, monkeypatch, seed, local_rows):
+    monkeypatch.setattr(module, "LOCAL_ROWS", local_rows)
     rnd = random.Random(seed)
     cases = _random_cases(seed, 300, [0, 9])
     cuts = [
@@ -238,11 +249,32 @@ def test_progress_with_shared_columns(spark):
     assert seen["backlog"].get == {"rows": len(result)} == {"rows": 2}
 
 
+@pytest.mark.parametrize("local_rows", [100_000, 3])
 @pytest.mark.parametrize("ansi", ["true", "false"])
-def test_many_cut_dates_on_one_day(spark, conf, ansi):
+def test_many_cut_dates_on_one_day(spark, conf, monkeypatch, ansi, local_rows):
     conf("spark.sql.ansi.enabled", ansi)
+    monkeypatch.setattr(module, "LOCAL_ROWS", local_rows)
     moments = [at("2020-01-01") + dt.timedelta(minutes=i) for i in range(30)] + [at("2020-01-09")]
     cuts = spark.createDataFrame([(m,) for m in moments], "CUTPOINT timestamp_ntz")
     cases = spark.createDataFrame([(at("2020-01-05"), None)], "START timestamp_ntz, END timestamp_ntz")
     found = {r.CUTPOINT: r.COUNT for r in backlog(cases, cuts).collect()}
     assert found == {m: int(m == moments[-1]) for m in moments}
+
+
+@pytest.mark.parametrize("local_rows", [100_000, 3])
+def test_the_time_zone_does_not_matter(spark, conf, monkeypatch, local_rows):
+    conf("spark.sql.session.timeZone", "Europe/Paris")
+    monkeypatch.setattr(module, "LOCAL_ROWS", local_rows)
+    # The clock skips 02:00 to 03:00 there on 2020-03-29.
+    moments = [at("2020-03-29T01:30:00") + dt.timedelta(minutes=15 * i) for i in range(10)]
+    cuts = spark.createDataFrame([(m,) for m in moments], "CUTPOINT timestamp_ntz")
+    cases = spark.createDataFrame([(moments[2], moments[4])], "START timestamp_ntz, END timestamp_ntz")
+    found = {r.CUTPOINT: r.COUNT for r in backlog(cases, cuts).collect()}
+    assert found == {m: int(2 <= i <= 4) for i, m in enumerate(moments)}
+
+
+def test_the_cut_list_is_read_once(spark, tmp_path):
+    spark.createDataFrame([(day("2020-01-05"),), (day("2020-01-20"),)], "CUTPOINT date").write.parquet(f"{tmp_path}/cuts")
+    cases = spark.createDataFrame(_random_cases(6, 50, [0]), CASES)
+    text = plan(backlog(cases, spark.read.parquet(f"{tmp_path}/cuts"), "TEAM"))
+    assert "FileScan" not in text

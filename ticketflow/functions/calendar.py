@@ -41,3 +41,11 @@ def month_starts_between(cases: DataFrame, start: str, end: str) -> DataFrame:
     )
     step = F.make_ym_interval(months=F.lit(1))
     return bounds.select(F.explode(F.sequence("first", "last", step)).alias("CUTPOINT"))
+
+
+def micros(moment: Column) -> Column:
+    """Microseconds from the start of 1970 to a moment without zone, whatever the session's time zone."""
+    seconds = (F.hour(moment) * 3600 + F.minute(moment) * 60).cast("bigint")
+    fraction = (F.extract(F.lit("SECOND"), moment) * 1_000_000).cast("bigint")
+    days = F.datediff(F.to_date(moment), F.lit(dt.date(1970, 1, 1))).cast("bigint")
+    return days * F.lit(86_400_000_000) + seconds * F.lit(1_000_000).cast("bigint") + fraction

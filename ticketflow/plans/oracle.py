@@ -222,6 +222,7 @@ ORACLE: dict[str, str] = {
     "sink_catalog_refresh": _with(TICKETS, then="SELECT * FROM tickets WHERE closed IS NULL"),
     "src_csv_roundtrip": _with(TICKETS, then="SELECT * FROM tickets"),
     "sink_full_refresh": _PHASE_LABEL,
+    "sink_versions": _with(TICKETS, then="SELECT * FROM tickets WHERE closed IS NULL"),
     "publish_conformance_csv": _CONFORMANCE_DETAIL,
     "filter_worktime": _with(WORKTIMESHEET, then="SELECT * FROM worktimesheet WHERE timetype = 'WorkTime'"),
     "interval_flag": _with(
@@ -260,6 +261,7 @@ FROM tickets""",
     "worktime_sorted": _by_ticket(_FULL) + " ORDER BY oid NULLS LAST, targetday NULLS LAST",
     "phase_label": _PHASE_LABEL,
     "phase_label_stored": _with(*_LABELLED, then=f"SELECT {_FULL}, phase FROM labelled"),
+    "phase_relabel_changed": _PHASE_LABEL,
     "phase_unlabelled": _PHASE_LABEL + " WHERE phase IS NULL",
     "phase_release_semi": _with(
         *_BY_TICKET,
@@ -275,6 +277,37 @@ WHERE EXISTS (SELECT 1 FROM milestones m WHERE m.oid = w.oid AND m.release_start
     "backlog_daily": _backlog(DAY_CUTS, "ticket_type:ticket_type"),
     "backlog_hourly": _backlog(_moments("1 HOUR"), "ticket_type:ticket_type"),
     "backlog_minutely": _backlog(_moments("1 MINUTE"), "ticket_type:ticket_type"),
+    "backlog_at_bookings": _with(
+        TICKETS,
+        WORKTIMESHEET,
+        "cuts AS (SELECT DISTINCT startdate AS cutpoint FROM worktimesheet)",
+        """
+steps AS (
+  SELECT ticket_type, created AS moment, 1 AS step FROM tickets WHERE closed IS NULL OR closed >= created
+  UNION ALL SELECT ticket_type, closed + INTERVAL 1 MICROSECOND, -1 FROM tickets WHERE closed >= created),
+grid AS (SELECT t.ticket_type, c.cutpoint FROM (SELECT DISTINCT ticket_type FROM tickets) t CROSS JOIN cuts c),
+line AS (
+  SELECT ticket_type, moment, step, false AS asked FROM steps
+  UNION ALL SELECT ticket_type, cutpoint, 0, true FROM grid),
+running AS (
+  SELECT *, sum(step) OVER (PARTITION BY ticket_type ORDER BY moment RANGE UNBOUNDED PRECEDING) AS n FROM line)""",
+        then="""
+SELECT moment AS "CUTPOINT", ticket_type, CAST(n AS BIGINT) AS "COUNT" FROM running WHERE asked""",
+    ),
+    "open_cases_at": _with(
+        TICKETS,
+        MONTH_CUTS,
+        then="""
+SELECT cutpoint AS "CUTPOINT", oid, ticket_type FROM tickets JOIN cuts
+  ON cutpoint >= created AND (closed IS NULL OR cutpoint <= closed)""",
+    ),
+    "open_cases_matched": _with(
+        TICKETS,
+        "cuts AS (SELECT DISTINCT ticket_type AS kind, closed AS cutpoint FROM tickets WHERE oid % 97 < 10)",
+        then="""
+SELECT cutpoint AS "CUTPOINT", ticket_type, count(*) AS "COUNT", CAST(sum(oid) AS BIGINT) AS "OIDS" FROM tickets JOIN cuts
+  ON kind = ticket_type AND cutpoint >= created AND (closed IS NULL OR cutpoint <= closed) GROUP BY ALL""",
+    ),
     "backlog_matched_cutpoints": _with(
         TICKETS,
         """

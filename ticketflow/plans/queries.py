@@ -15,8 +15,10 @@ from ticketflow.functions.intervals import in_interval
 from ticketflow.operators import conformance, effort, flow, leaderboard, phases, worktime
 from ticketflow.operators import tickets as tk
 from ticketflow.operators.backlog import STEPS, backlog
+from ticketflow.operators.open_cases import open_cases
 from ticketflow.plans import booked_time as bt
 from ticketflow.plans import views
+from ticketflow.sources import key_buckets, versions
 from ticketflow.sources.reports import read_csv, read_report, write_csv, write_report
 from ticketflow.sources.sinks import full_refresh, full_refresh_table, scratch_folder
 from ticketflow.sources.tables import without_blanks
@@ -98,6 +100,16 @@ def sink_full_refresh(spark: SparkSession, base: str) -> DataFrame:
     return spark.read.schema(labelled.schema).parquet(path)
 
 
+def sink_versions(spark: SparkSession, base: str) -> DataFrame:
+    """Three commits, each reading the one before it; the last one is rolled back."""
+    path = f"{scratch_folder(spark)}/tickets"
+    versions.commit(views.tickets(spark, base), path)
+    versions.commit(versions.read_version(spark, path).filter("closed IS NULL"), path, ("oid",))
+    versions.commit(versions.read_version(spark, path).filter("appgroup IS NULL"), path)
+    versions.roll_back(spark, path)
+    return versions.read_version(spark, path)
+
+
 def publish_conformance_csv(spark: SparkSession, base: str) -> DataFrame:
     folder = scratch_folder(spark)
     write_report(conformance_detail(spark, base), folder, "t_conf")
@@ -178,6 +190,20 @@ def phase_label_stored(spark: SparkSession, base: str) -> DataFrame:
     return phases.label_phase(_worktime(spark, base), views.dev_milestones(spark, base), hot)
 
 
+def phase_relabel_changed(spark: SparkSession, base: str) -> DataFrame:
+    """A stored table of labelled time after the releases of some tickets became known: their buckets are rewritten."""
+    milestones = views.dev_milestones(spark, base)
+    changed = milestones.filter("oid % 1000 = 3 AND release_start IS NOT NULL")
+    unknown = F.when(F.expr("oid % 1000 = 3"), None).otherwise(F.col("release_start"))
+    path = f"{scratch_folder(spark)}/t_isd_worktimesheet"
+    hot = bt.hot_issues(views.worktimesheet(spark, base))
+    before = milestones.withColumn("release_start", unknown)
+    labelled = bt.booked_time(views.named_work(spark, base), views.tickets(spark, base), before, hot)
+    key_buckets.write_buckets(labelled, path, "oid")
+    key_buckets.rewrite_buckets(spark, path, changed, "oid", lambda rows: phases.label_phase(rows, milestones, hot))
+    return key_buckets.read_buckets(spark, path)
+
+
 def phase_unlabelled(spark: SparkSession, base: str) -> DataFrame:
     return phases.unlabelled(phase_label(spark, base))
 
@@ -218,6 +244,25 @@ def backlog_minutely(spark: SparkSession, base: str) -> DataFrame:
     return backlog(_cases(spark, base), _moments(spark, F.make_dt_interval(mins=F.lit(1))), "ticket_type")
 
 
+def backlog_at_bookings(spark: SparkSession, base: str) -> DataFrame:
+    """Every moment at which work was booked, found by merging cases and moments in order."""
+    moments = views.worktimesheet(spark, base).select(F.col("startdate").alias("CUTPOINT")).distinct()
+    return backlog(_cases(spark, base), moments, "ticket_type", local_rows=1000)
+
+
+def open_cases_at(spark: SparkSession, base: str) -> DataFrame:
+    """The tickets that are open at each month start."""
+    return open_cases(_cases(spark, base), _cuts(spark)).select("CUTPOINT", "oid", "ticket_type")
+
+
+def open_cases_matched(spark: SparkSession, base: str) -> DataFrame:
+    """The tickets of each type that are open at the moments its tickets were closed."""
+    closed = views.tickets(spark, base, team=False).filter("oid % 97 < 10").select("ticket_type", F.col("closed").alias("CUTPOINT"))
+    return open_cases(_cases(spark, base), closed.distinct()).groupBy("CUTPOINT", "ticket_type").agg(
+        F.count(F.lit(1)).alias("COUNT"), F.sum("oid").alias("OIDS")
+    )
+
+
 def _moments(spark: SparkSession, step: Column) -> DataFrame:
     bounds = (F.lit(at).cast("timestamp_ntz") for at in (MONTH_BEGIN, MONTH_END))
     return spark.range(1).select(F.explode(F.sequence(*bounds, step)).alias("CUTPOINT"))
@@ -362,6 +407,7 @@ QUERIES: dict[str, Query] = {
     "sink_catalog_refresh": sink_catalog_refresh,
     "src_csv_roundtrip": src_csv_roundtrip,
     "sink_full_refresh": sink_full_refresh,
+    "sink_versions": sink_versions,
     "publish_conformance_csv": publish_conformance_csv,
     "filter_worktime": filter_worktime,
     "interval_flag": interval_flag,
@@ -378,6 +424,7 @@ QUERIES: dict[str, Query] = {
     "worktime_sorted": worktime_sorted,
     "phase_label": phase_label,
     "phase_label_stored": phase_label_stored,
+    "phase_relabel_changed": phase_relabel_changed,
     "phase_unlabelled": phase_unlabelled,
     "phase_release_semi": phase_release_semi,
     "backlog_total": backlog_total,
@@ -386,6 +433,9 @@ QUERIES: dict[str, Query] = {
     "backlog_daily": backlog_daily,
     "backlog_hourly": backlog_hourly,
     "backlog_minutely": backlog_minutely,
+    "backlog_at_bookings": backlog_at_bookings,
+    "open_cases_at": open_cases_at,
+    "open_cases_matched": open_cases_matched,
     "backlog_matched_cutpoints": backlog_matched_cutpoints,
     "backlog_observed": backlog_observed,
     "backlog_month_start": backlog_month_start,

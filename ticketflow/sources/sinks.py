@@ -88,6 +88,18 @@ def scratch_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/ticketflow-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """The same rows, written once to a new scratch folder and read back.
+
+    Cuts the lineage on storage that survives a lost executor. The folder stays
+    for as long as the result may be read; the cluster's own clean-up of
+    `spark.checkpoint.dir` removes it, or `remove_folder`.
+    """
+    path = scratch_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a scratch folder and all it holds."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
