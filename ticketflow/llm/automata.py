@@ -1,8 +1,8 @@
 """Weighted acyclic automata over word sequences.
 
 An automaton maps sequences of at most `depth` labels (byte strings) to
-weights. It is built from sorted sequences; states with the same arcs (label,
-weight, target) are one state. An arc's weight is that of the sequence it
+weights. It is built from sorted sequences, from the last labels to the first;
+states of one depth with the same arcs (label, weight, target) are one state. An arc's weight is that of the sequence it
 completes; zero stands for a mere prefix. All work is done on whole arrays.
 
 Sequences go in and out as tables: a matrix of label numbers (32 bits), 1 and

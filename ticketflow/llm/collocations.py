@@ -285,7 +285,7 @@ def _ask(cuts: list[Sequence]) -> Callable[[pd.DataFrame], pd.DataFrame]:
 def _answer(known: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
     """The counts that were asked for, and for the own phrases the largest count of a phrase around them."""
     if not len(known):
-        return pd.DataFrame({"range": [], "source": [], "counts": [], "around": []})
+        return pd.DataFrame(columns=["range", "source", "counts", "around"], dtype=object)
     table = _united(known["automaton"])
     automaton = build(table)
     here = int(known["range"].iloc[0])
@@ -310,7 +310,7 @@ def _judge(scale: int, share: int, most: int) -> Callable[[pd.DataFrame, pd.Data
 
     def judge(known: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         names = ["lang", "phrase", "a", "l", "r", "n", "score", "cut"]
-        empty = pd.DataFrame({name: [] for name in names})
+        empty = pd.DataFrame(columns=names, dtype=object)
         if not len(known):
             return empty
         table = _united(known["automaton"])
@@ -339,14 +339,14 @@ def _judge(scale: int, share: int, most: int) -> Callable[[pd.DataFrame, pd.Data
             for row, total, (score, k, left, right), many in zip(at.tolist(), a, best, n, strict=True):
                 lang, *phrase = table.sequence(row)
                 out.append((lang.decode("utf-8", "replace"), b" ".join(phrase), total, left, right, many, score, k))
-        if not out:
-            return empty
-        frame = pd.DataFrame(out, columns=names).sort_values(
-            ["lang", "score", "a", "phrase"], ascending=[True, False, False, True], kind="stable"
-        )
-        frame = frame.groupby("lang").head(most)
-        frame["phrase"] = [p.decode("utf-8", "replace") for p in frame["phrase"]]
-        return frame
+        # Best first, so that the places in a language count up.
+        out.sort(key=lambda r: (r[0], -r[6], -r[2], r[1]))
+        place, kept = 0, []
+        for i, line in enumerate(out):
+            place = place + 1 if i and line[0] == out[i - 1][0] else 1
+            if place <= most:
+                kept.append((line[0], line[1].decode("utf-8", "replace"), *line[2:]))
+        return pd.DataFrame(kept, columns=names) if kept else empty
 
     return judge
 

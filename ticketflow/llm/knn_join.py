@@ -53,6 +53,7 @@ BLOCK_ROWS = 1 << 14
 SLICE_ROWS = 2048
 # Doubles from here on are whole numbers.
 _WHOLE = 2.0**53
+_SCORES = 2.0**63
 # Sums below this are exact in floating point.
 _EXACT = 2.0**52
 
@@ -138,7 +139,8 @@ def _bounds(m: np.ndarray, centres: np.ndarray, radii: np.ndarray) -> tuple[np.n
     rows, centres = _alike(m, centres)
     middle, reach = rows @ centres.T, _lengths(rows)[:, None] * radii[None, :]
     slack = 1 + 1e-9 * (np.abs(middle) + reach)
-    return middle - reach - slack, middle + reach + slack
+    # Scores beyond 64 bits are all the same.
+    return np.clip(middle - reach - slack, -_SCORES, _SCORES), np.clip(middle + reach + slack, -_SCORES, _SCORES)
 
 
 def _lower_bounds(centres: np.ndarray, cells: np.ndarray, radii: np.ndarray, keep: int):
@@ -206,7 +208,8 @@ def _search(top: int):
                             at = np.flatnonzero(part != own[q])
                     else:
                         at = np.flatnonzero(part != own[q])
-                    at = at[np.argsort(-line[at], kind="stable")][:top]
+                    # The complement turns the order round, for the smallest number too.
+                    at = at[np.argsort(~line[at], kind="stable")][:top]
                     found.append((np.full(len(at), q), part[at], line[at]))
         if not found:
             return pd.DataFrame({"query_key": [], "query_id": [], "vec_id": [], "score": []}).astype("int64")

@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 from ticketflow.llm.counts import LIST, answers, chunked, lists, totals_of
 from ticketflow.llm.text import Words, chunks, grams, n_words_of
 
+_KEPT = np.uint64(0xFFFFFFFFFFFFFF00)
+
 ORDER = 3
 ALPHA = 0.4
 MIN_COUNT = 2
@@ -40,8 +42,9 @@ def _grams_of(texts: list, order: int) -> Iterator[tuple[int, Words, list[np.nda
         hashes = w.hashes()
         keys, inside = [], []
         for n in range(1, order + 1):
-            # The length is part of the hash, so n-grams of all lengths share one table.
-            keys.append(grams(hashes, n) ^ np.uint64(n * 0x9E3779B9))
+            # The length is part of the hash, so n-grams of all lengths share one table. 56 bits of it are kept: the
+            # byte plane left empty is a sixth of what travels.
+            keys.append((grams(hashes, n) ^ np.uint64(n * 0x9E3779B9 << 8)) & _KEPT)
             inside.append(w.doc[: len(keys[-1])] == w.doc[n - 1 :] if len(keys[-1]) else np.zeros(0, dtype=bool))
         yield first, w, keys, inside
 
