@@ -55,6 +55,17 @@ def test_csv_bad_cell_is_an_error(spark, tmp_path):
         reports.read_csv(spark, str(path), "TICKET string, N int").collect()
 
 
+def test_csv_bad_rows_are_set_aside(spark, tmp_path):
+    path = tmp_path / "t.csv"
+    path.write_text('N,TICKET,OTHER\n1,DEV,a\n5 x,RFC,b\n2,"two\nlines",c\n3,short\n4,,d\n9,INC,e,more\n')
+    kept, aside = reports.read_csv_setting_aside(spark, str(path), "TICKET string, N int")
+    assert rows(kept) == [("DEV", 1), ("two\nlines", 2), (None, 4)]
+    assert sorted(r.record for r in aside.collect()) == ["3,short", "5 x,RFC,b", "9,INC,e,more"]
+    path.write_text("TICKET,N\n")
+    kept, aside = reports.read_csv_setting_aside(spark, str(path), "TICKET string, N int")
+    assert kept.count() == aside.count() == 0
+
+
 def test_catalog_refresh_reads_itself_and_keeps_the_old_table(spark):
     name = "refreshed_catalog_table"
     try:

@@ -57,6 +57,29 @@ def throughput_time(tickets: DataFrame, team: bool = False) -> DataFrame:
     return medians.select(month_label(F.col("_month")).alias("CLOSED_MONTH"), *groups, "THROUGHPUT_TIME")
 
 
+def lead_time_histogram(tickets: DataFrame) -> DataFrame:
+    """Closed tickets counted by month, class, team and lead time in days.
+
+    Counts add up where medians do not, so every throughput and median report,
+    by class or by team, follows from this one table without the tickets.
+    """
+    closed = with_lead_time(closed_tickets(_classed(tickets, team=True)))
+    return closed.groupBy(month(F.col("closed")).alias("CLOSED"), *_groups(True), "lead_days").agg(
+        F.count(F.lit(1)).alias("TICKETS")
+    )
+
+
+def throughput_of(histogram: DataFrame, team: bool = False) -> DataFrame:
+    """Tickets closed and their exact median lead time per month and class, by team if asked."""
+    groups = _groups(team)
+    # A team's counts of the same lead time come together before the median.
+    counted = histogram.groupBy("CLOSED", *groups, "lead_days").agg(F.sum("TICKETS").alias("TICKETS"))
+    totals = counted.groupBy("CLOSED", *groups).agg(
+        F.sum("TICKETS").alias("THROUGHPUT"), F.percentile("lead_days", 0.5, F.col("TICKETS")).alias("THROUGHPUT_TIME")
+    )
+    return totals.select(month_label(F.col("CLOSED")).alias("CLOSED_MONTH"), *groups, "THROUGHPUT", "THROUGHPUT_TIME")
+
+
 def backlog_at(tickets: DataFrame, cutpoints: DataFrame, team: bool = False) -> DataFrame:
     """Open tickets per cut date and class, by team if asked."""
     cases = _classed(tickets, team).withColumnsRenamed({"created": "START", "closed": "END"})

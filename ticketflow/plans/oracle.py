@@ -221,6 +221,12 @@ ORACLE: dict[str, str] = {
     "src_csv_reordered": _with(TICKETS, then="SELECT * FROM tickets"),
     "sink_catalog_refresh": _with(TICKETS, then="SELECT * FROM tickets WHERE closed IS NULL"),
     "src_csv_roundtrip": _with(TICKETS, then="SELECT * FROM tickets"),
+    "src_csv_set_aside": _with(
+        TICKETS,
+        then="""
+SELECT oid % 1000 = 7 AS "ASIDE", oid % 100 AS "OID_CLASS", count(*) AS "COUNT", CAST(sum(oid) AS BIGINT) AS "OIDS"
+FROM tickets GROUP BY ALL""",
+    ),
     "sink_full_refresh": _PHASE_LABEL,
     "sink_versions": _with(TICKETS, then="SELECT * FROM tickets WHERE closed IS NULL"),
     "publish_conformance_csv": _CONFORMANCE_DETAIL,
@@ -323,6 +329,20 @@ SELECT c.cutpoint AS "CUTPOINT", t.ticket_type, t.appgroup,
 FROM tickets t JOIN cuts c ON t.ticket_type = c.ticket_type GROUP BY ALL""",
     ),
     "backlog_observed": _backlog(MONTH_CUTS, "ticket_type:ticket_type"),
+    "backlog_progress": _with(
+        TICKETS,
+        MONTH_CUTS,
+        """
+changes AS (
+  SELECT ticket_type, CASE WHEN closed IS NULL OR closed >= created
+                           THEN (SELECT min(cutpoint) FROM cuts WHERE cutpoint >= created) END AS place FROM tickets
+  UNION SELECT ticket_type, (SELECT min(cutpoint) FROM cuts WHERE cutpoint > closed) AS place FROM tickets
+  WHERE closed >= created AND closed < (SELECT max(cutpoint) FROM cuts))""",
+        then="""
+SELECT 'cases' AS step, count(*) AS rows FROM tickets
+UNION ALL SELECT 'changes', count(*) FROM changes
+UNION ALL SELECT 'backlog', count(DISTINCT ticket_type) * (SELECT count(*) FROM cuts) FROM tickets""",
+    ),
     "backlog_month_start": _backlog(MONTH_CUTS, 'ticket:"TICKET"', source="classed", count="BACKLOG"),
     "backlog_team": _backlog(
         MONTH_CUTS, 'ticket:"TICKET"', 'appgroup:"APPGROUP"', source="classed", count="BACKLOG"
@@ -333,6 +353,17 @@ FROM tickets t JOIN cuts c ON t.ticket_type = c.ticket_type GROUP BY ALL""",
     "throughput_team": _throughput(True),
     "throughput_time": _throughput_time(False),
     "throughput_time_team": _throughput_time(True),
+    "throughput_rollup": _with(
+        TICKETS,
+        CLASSED,
+        then="""
+SELECT strftime(closed, '%Y-%m') AS "CLOSED_MONTH", ticket AS "TICKET", appgroup AS "APPGROUP", count(*) AS "THROUGHPUT",
+       median(date_diff('day', created, closed)) AS "THROUGHPUT_TIME", 'team' AS "LEVEL"
+FROM classed WHERE closed IS NOT NULL GROUP BY ALL
+UNION ALL
+SELECT strftime(closed, '%Y-%m'), ticket, NULL, count(*), median(date_diff('day', created, closed)), 'class'
+FROM classed WHERE closed IS NOT NULL GROUP BY ALL""",
+    ),
     "fte_by_type": _fte_class(False, False),
     "fte_norm_by_type": _fte_class(False, True),
     "fte_team": _fte_class(True, False),

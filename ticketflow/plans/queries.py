@@ -18,9 +18,10 @@ from ticketflow.operators.backlog import STEPS, backlog
 from ticketflow.operators.open_cases import open_cases
 from ticketflow.plans import booked_time as bt
 from ticketflow.plans import views
+from ticketflow.plans.progress import observed_rows
 from ticketflow.sources import key_buckets, versions
-from ticketflow.sources.reports import read_csv, read_report, write_csv, write_report
-from ticketflow.sources.sinks import full_refresh, full_refresh_table, scratch_folder
+from ticketflow.sources.reports import read_csv, read_csv_setting_aside, read_report, write_csv, write_report
+from ticketflow.sources.sinks import full_refresh, full_refresh_table, scratch_folder, stored
 from ticketflow.sources.tables import without_blanks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,6 +94,21 @@ def src_csv_roundtrip(spark: SparkSession, base: str) -> DataFrame:
     return read_csv(spark, path, tickets.schema)
 
 
+def src_csv_set_aside(spark: SparkSession, base: str) -> DataFrame:
+    """A file in which some dates do not parse: what is kept and what is set aside, by class of ticket id."""
+    tickets = views.tickets(spark, base)
+    path = f"{scratch_folder(spark)}/tickets.csv"
+    text = tickets.select(*(F.col(c).cast("string").alias(c) for c in tickets.columns))
+    bad = F.expr("oid % 1000 = 7")
+    write_csv(text.withColumn("created", F.when(bad, F.lit("some day")).otherwise(F.col("created"))), path)
+    kept, aside = read_csv_setting_aside(spark, path, tickets.schema)
+    aside = aside.select(F.split("record", ",")[0].cast("bigint").alias("oid"), F.lit(True).alias("ASIDE"))
+    rows = kept.select("oid", F.lit(False).alias("ASIDE")).unionByName(aside)
+    return rows.groupBy("ASIDE", (F.col("oid") % 100).alias("OID_CLASS")).agg(
+        F.count(F.lit(1)).alias("COUNT"), F.sum("oid").alias("OIDS")
+    )
+
+
 def sink_full_refresh(spark: SparkSession, base: str) -> DataFrame:
     path = f"{scratch_folder(spark)}/t_isd_worktimesheet.parquet"
     labelled = phase_label(spark, base)
@@ -285,6 +301,12 @@ def backlog_observed(spark: SparkSession, base: str) -> DataFrame:
     return backlog(_cases(spark, base), _cuts(spark), "ticket_type", progress={s: Observation(s) for s in STEPS})
 
 
+def backlog_progress(spark: SparkSession, base: str) -> DataFrame:
+    """How many rows pass each step of a backlog."""
+    seen = {s: Observation(s) for s in STEPS}
+    return observed_rows(backlog(_cases(spark, base), _cuts(spark), "ticket_type", progress=seen), seen)
+
+
 def backlog_month_start(spark: SparkSession, base: str) -> DataFrame:
     return flow.backlog_at(views.tickets(spark, base, team=False), _cuts(spark))
 
@@ -320,6 +342,14 @@ def throughput_time_team(spark: SparkSession, base: str) -> DataFrame:
     return flow.throughput_time(views.tickets(spark, base), team=True)
 
 
+def throughput_rollup(spark: SparkSession, base: str) -> DataFrame:
+    """Throughput and median lead time by class and by team, all from one stored histogram."""
+    histogram = stored(flow.lead_time_histogram(views.tickets(spark, base)))
+    by_class = flow.throughput_of(histogram).withColumns({"LEVEL": F.lit("class"), "APPGROUP": F.lit(None).cast("string")})
+    by_team = flow.throughput_of(histogram, team=True).withColumn("LEVEL", F.lit("team"))
+    return by_team.unionByName(by_class)
+
+
 # Effort
 
 
@@ -406,6 +436,7 @@ QUERIES: dict[str, Query] = {
     "src_csv_reordered": src_csv_reordered,
     "sink_catalog_refresh": sink_catalog_refresh,
     "src_csv_roundtrip": src_csv_roundtrip,
+    "src_csv_set_aside": src_csv_set_aside,
     "sink_full_refresh": sink_full_refresh,
     "sink_versions": sink_versions,
     "publish_conformance_csv": publish_conformance_csv,
@@ -438,6 +469,7 @@ QUERIES: dict[str, Query] = {
     "open_cases_matched": open_cases_matched,
     "backlog_matched_cutpoints": backlog_matched_cutpoints,
     "backlog_observed": backlog_observed,
+    "backlog_progress": backlog_progress,
     "backlog_month_start": backlog_month_start,
     "backlog_team": backlog_team,
     "new_tickets": new_tickets,
@@ -446,6 +478,7 @@ QUERIES: dict[str, Query] = {
     "throughput_team": throughput_team,
     "throughput_time": throughput_time,
     "throughput_time_team": throughput_time_team,
+    "throughput_rollup": throughput_rollup,
     "fte_by_type": fte_by_type,
     "fte_norm_by_type": fte_norm_by_type,
     "fte_team": fte_team,

@@ -17,8 +17,8 @@ def publish(inputs: Inputs, folder: str, cutpoints: DataFrame, as_of: dt.date) -
     """Refresh the booked-time table, then write every report into `folder`.
 
     What several reports need is computed once and read back from shared
-    storage: the booked-time table, its monthly sums, the counts by team and
-    the conformance of each ticket. A lost executor costs only its own tasks.
+    storage: the booked-time table, its monthly sums, the counts by team, the
+    histogram of lead times and the conformance of each ticket. A lost executor costs only its own tasks.
     Backlog comes ordered by cut date and class, a board in the order of its
     blocks. The backlog report holds dates, so a cut date with a time of day is
     an error.
@@ -47,12 +47,14 @@ def publish(inputs: Inputs, folder: str, cutpoints: DataFrame, as_of: dt.date) -
     for suffix, team in (("", False), ("_team", True)):
         report(f"t_fte_ticket{suffix}", effort.fte_by_class(monthly, team))
         report(f"t_fte_phases{suffix}", effort.fte_by_phase(monthly, team))
-        report(f"t_throughputtime_ticket{suffix}", flow.throughput_time(tickets, team))
 
     new = report("t_nb_ticket_team", flow.new_tickets(tickets, team=True))
     report("t_nb_ticket", flow.over_teams(new, "NEW_TICKET"))
-    closed = report("t_throughput_ticket_team", flow.throughput(tickets, team=True))
-    report("t_throughput_ticket", flow.over_teams(closed, "THROUGHPUT"))
+    histogram = stored(flow.lead_time_histogram(tickets), f"{scratch}/lead_times.parquet")
+    for suffix, team in (("", False), ("_team", True)):
+        closed = flow.throughput_of(histogram, team)
+        report(f"t_throughput_ticket{suffix}", closed)
+        report(f"t_throughputtime_ticket{suffix}", closed)
     day = F.to_date("CUTPOINT")
     within = F.raise_error(F.lit("a cut date of the backlog report has a time of day")).cast("date")
     whole = cutpoints.withColumn(
