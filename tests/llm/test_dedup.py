@@ -49,7 +49,11 @@ def ordered(rows):
     return sorted((tuple(r) for r in rows), key=lambda r: [(v is not None, v) for v in r])
 
 
-def test_repeated_word_windows(docs, texts):
+@pytest.mark.parametrize("shard_bytes", [None, 300])
+def test_repeated_word_windows(docs, texts, shard_bytes, monkeypatch):
+    # Small shards deal anchors again, down to single windows.
+    if shard_bytes:
+        monkeypatch.setattr(substring_dedup, "PLAN", substring_dedup.PLAN._replace(shard_bytes=shard_bytes))
     words = [WORD.findall(t or "") for _, t in texts]
     seen = Counter(tuple(w[i : i + 35]) for w in words for i in range(len(w) - 34))
     expected = []
@@ -64,7 +68,11 @@ def test_repeated_word_windows(docs, texts):
     assert ordered(found) == ordered(expected)
 
 
-def test_repeated_byte_strings(docs, texts):
+@pytest.mark.parametrize("shard_bytes", [None, 300])
+def test_repeated_byte_strings(docs, texts, shard_bytes, monkeypatch):
+    # Small shards deal anchors again, down to single windows.
+    if shard_bytes:
+        monkeypatch.setattr(suffix_dedup, "PLAN", suffix_dedup.PLAN._replace(shard_bytes=shard_bytes))
     data = [(d, (t or "").encode()) for d, t in texts]
     first = {}
     for d, b in sorted(set(data), key=lambda x: (x[0] is not None, x[0] or 0)):

@@ -16,9 +16,11 @@ loses its equal segments before the shuffle.
 
 An anchor whose distinct segments exceed shard_bytes is dealt again: its
 segments are cut by a second anchor, the least gram under another hash, which
-equal windows share as well, and the pieces go to shards of their own. What is
-still too large after DEALS rounds is dealt window by window, each with the
-digest of its content, and counted. So no shard grows with the corpus.
+equal windows share as well. A piece is a segment of its own, with its own
+digest: the same piece cut from many segments is merged before it is dealt, so
+a common passage is carried once, and narrow links (segment, place, piece)
+take the verdicts back. What is still too large after DEALS rounds is cut into
+single windows, merged and linked alike. So no shard grows with the corpus.
 
 Texts that are equal as a whole are told apart first, by two 64-bit hashes:
 only the one with the smallest doc_id is searched, the others share its fate.
@@ -37,9 +39,8 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ticketflow.llm.text import Words, chunks, cut_lineage, grams, mix, window_min
 
@@ -239,50 +240,80 @@ def _segments(plan: Plan, contents: bool) -> Callable[[Iterator[pd.DataFrame]],
     return scan
 
 
-# A segment to judge, a verdict on one (every and later; without content), or a single window (with its digest).
+# What comes of judging a shard: verdicts on segments, pieces of segments to be dealt again (equal ones of a slice
+# merged), and links that say which piece stands where in which segment.
+_VERDICT, _PIECE, _LINK = 0, 1, 2
 _DEALT = (
-    "anchor long, seg binary, n long, doc_id long, begin long, windows int, plain boolean, content binary, "
-    "shift int, every array<int>, later array<int>, digest binary"
+    "kind int, anchor long, seg binary, n long, doc_id long, begin long, windows int, plain boolean, content binary, "
+    "parent binary, shift int, every array<int>, later array<int>"
 )
 _NAMES = [column.split()[0] for column in _DEALT.split(", ")]
+_KINDS = {
+    _VERDICT: "seg binary, first_doc long, first_begin long, every array<int>, later array<int>",
+    _PIECE: _SEGMENT,
+    _LINK: "seg binary, parent binary, shift int, doc_id long, begin long",
+}
+
+
+def _spread(segs: list[bytes]) -> np.ndarray:
+    """A number per digest, by which rows without an anchor are dealt."""
+    return np.frombuffer(b"".join(segs), dtype="<i8")[::2]
 
 
 def _again(plan: Plan, held: pd.DataFrame, deal: int) -> Iterator[pd.DataFrame]:
-    """Segments of one anchor cut into pieces by the anchors of this deal, or into windows after the last one."""
+    """Segments of one anchor cut into pieces by the anchors of this deal, or into windows after the last one.
+
+    A piece has a digest of its own, so that the same passage within many
+    segments is one piece; links lead back to the segments.
+    """
     texts = list(held["content"])
     sizes = np.array([len(t) for t in texts])
     slices = np.flatnonzero(np.diff(np.cumsum(sizes) // plan.shard_bytes, prepend=-1))
     for a, b in zip(slices.tolist(), [*slices[1:].tolist(), len(texts)], strict=True):
         symbols = plan.split(texts[a:b])
+        part = held.iloc[a:b]
         if deal <= DEALS:
             runs = runs_of(symbols, plan.length, plan.gram, deal)
             doc, begin, windows = runs.doc, runs.begin, runs.end - runs.begin + 1
-            old = held["anchor"].to_numpy()[a:b][doc].view(np.uint64)
-            more = {
-                "anchor": mix(mix(old) ^ runs.anchor.view(np.uint64)).view(np.int64),
-                "plain": runs.places == 1,
-                "content": [symbols.cut(x, x + w + plan.length - 1) for x, w in zip(begin.tolist(), windows.tolist(), strict=True)],
-                "digest": None,
-            }
+            old = part["anchor"].to_numpy()[doc].view(np.uint64)
+            anchor, plain = mix(mix(old) ^ runs.anchor.view(np.uint64)).view(np.int64), runs.places == 1
+            content = [symbols.cut(x, x + w + plan.length - 1) for x, w in zip(begin.tolist(), windows.tolist(), strict=True)]
+            segs = [hashlib.blake2b(c, digest_size=16).digest() for c in content]
         else:
-            many = held["windows"].to_numpy()[a:b]
+            many = part["windows"].to_numpy()
             doc = np.repeat(np.arange(b - a), many)
             begin = symbols.first[doc] + np.arange(len(doc)) - np.repeat(np.cumsum(many) - many, many)
-            windows = np.ones(len(doc), dtype=np.int64)
+            windows, plain, content = np.ones(len(doc), dtype=np.int64), np.ones(len(doc), dtype=bool), None
             values, wide = symbols.values.tobytes(), symbols.values.itemsize
-            more = {
-                "anchor": 0,
-                "plain": True,
-                "content": None,
-                "digest": [
-                    hashlib.blake2b(values[x * wide : (x + plan.length) * wide], digest_size=16).digest()
-                    for x in begin.tolist()
-                ],
+            segs = [
+                hashlib.blake2b(values[x * wide : (x + plan.length) * wide], digest_size=16).digest()
+                for x in begin.tolist()
+            ]
+            anchor = _spread(segs)
+        shift = begin - symbols.first[doc]
+        found = pd.DataFrame(
+            {
+                "kind": _LINK,
+                "anchor": anchor,
+                "seg": segs,
+                "n": part["n"].to_numpy()[doc],
+                "doc_id": part["doc_id"].to_numpy()[doc],
+                "begin": part["begin"].to_numpy()[doc] + shift,
+                "windows": windows,
+                "plain": plain,
+                "content": content,
+                "parent": part["seg"].to_numpy()[doc],
+                "shift": shift,
+                "every": None,
+                "later": None,
             }
-        part = held.iloc[a:b].iloc[doc]
-        same = {name: part[name].to_numpy() for name in ("seg", "n", "doc_id", "begin")}
-        shift = part["shift"].to_numpy() + (begin - symbols.first[doc])
-        yield pd.DataFrame(same | more | {"windows": windows, "shift": shift, "every": None, "later": None})[_NAMES]
+        )[_NAMES]
+        yield found.assign(anchor=_spread(segs), content=None)
+        # Each piece once, with its earliest place and the number of all its places.
+        found = found.sort_values(["doc_id", "begin"], kind="stable")
+        total = found.groupby("seg")["n"].sum()
+        found = found.drop_duplicates("seg")
+        yield found.assign(kind=_PIECE, n=total.loc[found["seg"]].to_numpy(), parent=None)
 
 
 def _judged(plan: Plan, deal: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
@@ -301,22 +332,17 @@ def _judged(plan: Plan, deal: int) -> Callable[[Iterator[pd.DataFrame]], Iterato
             yield result(only, none if plan.spares_first else whole, whole if plan.spares_first else none)
         rest = held[~single]
         if len(rest):
-            windows, begins = rest["windows"].to_numpy(), (rest["begin"] + rest["shift"]).to_numpy()
+            windows = rest["windows"].to_numpy()
             every, later = plan.judge(
-                list(rest["content"]), windows, rest["n"].to_numpy(), rest["doc_id"].to_numpy(), begins
+                list(rest["content"]), windows, *(rest[name].to_numpy() for name in ("n", "doc_id", "begin"))
             )
             yield result(rest, _ranges(every, windows), _ranges(later, windows))
 
     def result(held: pd.DataFrame, every: list, later: list) -> pd.DataFrame:
-        # Dealt by segment from here on.
-        anchor = np.frombuffer(b"".join(held["seg"]), dtype="<i8")[::2]
-        if deal:
-            every, later = (
-                [np.asarray(x, dtype=np.int32) + by for x, by in zip(spans, held["shift"].tolist(), strict=True)]
-                for spans in (every, later)
-            )
-        settled = held.assign(anchor=anchor, content=None, every=every, later=later, digest=None)[_NAMES]
-        return settled[[len(x) + len(y) > 0 for x, y in zip(every, later, strict=True)]]
+        settled = held.assign(
+            kind=_VERDICT, anchor=_spread(list(held["seg"])), content=None, parent=None, shift=0, every=every, later=later
+        )
+        return settled[[len(x) + len(y) > 0 for x, y in zip(every, later, strict=True)]][_NAMES]
 
     def shards(held: pd.DataFrame, size: np.ndarray, final: bool) -> Iterator[pd.DataFrame | int]:
         """Verdicts on full shards of the rows, and at last the number of rows done."""
@@ -342,13 +368,6 @@ def _judged(plan: Plan, deal: int) -> Callable[[Iterator[pd.DataFrame]], Iterato
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         parts, size, hot = [], 0, None
         for batch in batches:
-            if deal:
-                settled = batch["content"].isna().to_numpy()
-                if settled.any():
-                    yield batch[settled]
-                    batch = batch[~settled]
-            else:
-                batch = batch.assign(shift=0)
             if hot is not None and len(batch):
                 more = batch["anchor"].to_numpy() == hot
                 if more.any():
@@ -389,43 +408,75 @@ def _judged(plan: Plan, deal: int) -> Callable[[Iterator[pd.DataFrame]], Iterato
     return scan
 
 
-def _verdicts(plan: Plan, distinct: DataFrame) -> DataFrame:
-    """(seg, first_doc, first_begin, every, later) for the segments with windows to remove."""
-    dealt = distinct.sortWithinPartitions("anchor", "seg").mapInPandas(_judged(plan, 0), _DEALT)
-    for deal in range(1, DEALS + 1):
-        dealt = dealt.repartition("anchor").sortWithinPartitions("anchor", "seg", "shift")
-        dealt = dealt.mapInPandas(_judged(plan, deal), _DEALT)
-    # Single windows are counted by their digest; a verdict has a partition of its own.
-    same = Window.partitionBy(F.coalesce("digest", "seg"))
-    place = F.struct("doc_id", (F.col("begin") + F.col("shift")).alias("at"))
-    dealt = dealt.select("*", F.sum("n").over(same).alias("_total"), place.alias("_place"))
-    dealt = dealt.select("*", F.min("_place").over(same).alias("_least"))
-    window = F.array("shift", "shift")
+def _of_kind(kind: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    names = [column.split()[0] for column in _KINDS[kind].split(", ")]
+
+    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = batch[batch["kind"].to_numpy() == kind]
+            if kind == _VERDICT:
+                rows = rows.rename(columns={"doc_id": "first_doc", "begin": "first_begin"})
+            if len(rows):
+                yield rows[names]
+
+    return scan
+
+
+def _merged(segments: DataFrame) -> DataFrame:
+    """Each distinct segment once, dealt by anchor."""
+    distinct = segments.repartition("anchor").groupBy("anchor", "seg")
+    distinct = distinct.agg(
+        F.sum("n").alias("n"),
+        F.min(F.struct("doc_id", "begin")).alias("first"),
+        F.first("windows").alias("windows"),
+        F.first("plain").alias("plain"),
+        F.first("content").alias("content"),
+    )
+    return distinct.select("anchor", "seg", "n", "first.doc_id", "first.begin", "windows", "plain", "content")
+
+
+def _here(by: Column) -> tuple[Column, Column]:
+    """Of a place (doc_id, begin) joined to a verdict: what goes wherever the place's text stands, and what goes but at
+    its earliest place. `by` shifts the windows."""
+    first = (F.col("doc_id") == F.col("first_doc")) & (F.col("begin") == F.col("first_begin"))
     none = F.array().cast("array<int>")
-    least = F.col("_place") == F.col("_least")
-    if plan.spares_first:
-        every, later = F.when(~least, window), F.when(least & (F.col("n") > 1), window)
+    every = F.concat("every", F.when(first, none).otherwise(F.col("later")))
+    later = F.when(first, F.col("later")).otherwise(none)
+    return F.transform(every, lambda x: x + by), F.transform(later, lambda x: x + by)
+
+
+def _verdicts(plan: Plan, distinct: DataFrame, deal: int = 0) -> DataFrame:
+    """(seg, first_doc, first_begin, every, later) for the segments with windows to remove."""
+    # All three kinds are read from this one exchange.
+    judged = distinct.sortWithinPartitions("anchor", "seg").mapInPandas(_judged(plan, deal), _DEALT).repartition("anchor")
+    settled, pieces, links = (judged.mapInPandas(_of_kind(k), _KINDS[k]) for k in (_VERDICT, _PIECE, _LINK))
+    if deal < DEALS:
+        found = _verdicts(plan, _merged(pieces), deal + 1)
     else:
-        every, later = F.when(F.col("_total") > 1, window), F.lit(None).cast("array<int>")
-    lone = F.col("digest").isNotNull()
-    judged = dealt.select(
-        "seg",
-        "doc_id",
-        "begin",
-        F.when(lone, F.coalesce(every, none)).otherwise(F.col("every")).alias("every"),
-        F.when(lone, F.coalesce(later, none)).otherwise(F.col("later")).alias("later"),
-    )
-    # The pieces of a segment come together again.
-    return (
-        judged.filter("size(every) > 0 OR size(later) > 0")
-        .groupBy("seg")
-        .agg(
-            F.first("doc_id").alias("first_doc"),
-            F.first("begin").alias("first_begin"),
-            F.flatten(F.collect_list("every")).alias("every"),
-            F.flatten(F.collect_list("later")).alias("later"),
+        # Single windows: the same windows have the same digest and are counted.
+        total = pieces.groupBy("seg").agg(F.sum("n").alias("n"), F.min(F.struct("doc_id", "begin")).alias("first"))
+        gone, stays = F.array(F.lit(0), F.lit(0)), F.array().cast("array<int>")
+        found = total.filter("n > 1").select(
+            "seg",
+            F.col("first.doc_id").alias("first_doc"),
+            F.col("first.begin").alias("first_begin"),
+            (stays if plan.spares_first else gone).alias("every"),
+            (gone if plan.spares_first else stays).alias("later"),
         )
+    # The earliest place of a segment holds the earliest place of its piece, or no place of the segment does.
+    every, later = _here(F.col("shift"))
+    back = links.join(found, "seg").select(
+        F.col("parent").alias("seg"),
+        F.col("doc_id").alias("first_doc"),
+        (F.col("begin") - F.col("shift")).alias("first_begin"),
+        every.alias("every"),
+        later.alias("later"),
+    )
+    # The pieces of a segment come together again: at most as many as it has windows.
+    back = back.groupBy("seg", "first_doc", "first_begin").agg(
+        F.flatten(F.collect_list("every")).alias("every"), F.flatten(F.collect_list("later")).alias("later")
     )
+    return settled.unionByName(back)
 
 
 def _ranges(mask: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
@@ -451,20 +502,10 @@ def repeated_windows(searched: DataFrame, plan: Plan) -> DataFrame:
     wanted = wanted.groupBy("_row").agg(F.collect_set("anchor").alias("anchors")).withColumnRenamed("_row", "_w")
     with_anchors = searched.join(wanted.hint("shuffle_hash"), F.col("_row") == F.col("_w")).drop("_w")
     # Merged in each batch, dealt by anchor, merged for good where they arrive.
-    dealt = with_anchors.mapInPandas(_segments(plan, True), _SEGMENT).repartition("anchor")
-    distinct = dealt.groupBy("anchor", "seg").agg(
-        F.sum("n").alias("n"),
-        F.min(F.struct("doc_id", "begin")).alias("first"),
-        F.first("windows").alias("windows"),
-        F.first("plain").alias("plain"),
-        F.first("content").alias("content"),
-    )
-    distinct = distinct.select("anchor", "seg", "n", "first.doc_id", "first.begin", "windows", "plain", "content")
-    verdicts = _verdicts(plan, distinct)
+    verdicts = _verdicts(plan, _merged(with_anchors.mapInPandas(_segments(plan, True), _SEGMENT)))
     placed = with_anchors.mapInPandas(_segments(plan, False), _PLACE).join(verdicts, "seg")
-    here = (F.col("doc_id") == F.col("first_doc")) & (F.col("begin") == F.col("first_begin"))
-    spans = F.concat("every", F.when(here, F.array().cast("array<int>")).otherwise(F.col("later")))
-    placed = placed.select("_row", "doc_id", F.transform(spans, lambda x: x + F.col("begin")).alias("spans"))
+    spans, _ = _here(F.col("begin").cast("int"))
+    placed = placed.select("_row", "doc_id", spans.alias("spans"))
     return placed.groupBy("_row").agg(F.collect_list(F.struct("doc_id", "spans")).alias("found"))
 
 
