@@ -161,6 +161,28 @@ def test_repeated_lines(spark):
     assert line_dedup.dedup_lines(df).count() == len(rows)
 
 
+def test_clashing_columns(spark):
+    line = "Shared line that is longer than forty code points"
+    rows = [(i, f"{line}\nown {i}", i, "x", None) for i in range(6)] + [(None, None, 1, None, 2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _id int, _drop string, row int")
+    found = line_dedup.dedup_lines(df)
+    assert found.columns[:5] == df.columns
+    assert ordered(found.select(*df.columns).collect()) == ordered(rows)
+    assert found.filter("n_dropped = 1").count() == 5
+    kept = ngram_jaccard.keep_one(df, 5, 80)
+    assert kept.columns == df.columns
+    assert ordered(kept.collect()) == ordered(rows)
+
+
+def test_many_dropped_lines(spark):
+    lines = [f"line {i} is shared by all, forty code points long" for i in range(30_000)]
+    rows = [(i, "\n".join([*lines, f"own {i}"])) for i in range(5)]
+    found = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.n_dropped, r.kept_text) for r in found} == {
+        (i, 30_000, f"own {i}") if i < 4 else (4, 0, rows[4][1]) for i in range(5)
+    }
+
+
 def test_bloom_filter_loses_nothing():
     hashes = np.random.default_rng(2).integers(0, 1 << 63, 5000).astype(np.uint64)
     bloom = line_dedup.Bloom(5000)

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ticketflow.llm.text import SPACES, mix
+from ticketflow.llm.text import SPACES, mix, set_aside
 
 # Fixed by the contract: code points a key must have, documents it must be in.
 MIN_LENGTH = 40
@@ -87,22 +87,24 @@ def _key(line: Column) -> Column:
     return F.translate(F.btrim(line, F.lit(SPACES)), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def repeated_keys(docs: DataFrame, min_length: int = MIN_LENGTH, min_docs: int = MIN_DOCS) -> DataFrame:
-    """(doc_id, digest): lines to drop, as SHA-256 of their key, in all documents but the one that keeps them."""
+def dropped_lines(docs: DataFrame, min_length: int = MIN_LENGTH, min_docs: int = MIN_DOCS) -> DataFrame:
+    """(doc_id, row, line): places of the lines to drop, in all documents but the one that keeps them; row is the hash
+    of id and text."""
     # Keys are made inside the array, so that each is made once and the filter stays above.
     keys = F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), _key)
-    lines = docs.select("doc_id", keys.alias("_k")).select("doc_id", F.explode_outer("_k").alias("key"))
+    lines = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("row"), keys.alias("_k"))
+    lines = lines.select("doc_id", "row", F.posexplode_outer("_k").alias("line", "key"))
     lines = lines.filter(F.length("key") >= min_length)
     hashed = lines.select(F.xxhash64("key").alias("h")).mapInPandas(_merge, "h long, twice boolean")
     suspects = hashed.repartition("h").mapInPandas(_suspects, "h long").distinct()
-    marked = lines.select(
-        F.xxhash64("key").alias("h"), "doc_id", F.sha2(F.col("key").cast("binary"), 256).alias("digest")
-    )
-    suspected = marked.join(suspects, "h", "left_semi").select("digest", "doc_id").distinct()
-    counted = suspected.groupBy("digest").agg(F.count("*").alias("n"), F.max("doc_id").alias("keeper"))
+    digest = F.unhex(F.sha2(F.col("key").cast("binary"), 256)).alias("digest")
+    marked = lines.select(F.xxhash64("key").alias("h"), "doc_id", "row", "line", digest)
+    suspected = marked.join(suspects, "h", "left_semi").select("digest", "doc_id", "row", "line")
+    counted = suspected.select("digest", "doc_id").distinct()
+    counted = counted.groupBy("digest").agg(F.count("*").alias("n"), F.max("doc_id").alias("keeper"))
     often = counted.filter(F.col("n") >= min_docs).select(F.col("digest").alias("_d"), "keeper")
     drops = suspected.join(often, F.col("digest") == F.col("_d"))
-    return drops.filter(~F.col("doc_id").eqNullSafe(F.col("keeper"))).select("doc_id", "digest")
+    return drops.filter(~F.col("doc_id").eqNullSafe(F.col("keeper"))).select("doc_id", "row", "line")
 
 
 def dedup_lines(docs: DataFrame, min_length: int = MIN_LENGTH, min_docs: int = MIN_DOCS) -> DataFrame:
@@ -112,24 +114,19 @@ def dedup_lines(docs: DataFrame, min_length: int = MIN_LENGTH, min_docs: int = M
     documents hold stay only in the largest doc_id. Columns named like the new
     ones are replaced.
     """
-    docs = docs.drop("kept_text", "n_lines", "n_dropped")
-    drops = repeated_keys(docs, min_length, min_docs).groupBy("doc_id").agg(F.collect_list("digest").alias("_drop"))
-    drops = drops.withColumnRenamed("doc_id", "_id")
-    joined = docs.join(drops.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("_id")), "left").drop("_id")
-    lines = F.split(F.coalesce("text", F.lit("")), "\n")
-    stays = F.filter(
-        F.col("_lines"),
-        lambda x: ~(
-            (F.length(_key(x)) >= min_length)
-            & F.array_contains(F.col("_drop"), F.sha2(_key(x).cast("binary"), 256))
-        ),
-    )
-    joined = joined.withColumn("_lines", lines).withColumn(
-        "_kept", F.when(F.col("_drop").isNull(), F.col("_lines")).otherwise(stays)
-    )
+    docs, names = set_aside(docs.drop("kept_text", "n_lines", "n_dropped"))
+    drops = dropped_lines(docs, min_length, min_docs).groupBy("doc_id", "row")
+    drops = drops.agg(F.collect_set("line").alias("_drop")).withColumnRenamed("doc_id", "_id")
+    own = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("doc_id", "text") == F.col("row"))
+    joined = docs.join(drops.hint("shuffle_hash"), own, "left")
+    joined = joined.select(*docs.columns, "_drop", F.split(F.coalesce("text", F.lit("")), "\n").alias("_lines"))
+    # A difference of two arrays of places, for it takes time in proportion to the lines.
+    places = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_drop"))
+    stays = F.transform(places, lambda i: F.get("_lines", i))
+    joined = joined.withColumn("_kept", F.when(F.col("_drop").isNull(), F.col("_lines")).otherwise(stays))
     return joined.select(
         *docs.columns,
         F.array_join("_kept", "\n").alias("kept_text"),
         F.size("_lines").cast("long").alias("n_lines"),
         (F.size("_lines") - F.size("_kept")).cast("long").alias("n_dropped"),
-    )
+    ).withColumnsRenamed(names)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -33,6 +34,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def set_aside(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """`docs` with all columns but doc_id and text under names nothing else has, and what they were called."""
+    tag = uuid.uuid4().hex
+    names = {c: f"_{tag}_{i}" for i, c in enumerate(docs.columns) if c not in ("doc_id", "text")}
+    return docs.withColumnsRenamed(names), {new: old for old, new in names.items()}
+
+
 def words_of(text: Column) -> Column:
     """The words of a text as an array; a missing text has none."""
     inner = F.btrim(F.coalesce(text, F.lit("")), F.lit(SPACES))
