@@ -119,6 +119,75 @@ def test_leaks(spark):
     assert decontaminate.decontaminate(docs.limit(0), bench).count() == 0
 
 
+def test_items_without_id_and_clashing_columns(spark):
+    item = " ".join(f"q{i}" for i in range(20))
+    docs = spark.createDataFrame(
+        [(1, f"a {item} b", "x", 1), (2, "clean", "y", 2)], "doc_id long, text string, leaks string, _leaks_0 int"
+    )
+    bench = spark.createDataFrame([(None, item), (None, "other item"), (4, item)], "item_id long, text string")
+    found = {r.doc_id: [x.item_id for x in r.leaks] for r in decontaminate.leaks(docs, bench).collect()}
+    assert found == {1: [None, 4], 2: []}
+    kept = decontaminate.decontaminate(docs, bench)
+    assert kept.columns == docs.columns
+    assert [tuple(r) for r in kept.collect()] == [(2, "clean", "y", 2)]
+
+
+def greedy(text, item, least):
+    """Greedy string tiling by looking at every pair of places in each round."""
+    used_text, used_item, tiles = set(), set(), []
+    while True:
+        best = None
+        for b in range(len(item)):
+            for a in range(len(text)):
+                n = 0
+                while (
+                    a + n < len(text) and b + n < len(item) and text[a + n] == item[b + n]
+                    and a + n not in used_text and b + n not in used_item
+                ):
+                    n += 1
+                if n >= least and (best is None or n > best[2]):
+                    best = (a, b, n)
+        if best is None:
+            return tiles
+        a, b, n = best
+        tiles.append((a, n))
+        used_text.update(range(a, a + n))
+        used_item.update(range(b, b + n))
+
+
+@pytest.mark.parametrize("pairs", [1 << 20, 7])
+def test_tiling_against_brute_force(pairs, monkeypatch):
+    monkeypatch.setattr(decontaminate, "PAIRS", pairs)
+    rng = random.Random(3)
+    items = [[rng.choice("abc") for _ in range(rng.randint(1, 30))] for _ in range(12)]
+    texts = [[rng.choice("abc") for _ in range(rng.randint(0, 50))] for _ in range(25)]
+    texts += [["x", *item[10:], "y", *item[:10]] for item in items] + [["a"] * 40]
+    block = decontaminate.Block([(k, " ".join(item)) for k, item in enumerate(items)], 3)
+    found = decontaminate._scan([" ".join(t) for t in texts], block, 0.5)
+    for text, hits in zip(texts, found, strict=True):
+        expected = {}
+        for k, item in enumerate(items):
+            tiles = greedy(text, item, min(3, len(item)))
+            if sum(n for _, n in tiles) / len(item) >= 0.5:
+                expected[k] = sorted(tiles)
+        assert {h["item_id"]: [(t["first"], t["length"]) for t in h["tiles"]] for h in hits} == expected
+
+
+def test_repetitive_texts_are_tiled_in_parts():
+    block = decontaminate.Block([(1, "a " * 200)], 5)
+    found = decontaminate._scan(["a " * 20_000, "a " * 100], block, 0.6)
+    assert [[h["item_id"] for h in hits] for hits in found] == [[1], []]
+
+
+def test_rules_with_clashing_columns(spark):
+    names = ["_w", "_grams", "_lines", "_sorted", "_verdict", "_at", "_ratios"]
+    schema = "doc_id long, text string, " + ", ".join(f"{n} int" for n in names)
+    docs = spark.createDataFrame([(1, "some words here", *range(7)), (None, None, *[None] * 7)], schema)
+    found = quality_rules.quality_rules(docs, spark.createDataFrame([(1,)], "doc_id long"))
+    assert found.columns[:9] == docs.columns
+    assert ordered(found.select(*docs.columns).collect()) == ordered(docs.collect())
+
+
 def test_tiles_take_the_longest_first():
     pairs = np.array([(i, i + 4) for i in range(6)] + [(20 + i, i) for i in range(3)])
     assert decontaminate.tile(pairs, 3) == [(0, 4, 8), (20, 0, 4)]

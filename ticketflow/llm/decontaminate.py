@@ -13,13 +13,15 @@ corpus: nothing that is sent grows with the benchmark or the corpus, and no
 text is shuffled. Words are compared with A-Z lower-cased.
 
 Defined cases: a missing or empty text is clean; an item with fewer words than
-MIN_MATCH is looked for as a whole; an item without words matches nothing;
+MIN_MATCH is looked for as a whole; an item without words matches nothing; an
+item without item_id counts like any other and is reported with a NULL id;
 repeated rows are judged each; an empty benchmark leaves every text clean; an
 empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,6 +34,8 @@ from ticketflow.llm.text import Words, chunks, grams
 MIN_MATCH = 5
 COVERAGE = 0.6
 BLOCK_BYTES = 8 << 20
+# So many seed matches are held at a time; a text and an item that both repeat themselves have very many.
+PAIRS = 1 << 20
 
 HITS = "array<struct<item_id:bigint,coverage:double,tiles:array<struct<first:int,length:int>>>>"
 
@@ -39,7 +43,7 @@ HITS = "array<struct<item_id:bigint,coverage:double,tiles:array<struct<first:int
 class Block:
     """Benchmark items as word hashes, and the seeds that lead to them."""
 
-    def __init__(self, items: list[tuple[int, str]], min_match: int):
+    def __init__(self, items: list[tuple[int | None, str]], min_match: int):
         self.ids, self.words, self.min_match = [], [], min_match
         w = Words([text.encode("utf-8", "surrogatepass").lower() for _, text in items])
         hashes = w.hashes()
@@ -62,33 +66,50 @@ class Block:
             maybe[keys >> np.uint64(42)] = True
             self.seeds[length] = keys[order], item[order], at[order], maybe
 
-    def hits(self, length: int, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(place in `keys`, item, place in the item) for every seed among `keys`."""
+    def hits(self, length: int, keys: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(place in `keys`, item, place in the item) for every seed among `keys`, some PAIRS at a time, in order of
+        place."""
         known, item, at, maybe = self.seeds[length]
         place = np.flatnonzero(maybe[keys >> np.uint64(42)])
         low = np.searchsorted(known, keys[place], "left")
         many = np.searchsorted(known, keys[place], "right") - low
-        total = int(many.sum())
-        inner = np.arange(total) - np.repeat(np.cumsum(many) - many, many)
-        chosen = np.repeat(low, many) + inner
-        return np.repeat(place, many), item[chosen], at[chosen]
+        place, low, many = place[many > 0], low[many > 0], many[many > 0]
+        cuts = np.flatnonzero(np.diff(np.cumsum(many) // PAIRS)) + 1
+        for part in np.split(np.arange(len(place)), cuts):
+            n = many[part]
+            chosen = np.repeat(low[part] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+            yield np.repeat(place[part], n), item[chosen], at[chosen]
+
+
+def _joined(runs: np.ndarray) -> np.ndarray:
+    """Rows (text place, item, item place, seeds) with those that go on along a diagonal of one item joined."""
+    diagonal = runs[:, 0] - runs[:, 2]
+    order = np.lexsort((runs[:, 0], diagonal, runs[:, 1]))
+    runs, diagonal = runs[order], diagonal[order]
+    if not len(runs):
+        return runs
+    same = (np.diff(diagonal) == 0) & (np.diff(runs[:, 1]) == 0) & (np.diff(runs[:, 0]) == runs[:-1, 3])
+    begin = np.flatnonzero(np.concatenate(([True], ~same)))
+    out = runs[begin]
+    out[:, 3] = np.add.reduceat(runs[:, 3], begin)
+    return out
 
 
 def tile(pairs: np.ndarray, length: int) -> list[tuple[int, int, int]]:
     """Greedy tiles (place in the text, place in the item, words) from seed matches.
 
     `pairs` has a row (text place, item place) for each seed of `length` words.
-    Matches are the maximal runs of seeds along a diagonal. The longest is
-    marked first (ties: earliest in the item, then in the text); what it
-    overlaps is cut back to the words still free.
     """
-    diagonal = pairs[:, 0] - pairs[:, 1]
-    order = np.lexsort((pairs[:, 0], diagonal))
-    pairs, diagonal = pairs[order], diagonal[order]
-    breaks = np.flatnonzero((np.diff(diagonal) != 0) | (np.diff(pairs[:, 0]) != 1)) + 1
-    begin = np.concatenate(([0], breaks))
-    size = np.diff(np.concatenate((begin, [len(pairs)]))) + length - 1
-    runs = [(int(a), int(b), int(n)) for (a, b), n in zip(pairs[begin], size, strict=True)]
+    seeds = np.stack((pairs[:, 0], np.zeros_like(pairs[:, 0]), pairs[:, 1], np.ones_like(pairs[:, 0])), axis=1)
+    return _tiles([(int(a), int(b), int(n) + length - 1) for a, _, b, n in _joined(seeds)], length)
+
+
+def _tiles(runs: list[tuple[int, int, int]], length: int) -> list[tuple[int, int, int]]:
+    """Greedy tiles from matches (place in the text, place in the item, words), each a maximal run along a diagonal.
+
+    The longest is marked first (ties: earliest in the item, then in the text);
+    what it overlaps is cut back to the words still free.
+    """
     tiles, used_text, used_item = [], set(), set()
     while runs:
         runs.sort(key=lambda r: (-r[2], r[1], r[0]))
@@ -124,21 +145,26 @@ def _scan(texts: list, block: Block, coverage: float) -> list[list[dict]]:
         for length in block.seeds:
             keys = grams(hashes, length)
             inside = w.doc[: len(keys)] == w.doc[length - 1 :] if len(keys) else np.zeros(0, dtype=bool)
-            place, item, at = block.hits(length, keys)
-            ok = inside[place]
-            place, item, at = place[ok], item[ok], at[ok]
-            doc = w.doc[place]
+            runs = [np.zeros((0, 4), dtype=np.int64)]
+            for place, item, at in block.hits(length, keys):
+                ok = inside[place]
+                place = place[ok]
+                runs.append(_joined(np.stack((place, item[ok], at[ok], np.ones_like(place)), axis=1)))
+            runs = _joined(np.concatenate(runs)) if len(runs) > 2 else runs[-1]
+            doc, item = w.doc[runs[:, 0]], runs[:, 1]
             order = np.lexsort((item, doc))
-            place, item, at, doc = place[order], item[order], at[order], doc[order]
+            runs, doc, item = runs[order], doc[order], item[order]
             cuts = np.flatnonzero((np.diff(doc) != 0) | (np.diff(item) != 0)) + 1
             for part in np.split(np.arange(len(doc)), cuts):
                 if not len(part):
                     continue
                 d, k = int(doc[part[0]]), int(item[part[0]])
                 total = len(block.words[k])
-                if len(np.unique(at[part])) + (length - 1) * len(part) < coverage * total:
-                    continue  # the seeds cannot cover so much
-                tiles = tile(np.stack((place[part] - w.first[d], at[part]), axis=1), length)
+                sizes = runs[part, 3] + length - 1
+                if sizes.sum() < coverage * total:
+                    continue  # the matches cannot cover so much
+                places = (runs[part, 0] - w.first[d]).tolist(), runs[part, 2].tolist(), sizes.tolist()
+                tiles = _tiles(list(zip(*places, strict=True)), length)
                 share = sum(n for _, _, n in tiles) / total
                 if share >= coverage:
                     found.setdefault(d, []).append(
@@ -148,13 +174,13 @@ def _scan(texts: list, block: Block, coverage: float) -> list[list[dict]]:
                             "tiles": [{"first": a, "length": n} for a, _, n in sorted(tiles)],
                         }
                     )
-        out.extend(sorted(found.get(d, []), key=lambda x: x["item_id"]) for d in range(len(held)))
+        out.extend(sorted(found.get(d, []), key=lambda x: (x["item_id"] is not None, x["item_id"] or 0)) for d in range(len(held)))
     return out
 
 
 def _blocks(benchmark: DataFrame, block_bytes: int, min_match: int) -> Iterator[Block]:
     held, size = [], 0
-    rows = benchmark.filter("text IS NOT NULL AND item_id IS NOT NULL").select("item_id", "text")
+    rows = benchmark.filter("text IS NOT NULL").select("item_id", "text")
     for row in rows.orderBy("item_id", "text").toLocalIterator():
         if held and size + len(row["text"]) > block_bytes:
             yield Block(held, min_match)
@@ -171,8 +197,10 @@ def leaks(
     coverage: float = COVERAGE,
     min_match: int = MIN_MATCH,
     block_bytes: int = BLOCK_BYTES,
+    name: str = "leaks",
 ) -> DataFrame:
-    """The rows of `docs` with `leaks`: an array of (item_id, coverage, tiles) for every item a text contains.
+    """The rows of `docs` with `leaks`: an array of (item_id, coverage, tiles) for every item a text contains; a column
+    of that name is replaced.
 
     A tile is a run of words of the text (first word, number of words).
     """
@@ -189,12 +217,13 @@ def leaks(
 
     found = [scanner(block) for block in _blocks(benchmark, block_bytes, min_match)]
     if not found:
-        return docs.withColumn("leaks", F.array().cast(HITS))
-    names = [f"_leaks_{i}" for i in range(len(found))]
+        return docs.withColumn(name, F.array().cast(HITS))
+    names = [f"_{uuid.uuid4().hex}" for _ in found]
     out = docs.withColumns(dict(zip(names, found, strict=True)))
-    return out.withColumn("leaks", F.concat(*names)).drop(*names)
+    return out.withColumn(name, F.concat(*names)).drop(*names)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options: float) -> DataFrame:
-    """The rows of `docs` that contain no benchmark item."""
-    return leaks(docs, benchmark, **options).filter(F.size("leaks") == 0).drop("leaks")
+    """The rows and columns of `docs` that contain no benchmark item."""
+    name = f"_{uuid.uuid4().hex}"
+    return leaks(docs, benchmark, name=name, **options).filter(F.size(name) == 0).drop(name)
