@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from ticketflow.llm.components import components
 from ticketflow.llm.counts import LIST, answers, chunked, lists, totals_of
-from ticketflow.llm.text import Words, chunks, cut_lineage, grams, mix
+from ticketflow.llm.text import Words, chunks, cut_lineage, grams, mix, set_aside
 
 BLOCK_TOKENS = 1 << 20
 SEEDS = (0x51ED270B, 0xA24BAED5, 0x9FB21C65)
@@ -255,6 +255,8 @@ def keep_one(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """The rows of `docs` without near duplicates: of each component the document with the smallest id stays, and of
     rows equal in id and text one."""
     found = near_components(docs, words, percent).filter("doc_id = component_id")
+    docs, names = set_aside(docs)
     ids = found.select(F.col("doc_id").alias("_id")).distinct()
     own = F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID))
-    return docs.join(ids.hint("shuffle_hash"), own == F.col("_id"), "left_semi").dropDuplicates(["doc_id", "text"])
+    kept = docs.join(ids.hint("shuffle_hash"), own == F.col("_id"), "left_semi").dropDuplicates(["doc_id", "text"])
+    return kept.withColumnsRenamed(names)
