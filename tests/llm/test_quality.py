@@ -239,6 +239,42 @@ def test_secret_ownership(spark):
     assert secrets.scan_secrets(docs.limit(0)).count() == 0
 
 
+def test_secret_verdict_against_brute_force(spark):
+    rng = random.Random(11)
+    keys = ["".join(rng.choices("ABCDEFGHJKmnpqrstuvwxyz23456789", k=24)) + "7z" for _ in range(12)]
+    # Key i lies in so many documents; the last ones all under one hot owner, the others under up to four.
+    rows = []
+    for i, key in enumerate(keys):
+        for j in range(rng.randint(1, 14) if i < 9 else 2 * secrets.MAX_REPOSITORIES):
+            owner = "hot" if i >= 9 else rng.choice(["a", "b", "c", None][: 1 + i % 4])
+            rows.append((len(rows), f"see {key} and {key} there", owner))
+    rows += rows[:5] + [(None, f"lone {keys[0]}", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    owners, repositories = {}, {}
+    for doc, text, owner in rows:
+        for key in text.split():
+            if key in keys:
+                owners.setdefault(key, set()).add(owner)
+                repositories.setdefault(key, set()).add((owner, doc))
+    expected = []
+    for doc, text, owner in rows:
+        live = [
+            f"live:{m.start()}:{m.end()}"
+            for m in re.finditer(r"\S+", text)
+            for k in [m[0]]
+            if k in keys
+            and len(owners[k]) <= secrets.MAX_OWNERS
+            and len(repositories[k]) <= secrets.MAX_REPOSITORIES
+            and secrets.entropy(k) >= secrets.MIN_ENTROPY
+        ]
+        expected.append((doc, ",".join(live)))
+    found = secrets.span_digest(secrets.scan_secrets(docs)).select("doc_id", "spans").collect()
+    assert ordered(tuple(r) for r in found) == ordered(expected)
+    assert len({e[1] for e in expected}) > 2
+    # Held by one owner alone, yet copied.
+    assert all(owners[k] == {"hot"} and len(repositories[k]) > secrets.MAX_REPOSITORIES for k in keys[9:])
+
+
 def test_secret_short_assignment_uses_its_text():
     assert secrets.findings("token=secret: abcdefghijklmnop") == []
 

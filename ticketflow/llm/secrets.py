@@ -3,10 +3,11 @@
 Every text is scanned for three kinds of base findings and for free tokens that
 look like keys: long runs of key characters with letters and digits mixed. All
 candidate values are hashed and counted over the corpus by distinct
-repositories and owners. A value that several owners hold is a widely copied
-example; one that stays with few owners, and whose characters are spread like a
-key's, looks live. Base findings always stay; the method adds the free tokens
-that look live as spans of the kind `live`.
+repositories and owners. A value that several owners hold, or that stands in
+many repositories of one, is a widely copied example; one that stays with few
+of both, and whose characters are spread like a key's, looks live. Base
+findings always stay; the method adds the free tokens that look live as spans
+of the kind `live`.
 
 The value counts are taken in three grouped steps (value, owner and repository;
 value and owner; value), each with a partial sum before its shuffle, so a value
@@ -14,8 +15,9 @@ that a third of all documents hold meets no single task. Values themselves
 never leave the scan: hashes do.
 
 Defined cases: a missing text is empty and has no finding; repeated rows are
-scanned each; a missing owner or repository counts as one of its own; an empty
-table gives an empty result.
+scanned each; a missing owner or repository counts as one of its own; equal
+names of repositories under two owners are two repositories; an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -48,6 +50,8 @@ _WORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 FREE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}(?![A-Za-z0-9+/_=-])")
 # A value held by more owners than this is a copied example.
 MAX_OWNERS = 2
+# So is one in more repositories than this, even under one owner: a template or a vendored file, not a leak.
+MAX_REPOSITORIES = 10
 # Bits of entropy per character that a live-looking key has at least.
 MIN_ENTROPY = 3.0
 
@@ -128,13 +132,15 @@ def scan_secrets(
     repository: str = "doc_id",
     max_owners: int = MAX_OWNERS,
     min_entropy: float = MIN_ENTROPY,
+    max_repositories: int = MAX_REPOSITORIES,
 ) -> DataFrame:
     """One row per row of `docs`: doc_id, owner and repository, and `spans`.
 
     A span is a struct of kind (a number into KINDS), first, last (code
     points, end exclusive), value (SHA-256), bits (entropy per character),
-    n_owners, n_repositories and live (owner-specific and key-like). Free
-    tokens that do not look live are left out, base findings stay.
+    n_owners, n_repositories and live (held by few owners, in few
+    repositories, and key-like). Free tokens that do not look live are left
+    out, base findings stay.
     """
     scan = F.pandas_udf(_scan, _SPANS).asNondeterministic()
     keep = list(dict.fromkeys(["doc_id", owner, repository]))
@@ -148,6 +154,7 @@ def scan_secrets(
         F.map_from_entries(F.collect_list(F.struct("value", F.struct("n_owners", "n_repositories")))).alias("_owned")
     )
     joined = found.join(owned, "_row", "left")
+    held = lambda s, count: F.element_at(F.col("_owned"), s["value"])[count]
     spans = F.transform(
         "_spans",
         lambda s: F.struct(
@@ -156,10 +163,12 @@ def scan_secrets(
             s["last"].alias("last"),
             s["value"].alias("value"),
             s["bits"].alias("bits"),
-            F.element_at(F.col("_owned"), s["value"])["n_owners"].alias("n_owners"),
-            F.element_at(F.col("_owned"), s["value"])["n_repositories"].alias("n_repositories"),
+            held(s, "n_owners").alias("n_owners"),
+            held(s, "n_repositories").alias("n_repositories"),
             (
-                (F.element_at(F.col("_owned"), s["value"])["n_owners"] <= max_owners) & (s["bits"] >= min_entropy)
+                (held(s, "n_owners") <= max_owners)
+                & (held(s, "n_repositories") <= max_repositories)
+                & (s["bits"] >= min_entropy)
             ).alias("live"),
         ),
     )
@@ -180,4 +189,5 @@ def span_digest(found: DataFrame) -> DataFrame:
         _text_of(F.col("spans")).alias("spans"),
         F.size(F.filter("spans", lambda s: s["live"])).cast("long").alias("n_live"),
         F.size(F.filter("spans", lambda s: ~s["live"])).cast("long").alias("n_copied"),
+        F.coalesce(F.array_max(F.transform("spans", lambda s: s["n_repositories"])), F.lit(0)).cast("long").alias("max_repositories"),
     )
