@@ -59,13 +59,28 @@ def _requests(order: int, shards: int):
     return ask
 
 
+def _found(parts: list[np.ndarray], totals: np.ndarray) -> Iterator[np.ndarray]:
+    """The totals of the hashes in each part, one part after the other; `totals` goes by sorted, distinct hash.
+
+    One sort finds the rank of every hash; a binary search for each would miss the cache at every step.
+    """
+    if not parts:
+        return
+    keys = np.concatenate(parts)
+    order = np.argsort(keys)
+    keys = keys[order]
+    rank = np.cumsum(np.concatenate([[0], keys[1:] != keys[:-1]])) if len(keys) else order
+    every = np.empty(len(order), dtype=np.float64)
+    every[order] = totals[rank]
+    yield from np.split(every, np.cumsum([len(p) for p in parts])[:-1])
+
+
 def _scores(order: int, alpha: float, min_count: int, total: int):
     def score(chunk: pd.DataFrame, answered: pd.DataFrame) -> pd.DataFrame:
         texts = list(chunk["text"])
         slices = list(_grams_of(texts, order))
         parts = [k[i] for _, _, keys, inside in slices for k, i in zip(keys, inside, strict=True)]
-        known = np.unique(np.concatenate(parts)) if parts else np.zeros(0, dtype=np.uint64)
-        totals = totals_of(answered).astype(np.float64)
+        found = _found(parts, totals_of(answered))
         n_words, sums = np.zeros(len(texts), dtype=np.int64), np.zeros(len(texts))
         for first, w, keys, inside in slices:
             n = len(w.doc)
@@ -73,11 +88,10 @@ def _scores(order: int, alpha: float, min_count: int, total: int):
             n_words[first : first + len(size)] = size
             if not n:
                 continue
-            counts = [totals[np.searchsorted(known, k[i])] for k, i in zip(keys, inside, strict=True)]
             spread = []
-            for k, i, c in zip(keys, inside, counts, strict=True):
+            for i in inside:
                 full = np.zeros(n)
-                full[np.flatnonzero(i)] = c
+                full[np.flatnonzero(i)] = next(found)
                 spread.append(full)
             logs = (order - 1) * np.log(alpha) + np.log(spread[0] / total)
             # A word that has fewer words before it starts with a shorter n-gram and pays for no backoff it could not make.
