@@ -154,6 +154,39 @@ def test_stored_booked_time_gives_the_same_effort(spark):
         )
 
 
+def test_rollup_holds_all_four_reports(spark, time):
+    for worktime, hours in ((time, 160), (time, 80), (effort.monthly_effort(queries.phase_label(spark, DATA)), 160)):
+        rollup = effort.effort_rollup(worktime, hours)
+        reports = {
+            "class": effort.fte_by_class(worktime, hours_per_fte=hours),
+            "class_team": effort.fte_by_class(worktime, True, hours),
+            "phase": effort.fte_by_phase(worktime, hours_per_fte=hours),
+            "phase_team": effort.fte_by_phase(worktime, True, hours),
+        }
+        for level, report in reports.items():
+            found = effort.effort_level(rollup, level)
+            assert found.columns == report.columns
+            assert rows(found) == rows(report)
+        assert rollup.count() == sum(report.count() for report in reports.values())
+    assert effort.effort_rollup(time.limit(0)).count() == 0
+
+
+def test_rollup_reads_its_table_once(spark, time, tmp_path):
+    time.write.parquet(f"{tmp_path}/time")
+    text = plan(effort.effort_rollup(spark.read.parquet(f"{tmp_path}/time")))
+    assert text.count("FileScan") == 1
+
+
+def test_hot_issues_are_split_at_the_day(spark):
+    named, df = views.named_work(spark, DATA), views.tickets(spark, DATA, team=False)
+    stones = views.dev_milestones(spark, DATA)
+    hot = bt.hot_issues(views.worktimesheet(spark, DATA), 3)
+    assert hot.count() > 0
+    for team in (False, True):
+        split = bt.monthly_phase_time(named, df, stones, team, hot)
+        assert rows(split) == rows(bt.monthly_phase_time(named, df, stones, team))
+
+
 def _stones(spark, *cases):
     return spark.createDataFrame([(o, at(d), at(r)) for o, d, r in cases], DEV_MILESTONES)
 

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketflow.operators.hot_keys import hot_keys, join_spreading_hot_keys
 from ticketflow.operators.worktime import DAILY_KEYS
+from ticketflow.sources.clustered import join_clustered
 
 
 def first_milestones(milestones: DataFrame) -> DataFrame:
@@ -63,5 +64,20 @@ def released(worktime: DataFrame, milestones: DataFrame, hot: DataFrame | None =
     )
 
 
+def label_phase_clustered(spark: SparkSession, name: str, milestones: DataFrame) -> DataFrame:
+    """`label_phase` over a clustered table of the catalog: only the milestones are shuffled."""
+    first = first_milestones(milestones)
+    joined = join_clustered(spark, name, first, "oid", "milestone_oid", "left")
+    phase = phase_of(F.col("targetday"), F.col("first_demand"), F.col("first_release"))
+    return joined.drop("phase").withColumn("phase", phase).drop(*first.columns)
+
+
+def released_clustered(spark: SparkSession, name: str, milestones: DataFrame) -> DataFrame:
+    """`released` over a clustered table of the catalog: only the milestones are shuffled."""
+    first = first_milestones(milestones).filter(F.col("first_release").isNotNull())
+    started = F.col("targetday") >= F.col("first_release")
+    return join_clustered(spark, name, first, "oid", "milestone_oid", "left_semi", where=started)
+
+
 def unlabelled(worktime: DataFrame) -> DataFrame:
     return worktime.filter(F.col("phase").isNull())

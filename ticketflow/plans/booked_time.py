@@ -10,7 +10,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketflow.operators.hot_keys import HOT_ROWS, hot_keys
+from ticketflow.operators.hot_keys import HOT_ROWS, hot_keys_by_summary, join_spreading_hot_keys
 from ticketflow.operators.phases import phase_of, with_milestones
 from ticketflow.operators.worktime import (
     daily_hours,
@@ -52,7 +52,7 @@ def named_work(bookings: DataFrame, users: DataFrame, organizations: DataFrame,
 
 def hot_issues(bookings: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Issues with so many work bookings that their rows are split over several tasks."""
-    return hot_keys(work_only(bookings), "issue", hot_rows)
+    return hot_keys_by_summary(work_only(bookings), "issue", hot_rows)
 
 
 def worktime_by_ticket(named: DataFrame, tickets: DataFrame, hot: DataFrame | None = None) -> DataFrame:
@@ -87,13 +87,21 @@ def monthly_time(named: DataFrame, tickets: DataFrame, team: bool = False) -> Da
 
 
 def monthly_phase_time(
-    named: DataFrame, tickets: DataFrame, milestones: DataFrame, team: bool = False
+    named: DataFrame, tickets: DataFrame, milestones: DataFrame, team: bool = False, hot: DataFrame | None = None
 ) -> DataFrame:
-    """Booked time per ticket, day and phase, with the month of the day."""
+    """Booked time per ticket, day and phase, with the month of the day.
+
+    `hot` lists issues whose daily sums are split over several tasks. An issue
+    has at most days times organisations of them, so the list is needed only
+    where that product exceeds what one task sorts.
+    """
     keys = ["targetday"] + (["userorg_worktimesheet"] if team else [])
     hours = sum_hours(with_targetday(named), *keys)
     types = with_milestones(tickets.select("oid", "ticket_type"), milestones)
-    joined = hours.join(types, F.col("issue") == F.col("oid"))
+    if hot is None:
+        joined = hours.join(types, F.col("issue") == F.col("oid"))
+    else:
+        joined = join_spreading_hot_keys(hours, types, "issue", "oid", keys, hot)
     phase = phase_of(F.col("targetday"), F.col("first_demand"), F.col("first_release"))
     return joined.select(
         "oid",

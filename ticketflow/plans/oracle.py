@@ -202,6 +202,37 @@ def _fte_phase(team: bool, norm: bool) -> str:
     return _fte("coalesce(phase, ticket_type)", "FTE_BREAKDOWN", "ticket_type IN ('DEV', 'SDEV', 'RFC')", team, norm)
 
 
+def _effort_level(level: str, ticket: str, breakdown: str, organisation: str, where: str) -> str:
+    return f"""
+SELECT '{level}' AS "LEVEL", strftime(targetday, '%Y-%m') AS "MONTH_WORKTIMESHEET", {ticket} AS "TICKET",
+       {breakdown} AS "FTE_BREAKDOWN", {organisation} AS "USERORG_WORKTIMESHEET",
+       sum(hours_worktimesheet) / 160.0::DOUBLE AS "FTE",
+       sum(hours_worktimesheet) / 160.0::DOUBLE / nullif(count(DISTINCT CASE WHEN hours_worktimesheet IS NOT NULL THEN oid END), 0)
+         AS "FTE_NORM"
+FROM timed WHERE {where} GROUP BY ALL"""
+
+
+def _effort_rollup() -> str:
+    none, phase, team = "CAST(NULL AS VARCHAR)", "coalesce(phase, ticket_type)", "userorg_worktimesheet"
+    development = "ticket_type IN ('DEV', 'SDEV', 'RFC')"
+    return _with(
+        *_LABELLED,
+        """
+timed AS (
+  SELECT *, CASE WHEN ticket_type = 'DEV' THEN 'Development'
+                 WHEN ticket_type IN ('DEV-VIP', 'SDEV') THEN 'Development Small' ELSE ticket_type END AS ticket
+  FROM labelled)""",
+        then="\nUNION ALL".join(
+            (
+                _effort_level("class", "ticket", none, none, "true"),
+                _effort_level("class_team", "ticket", none, team, "true"),
+                _effort_level("phase", none, phase, none, development),
+                _effort_level("phase_team", none, phase, team, development),
+            )
+        ),
+    )
+
+
 _CONFORMANCE_DETAIL = _with(
     *_CONFORMANCE,
     then="""
@@ -210,6 +241,14 @@ SELECT ticket AS "TICKET", oid AS "OID", created_month AS "CREATED_MONTH", has_d
 FROM conformance""",
 )
 _PHASE_LABEL = _with(*_LABELLED, then=f"SELECT {_FULL}, phase FROM labelled")
+_PHASE_RELEASE = _with(
+    *_BY_TICKET,
+    MILESTONES,
+    then=f"""
+SELECT {_FULL} FROM by_ticket w
+WHERE EXISTS (SELECT 1 FROM milestones m WHERE m.oid = w.oid AND m.release_start IS NOT NULL
+              AND w.targetday >= m.release_start)""",
+)
 
 ORACLE: dict[str, str] = {
     "src_tickets": _with(TICKETS, then="SELECT * FROM tickets"),
@@ -266,17 +305,12 @@ FROM tickets""",
     "worktime_by_ticket": _by_ticket(_FULL),
     "worktime_sorted": _by_ticket(_FULL) + " ORDER BY oid NULLS LAST, targetday NULLS LAST",
     "phase_label": _PHASE_LABEL,
+    "phase_label_clustered": _PHASE_LABEL,
+    "phase_release_clustered": _PHASE_RELEASE,
     "phase_label_stored": _with(*_LABELLED, then=f"SELECT {_FULL}, phase FROM labelled"),
     "phase_relabel_changed": _PHASE_LABEL,
     "phase_unlabelled": _PHASE_LABEL + " WHERE phase IS NULL",
-    "phase_release_semi": _with(
-        *_BY_TICKET,
-        MILESTONES,
-        then=f"""
-SELECT {_FULL} FROM by_ticket w
-WHERE EXISTS (SELECT 1 FROM milestones m WHERE m.oid = w.oid AND m.release_start IS NOT NULL
-              AND w.targetday >= m.release_start)""",
-    ),
+    "phase_release_semi": _PHASE_RELEASE,
     "backlog_total": _backlog(MONTH_CUTS),
     "backlog_by_type": _backlog(MONTH_CUTS, "ticket_type:ticket_type"),
     "backlog_by_type_team": _backlog(MONTH_CUTS, "ticket_type:ticket_type", "appgroup:appgroup"),
@@ -372,6 +406,7 @@ FROM classed WHERE closed IS NOT NULL GROUP BY ALL""",
     "fte_norm_by_phase": _fte_phase(False, True),
     "fte_phase_team": _fte_phase(True, False),
     "fte_norm_phase_team": _fte_phase(True, True),
+    "fte_rollup": _effort_rollup(),
     "conformance_detail": _CONFORMANCE_DETAIL,
     "conformance_count": _with(
         *_CONFORMANCE,

@@ -19,7 +19,7 @@ from ticketflow.operators.open_cases import open_cases
 from ticketflow.plans import booked_time as bt
 from ticketflow.plans import views
 from ticketflow.plans.progress import observed_rows
-from ticketflow.sources import key_buckets, versions
+from ticketflow.sources import clustered, key_buckets, versions
 from ticketflow.sources.reports import read_csv, read_csv_setting_aside, read_report, write_csv, write_report
 from ticketflow.sources.sinks import full_refresh, full_refresh_table, scratch_folder, stored
 from ticketflow.sources.tables import without_blanks
@@ -206,6 +206,24 @@ def phase_label_stored(spark: SparkSession, base: str) -> DataFrame:
     return phases.label_phase(_worktime(spark, base), views.dev_milestones(spark, base), hot)
 
 
+def _clustered(spark: SparkSession, base: str) -> str:
+    """The name of a new clustered table of booked time."""
+    name = f"t_isd_worktimesheet_{uuid.uuid4().hex}"
+    hot = bt.hot_issues(views.worktimesheet(spark, base))
+    clustered.write_clustered(_worktime(spark, base), name, "oid", list(worktime.DAILY_KEYS), hot=hot)
+    return name
+
+
+def phase_label_clustered(spark: SparkSession, base: str) -> DataFrame:
+    """The label added to a clustered table of booked time, whose rows are not shuffled again."""
+    return phases.label_phase_clustered(spark, _clustered(spark, base), views.dev_milestones(spark, base))
+
+
+def phase_release_clustered(spark: SparkSession, base: str) -> DataFrame:
+    """Rows of a clustered table with a release by that day."""
+    return phases.released_clustered(spark, _clustered(spark, base), views.dev_milestones(spark, base))
+
+
 def phase_relabel_changed(spark: SparkSession, base: str) -> DataFrame:
     """A stored table of labelled time after the releases of some tickets became known: their buckets are rewritten."""
     milestones = views.dev_milestones(spark, base)
@@ -395,6 +413,11 @@ def fte_norm_phase_team(spark: SparkSession, base: str) -> DataFrame:
     return _by_phase(spark, base, team=True)
 
 
+def fte_rollup(spark: SparkSession, base: str) -> DataFrame:
+    """Effort by class and by phase, with and without organisations, from one pass over the labelled time."""
+    return effort.effort_rollup(effort.monthly_effort(phase_label(spark, base)))
+
+
 # Conformance and boards
 
 
@@ -455,6 +478,8 @@ QUERIES: dict[str, Query] = {
     "worktime_sorted": worktime_sorted,
     "phase_label": phase_label,
     "phase_label_stored": phase_label_stored,
+    "phase_label_clustered": phase_label_clustered,
+    "phase_release_clustered": phase_release_clustered,
     "phase_relabel_changed": phase_relabel_changed,
     "phase_unlabelled": phase_unlabelled,
     "phase_release_semi": phase_release_semi,
@@ -487,6 +512,7 @@ QUERIES: dict[str, Query] = {
     "fte_norm_by_phase": fte_norm_by_phase,
     "fte_phase_team": fte_phase_team,
     "fte_norm_phase_team": fte_norm_phase_team,
+    "fte_rollup": fte_rollup,
     "conformance_detail": conformance_detail,
     "conformance_count": conformance_count,
     "conformance_cumulative": conformance_cumulative,

@@ -23,9 +23,17 @@ def publish(inputs: Inputs, folder: str, cutpoints: DataFrame, as_of: dt.date) -
     blocks. The backlog report holds dates, so a cut date with a time of day is
     an error.
     """
+    spark = inputs.tickets.sparkSession
+    scratch = scratch_folder(spark)
+    try:
+        _publish(inputs, folder, cutpoints, as_of, scratch)
+    finally:
+        remove_folder(spark, scratch)
+
+
+def _publish(inputs: Inputs, folder: str, cutpoints: DataFrame, as_of: dt.date, scratch: str) -> None:
     tickets = inputs.tickets
     spark = tickets.sparkSession
-    scratch = scratch_folder(spark)
 
     def stored(df: DataFrame, path: str, sort_by: tuple[str, ...] = ()) -> DataFrame:
         full_refresh(df, path, sort_by)
@@ -44,9 +52,10 @@ def publish(inputs: Inputs, folder: str, cutpoints: DataFrame, as_of: dt.date) -
         ("oid", "targetday"),
     )
     monthly = stored(effort.monthly_effort(time), f"{scratch}/monthly.parquet")
-    for suffix, team in (("", False), ("_team", True)):
-        report(f"t_fte_ticket{suffix}", effort.fte_by_class(monthly, team))
-        report(f"t_fte_phases{suffix}", effort.fte_by_phase(monthly, team))
+    rollup = stored(effort.effort_rollup(monthly), f"{scratch}/effort.parquet")
+    for suffix in ("", "_team"):
+        report(f"t_fte_ticket{suffix}", effort.effort_level(rollup, f"class{suffix}"))
+        report(f"t_fte_phases{suffix}", effort.effort_level(rollup, f"phase{suffix}"))
 
     new = report("t_nb_ticket_team", flow.new_tickets(tickets, team=True))
     report("t_nb_ticket", flow.over_teams(new, "NEW_TICKET"))
@@ -72,4 +81,3 @@ def publish(inputs: Inputs, folder: str, cutpoints: DataFrame, as_of: dt.date) -
     report("t_lb_tp_open", longest.orderBy("TICKET", "RANK").coalesce(1))
     highest = leaderboard.highest_fte(tickets, worktime.total_hours(monthly))
     report("t_lb_fte_open", highest.orderBy("TICKET", "RANK").coalesce(1))
-    remove_folder(spark, scratch)

@@ -52,13 +52,18 @@ def full_refresh_table(df: DataFrame, name: str, sort_by: tuple[str, ...] = ())
     spark = df.sparkSession
     if sort_by:
         df = df.sortWithinPartitions(*sort_by)
-    mark = uuid.uuid4().hex
-    staging, old = f"{name}__new_{mark}", f"{name}__old_{mark}"
+    staging = f"{name}__new_{uuid.uuid4().hex}"
     try:
         df.write.format("parquet").saveAsTable(staging)
     except Exception:
         spark.sql(f"DROP TABLE IF EXISTS {staging}")
         raise
+    replace_table(spark, staging, name)
+
+
+def replace_table(spark: SparkSession, staging: str, name: str) -> None:
+    """Give the complete table `staging` the name `name`; a table of that name is dropped, last."""
+    old = f"{name}__old_{uuid.uuid4().hex}"
     replaces = spark.catalog.tableExists(name)
     if replaces:
         spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
