@@ -5,9 +5,10 @@ Two multinomials over hashed n-grams are counted: one over a trusted target
 the mean log-ratio of its n-grams, so its length does not matter. Every
 document gets a verdict from a fixed threshold; nothing is drawn at random.
 
-Only built-in functions run here. The n-gram of a word is its last three
-characters (a character 3-gram), which says something of rare and invented
-words too, where counts of whole words stay at one.
+Only built-in functions run here. The n-grams of a text are its words, its
+pairs of consecutive words and the last three characters of its words; the
+last say something of rare and invented words too, where counts of whole words
+and of pairs stay at one.
 
 Defined cases: a missing or empty text has no words, all counts 0 and score 0
 and fails the rules; repeated rows get a verdict each; without any trusted
@@ -40,8 +41,10 @@ def trusted_ids(labels: DataFrame, bound: int = TRUSTED) -> DataFrame:
     return good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
 
 
-def _gram_buckets(words: Column) -> Column:
-    return F.transform(words, lambda w: F.pmod(F.xxhash64(F.substring(w, -3, 3)), F.lit(BUCKETS)).cast("int"))
+def _gram_buckets(word: Column, following: Column) -> list[Column]:
+    """The buckets of a word, of its ending, and of it with the word that follows (missing after the last one)."""
+    grams = (F.xxhash64(word), F.xxhash64(F.lit("ending"), F.substring(word, -3, 3)), F.xxhash64(word, F.lit("pair"), following))
+    return [F.pmod(g, F.lit(BUCKETS)).cast("int") for g in grams]
 
 
 def log_ratios(docs: DataFrame, trusted: DataFrame) -> DataFrame:
@@ -52,10 +55,13 @@ def log_ratios(docs: DataFrame, trusted: DataFrame) -> DataFrame:
         "left",
     )
     grams = marked.select(words_of(F.col("text")).alias("_w"), F.coalesce("_good", F.lit(0)).alias("_good"))
-    # The arrays are made one step earlier, so that exploding them stays in generated code; the outer form
-    # keeps the optimizer from testing their size first, which would make them twice.
-    grams = grams.select("_good", _gram_buckets(F.col("_w")).alias("_g"))
-    grams = grams.select("_good", F.explode_outer("_g").alias("bucket")).filter("bucket IS NOT NULL")
+    # Words are paired one step earlier, so that exploding and hashing stay in generated code; the outer form keeps
+    # the optimizer from testing the array's size first, which would make it twice.
+    following = F.slice("_w", 2, F.greatest(F.size("_w") - 1, F.lit(0)))
+    grams = grams.select("_good", F.arrays_zip(F.col("_w").alias("w"), following.alias("next")).alias("_pairs"))
+    grams = grams.select("_good", F.explode_outer("_pairs").alias("_p")).filter("_p IS NOT NULL")
+    buckets = F.array(*_gram_buckets(F.col("_p.w"), F.col("_p.next")))
+    grams = grams.select("_good", F.explode(buckets).alias("bucket"))
     counted = grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("_good").alias("good"))
     # One row per bucket at most, so this window is bounded by BUCKETS.
     whole = Window.partitionBy()
@@ -73,13 +79,20 @@ def _ratio_array(ratios: DataFrame) -> Column:
 
 
 def _windows(words: Column) -> Column:
-    """Hash and place of every 3-word window."""
+    """Hash of every 3-word window."""
     return F.transform(
         F.slice(words, 1, F.greatest(F.size(words) - 2, F.lit(0))),
-        lambda w, i: F.struct(F.xxhash64(w, F.get(words, i + 1), F.get(words, i + 2)).alias("h"), i.alias("i")),
+        lambda w, i: F.xxhash64(w, F.get(words, i + 1), F.get(words, i + 2)),
     )
 
 
+def _sorted_windows(windows: Column) -> Column:
+    """Hash and place of every 3-word window, by hash; nothing if no two windows are equal."""
+    placed = F.sort_array(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    none = F.array().cast("array<struct<h:bigint,i:int>>")
+    return F.when(F.size(F.array_distinct(windows)) < F.size(windows), placed).otherwise(none)
+
+
 def _repeated(ordered: Column) -> Column:
     """Places, in order, of the sorted windows that equal a neighbour."""
     same = F.filter(
@@ -97,7 +110,7 @@ def _solid_length(text: Column) -> Column:
 
 def rule_counts(docs: DataFrame) -> DataFrame:
     """The columns of `docs` with the rule counts n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and
-    `_grams`, the n-gram bucket of every word."""
+    `_grams`, the buckets of all n-grams."""
     text = F.coalesce("text", F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: F.btrim(x, F.lit(SPACES)) != "")
     step = docs.select(
@@ -111,9 +124,10 @@ def rule_counts(docs: DataFrame) -> DataFrame:
         *(c for c in step.columns if c not in ("_w", "_lines")),
         F.size("_w").cast("long").alias("n_words"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
-        F.sort_array(_windows(F.col("_w"))).alias("_sorted"),
-        _gram_buckets(F.col("_w")).alias("_grams"),
+        _windows(F.col("_w")).alias("_windows"),
+        F.flatten(F.transform("_w", lambda w, i: F.array(*_gram_buckets(w, F.get("_w", i + 1))))).alias("_grams"),
     )
+    step = step.withColumn("_sorted", _sorted_windows(F.col("_windows"))).drop("_windows")
     step = step.withColumn("_at", _repeated(F.col("_sorted"))).drop("_sorted")
     covered = F.aggregate(
         F.col("_at"),
@@ -137,6 +151,7 @@ def quality_rules(
     docs, names = set_aside(docs.drop(*new))
     counted = rule_counts(docs)
     counted = counted.withColumn("_ratios", ratios)
+    # The ratios are named once here: named more often, they would be copied into every row.
     total = F.aggregate(F.col("_grams"), F.lit(0.0), lambda acc, b: acc + F.get("_ratios", b))
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     score = F.when(F.size("_grams") > 0, total / F.size("_grams")).otherwise(0.0)
