@@ -2,9 +2,10 @@ import datetime as dt
 import random
 
 from conftest import DATA, at, plan, rows
+from pyspark.sql import functions as F
 
 from ticketflow.operators.backlog import backlog
-from ticketflow.operators.open_cases import open_cases
+from ticketflow.operators.open_cases import FAN, LEVELS, _blocks, open_cases
 from ticketflow.plans import queries, views
 
 CASES = "id int, START timestamp_ntz, END timestamp_ntz, TICKET string, cut string"
@@ -68,3 +69,47 @@ def test_rows_are_what_the_backlog_counts(spark):
     assert "NestedLoop" not in text and "Cartesian" not in text
     counted = {r.CUTPOINT: r["count"] for r in found.groupBy("CUTPOINT").count().collect()}
     assert counted == {r.CUTPOINT: r.COUNT for r in backlog(cases, cuts).collect() if r.COUNT}
+
+
+def test_blocks_hold_every_bin_once(spark):
+    rnd = random.Random(5)
+    runs = [sorted((rnd.randrange(3000), rnd.randrange(3000))) for _ in range(200)]
+    runs += [[0, 0], [0, 2999], [255, 256], [256, 511], [1, 3], [4, 7], [3, 4]]
+    held = spark.createDataFrame(runs, "first long, last long").withColumn("blocks", _blocks(F.col("first"), F.col("last")))
+    for r in held.collect():
+        bins = [n * FAN**k + i for k, n in r.blocks for i in range(FAN**k)]
+        assert sorted(bins) == list(range(r.first, r.last + 1))
+        assert len(r.blocks) <= len(bins) / FAN**LEVELS + 2 * FAN * LEVELS
+
+
+def test_a_case_makes_far_fewer_rows_than_pairs(spark):
+    """Long open cases: what is made per case before the pairs does not grow with the cut dates."""
+    start = dt.datetime(2020, 1, 1)
+    cases = spark.createDataFrame([(i, start, None, "DEV", "x") for i in range(20)], CASES)
+    cuts = spark.createDataFrame([(start + dt.timedelta(days=k),) for k in range(1000)], "CUTPOINT timestamp_ntz")
+    found = open_cases(cases, cuts)
+    assert found.count() == 20 * 1000
+    made = spark.createDataFrame([(0, 999)], "a long, b long").select(F.size(_blocks(F.col("a"), F.col("b")))).first()[0]
+    assert made <= 1000 / FAN**LEVELS + 2 * FAN * LEVELS
+
+
+def test_totals_are_those_of_the_pairs(spark):
+    cases = spark.createDataFrame(_made(4, 300) + _made(4, 2), CASES)
+    cuts = [(at("2020-01-20"), "DEV", 1), (at("2020-01-20"), "DEV", 1), (at("2020-01-25"), None, 2), (at("2019-01-01"), "RFC", 3)]
+    cuts += [(dt.datetime(2020, 1, 1) + dt.timedelta(hours=9 * k), "RFC", 4) for k in range(160)] + [(None, "DEV", 5)]
+    cuts = spark.createDataFrame(cuts, "CUTPOINT timestamp_ntz, TICKET string, n int")
+    pairs = open_cases(cases, cuts).groupBy(*cuts.columns).agg(F.count(F.lit(1)).alias("COUNT"), F.sum("id").alias("id"))
+    found = open_cases(cases, cuts, totals=("id",))
+    assert found.columns == pairs.columns
+    assert rows(found) == rows(pairs) != []
+    assert open_cases(cases.limit(0), cuts, totals=("id",)).count() == 0
+
+
+def test_totals_join_blocks_not_cases(spark):
+    """The query's joins meet a row per block, type and edge; no row is made per case and cut date."""
+    start = dt.datetime(2020, 1, 1)
+    cases = spark.createDataFrame([(i, start, None, "DEV", "x") for i in range(500)], CASES)
+    cuts = spark.createDataFrame([(start + dt.timedelta(days=k),) for k in range(1000)], "CUTPOINT timestamp_ntz")
+    found = open_cases(cases, cuts, totals=("id",))
+    assert {(r.COUNT, r.id) for r in found.collect()} == {(500, 500 * 499 // 2)}
+    assert found.count() == 1000

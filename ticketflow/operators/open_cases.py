@@ -1,10 +1,15 @@
 """The open cases themselves at each cut date: the pairs behind the backlog.
 
 A binned interval join. Time is cut into bins about as wide as the cut dates
-lie apart. A case is repeated for the bins it is open in, a cut date lies in
-one bin, and the equi-join on the bin leaves few pairs that the interval test
-then turns away: a case with k cut dates makes about k + 2 rows. A bin that many cases share
-is split by adaptive execution, as both sides are plain shuffled tables.
+lie apart, and runs of FAN bins, of FAN such runs and so on (LEVELS of them) are
+blocks. The bins a case is open in are taken apart into the fewest blocks, a cut
+date lies in one block of each level, and every pair meets in exactly one block;
+the interval test turns few pairs away. Only cases times blocks are shuffled,
+about k / FAN ** LEVELS + 2 * FAN * LEVELS rows for a case with k cut dates; the pairs
+themselves are made by the join and go straight to what follows. A block has at
+most FAN ** LEVELS bins, so the pairs of a task stay in proportion to its rows,
+and a block that many cases share is split by adaptive execution. Cases are
+dealt out evenly first, for a short cut list is sent to them.
 """
 
 from __future__ import annotations
@@ -15,8 +20,30 @@ from pyspark.sql import functions as F
 from ticketflow.functions.calendar import micros
 from ticketflow.sources.sinks import stored
 
+# Bins in a block of the next level, and levels above the bins.
+FAN = 4
+LEVELS = 4
 
-def open_cases(df: DataFrame, cutpoints: DataFrame) -> DataFrame:
+
+def _blocks(first: Column, last: Column) -> Column:
+    """The blocks that make up bins first to last: (level, number), bin b lying in number b // FAN ** level."""
+    parts = []
+    # Blocks begin to end (exclusive) of a level lie wholly inside; those of the next level take theirs out.
+    begin, end = first, last + 1
+    for level in range(LEVELS + 1):
+        if level == LEVELS:
+            ranges = [(begin, end)]
+        else:
+            up, down = F.ceil(begin / F.lit(FAN)).cast("bigint"), F.floor(end / F.lit(FAN)).cast("bigint")
+            ranges = [(begin, F.least(up * FAN, end)), (F.greatest(down * FAN, F.least(up * FAN, end)), end)]
+            begin, end = up, F.greatest(up, down)
+        for a, b in ranges:
+            numbers = F.when(a < b, F.sequence(a, b - 1)).otherwise(F.array().cast("array<bigint>"))
+            parts.append(F.transform(numbers, lambda n: F.struct(F.lit(level).alias("level"), n.alias("number"))))
+    return F.concat(*parts)
+
+
+def open_cases(df: DataFrame, cutpoints: DataFrame, totals: tuple[str, ...] | None = None) -> DataFrame:
     """Every case with every cut date it is open at: the columns of `cutpoints`, then the further ones of `df`.
 
     `df` holds START and END, `cutpoints` CUTPOINT; both ends count as open, a
@@ -25,6 +52,13 @@ def open_cases(df: DataFrame, cutpoints: DataFrame) -> DataFrame:
     value (NULL meets NULL). Repeated cases and cut dates give repeated rows,
     so the rows of a cut date and group are as many as its backlog counts.
 
+    With `totals`, further columns of `df`, the same pairs come summed up: per
+    distinct row of `cutpoints` that has any, its columns, their number as COUNT
+    and the sums of these columns. Cases are then summed per block before they
+    meet the cut dates; only for the bins in which a case opens and closes are
+    pairs made, so the work is linear in the cases unless many cut dates share
+    a bin.
+
     Building the plan stores the cut list once and reads its first and last date.
     """
     shared = [c for c in cutpoints.columns if c in df.columns]
@@ -46,10 +80,35 @@ def open_cases(df: DataFrame, cutpoints: DataFrame) -> DataFrame:
     meets = (micros(F.col("opened")) <= high) & (F.col("closed").isNull() | (micros(F.col("closed")) >= low))
     ends = F.col("closed").isNull() | (F.col("closed") >= F.col("opened"))
     last_bin = F.coalesce(bin_of(F.col("closed")), F.lit((high - low) // width))
-    spread = cases.filter(meets & ends).withColumn("bin", F.explode(F.sequence(bin_of(F.col("opened")), last_bin)))
-    by_bin = cuts.withColumn("cut_bin", bin_of(F.col("at")))
-    on = [F.col("bin") == F.col("cut_bin")]
-    on += [F.col(f"case.`{c}`").eqNullSafe(F.col(f"cut.`{c}`")) for c in shared]
+    cases = cases.filter(meets & ends).withColumns({"_first": bin_of(F.col("opened")), "_last": last_bin})
+    in_block = F.floor(F.col("cut_bin") / F.pow(F.lit(FAN), F.col("cut_level"))).cast("bigint")
+    levels = F.explode(F.sequence(F.lit(0), F.lit(LEVELS)))
+    by_block = cuts.withColumns({"cut_bin": bin_of(F.col("at")), "cut_level": levels}).withColumn("cut_number", in_block)
+    on = [F.col("level") == F.col("cut_level"), F.col("number") == F.col("cut_number")]
     inside = (F.col("at") >= F.col("opened")) & (F.col("closed").isNull() | (F.col("at") <= F.col("closed")))
+    if totals is not None:
+        keys = {f"_key_{i}": c for i, c in enumerate(shared)}
+        sums = {f"_sum_{i}": c for i, c in enumerate(totals)}
+        cases = cases.select(
+            "opened", "closed", "_first", "_last", *(F.col(f"case.`{c}`").alias(n) for n, c in [*keys.items(), *sums.items()])
+        )
+        on += [F.col(n).eqNullSafe(F.col(f"cut.`{c}`")) for n, c in keys.items()]
+        # Between its first and its last bin a case is open throughout.
+        until = F.when(F.col("closed").isNull(), F.col("_last")).otherwise(F.col("_last") - 1)
+        blocks = cases.withColumn("block", F.explode(_blocks(F.col("_first") + 1, until)))
+        block_sums = blocks.groupBy(F.col("block.level").alias("level"), F.col("block.number").alias("number"), *keys).agg(
+            F.count(F.lit(1)).alias("_count"), *(F.sum(n).alias(n) for n in sums)
+        )
+        found = block_sums.join(by_block, on).select("cut", "_count", *sums)
+        bounds = F.when(F.col("closed").isNull(), F.array("_first")).otherwise(F.array_distinct(F.array("_first", "_last")))
+        edges = cases.withColumn("number", F.explode(bounds)).withColumn("level", F.lit(0))
+        pairs = edges.join(by_block.filter("cut_level = 0"), [*on, inside]).select("cut", F.lit(1).cast("long").alias("_count"), *sums)
+        both = pairs.unionByName(found).groupBy("cut")
+        summed = both.agg(F.sum("_count").alias("_count"), *(F.sum(n).alias(n) for n in sums))
+        return summed.select("cut.*", F.col("_count").alias("COUNT"), *(F.col(n).alias(c) for n, c in sums.items()))
+    on += [F.col(f"case.`{c}`").eqNullSafe(F.col(f"cut.`{c}`")) for c in shared]
+    dealt = cases.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    spread = dealt.withColumn("block", F.explode(_blocks(F.col("_first"), F.col("_last"))))
+    spread = spread.select("case", "opened", "closed", "block.level", "block.number")
     own = [F.col(f"case.`{c}`").alias(c) for c in df.columns if c not in shared]
-    return spread.join(by_bin, [*on, inside]).select("cut.*", *own)
+    return spread.join(by_block, [*on, inside]).select("cut.*", *own)
