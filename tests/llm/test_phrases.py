@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -58,6 +59,33 @@ def test_equal_states_are_merged():
     assert len(kept.first) - 1 == 5
 
 
+@pytest.mark.parametrize("high", [2, 40, 2000])
+def test_rows_too_wide_for_one_number(high):
+    rng = np.random.default_rng(high)
+    # Up to 88 bits a row; some rows differ in the last columns only, some are repeated, some shorter.
+    rows = rng.integers(1, high, (4000, 8), endpoint=True).astype(np.int32)
+    rows[2000:3000, :7] = rows[1000:2000, :7]
+    rows[3000:] = rows[:1000]
+    rows[np.arange(8)[None, :] >= rng.integers(1, 9, 4000)[:, None]] = 0
+    table = automata.summed([b""] * high, rows, np.ones(4000, dtype=np.int64))
+    different, count = np.unique(rows, axis=0, return_counts=True)
+    assert np.array_equal(table.rows, different) and np.array_equal(table.weights, count)
+    every = automata.prefixes([b""] * high, rows)
+    known = Counter(tuple(r[: d + 1]) for r in rows.tolist() for d in range(8) if r[d])
+    found = [tuple(x for x in r if x) for r in every.rows.tolist()]
+    assert found == sorted(known) and every.weights.tolist() == [known[x] for x in found]
+
+
+def test_packed_automata_make_no_object_per_label_and_no_empty_planes():
+    _, table = random_table(8, 400)
+    back = automata.unpack(automata.pack(automata.build(table)))
+    assert isinstance(back.labels, pa.Array) and back.labels.to_pylist() == table.labels
+    small, large = np.arange(100), np.array([0, -1, 2**62, -(2**62)])
+    for numbers in (small, large, small[:0]):
+        assert automata.unpack_numbers(automata.pack_numbers(numbers)).tolist() == numbers.tolist()
+    assert len(automata.pack_numbers(np.random.default_rng(1).integers(0, 256, 1000))) < 1100
+
+
 def test_union_and_composition():
     tables = [random_table(seed, 500)[1] for seed in (4, 5, 6)]
     total = Counter()

@@ -33,15 +33,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ticketflow.llm.automata import (
+    Labels,
     Table,
+    as_array,
     build,
     compact,
     compose,
+    first_seen,
+    in_order,
     pack,
     pack_numbers,
     paths,
     prefixes,
-    renumbered,
     summed,
     union,
     unpack,
@@ -91,29 +94,28 @@ def _parts(text: bytes) -> Iterator[tuple[bytes, int]]:
     yield text[begin:], len(text) - begin
 
 
-def _windows(texts: list[bytes], own: list[int], langs: list[bytes]) -> tuple[list[bytes], np.ndarray]:
+def _windows(texts: list[bytes], own: list[int], langs: list[bytes]) -> tuple[Labels, np.ndarray]:
     """Labels, and for every word that starts within a text's own size: language and the words of its piece from there."""
     w = Words(texts)
     n = len(w.starts)
     if not n:
         return [], np.zeros((0, DEPTH), dtype=np.int32)
-    hashes, at, word = np.unique(w.hashes(), return_index=True, return_inverse=True)
+    at, word = first_seen(w.hashes())
     data = w.data.tobytes()
     found = [data[s:e] for s, e in zip(w.starts[at].tolist(), w.ends[at].tolist(), strict=True)]
-    labels = sorted({*found, *langs})
-    number = {label: i + 1 for i, label in enumerate(labels)}
-    ids = np.array([number[x] for x in found], dtype=np.int32)[word]
+    labels, number = in_order(as_array([*found, *langs]))
+    ids = number[word]
     lines = (w.data >= 10) & (w.data <= 13)
     piece = np.cumsum(lines)[w.starts]
     rows = np.zeros((n, DEPTH), dtype=np.int32)
-    rows[:, 0] = np.array([number[x] for x in langs], dtype=np.int64)[w.doc]
+    rows[:, 0] = number[len(found) :][w.doc]
     rows[:, 1] = ids
     for k in range(1, LONGEST):
         rows[: n - k, k + 1] = np.where(piece[k:] == piece[: n - k], ids[k:], 0)
     return labels, rows[w.starts - w.at[w.doc] < np.array(own)[w.doc]]
 
 
-def _sliced(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[list[bytes], np.ndarray]]:
+def _sliced(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[Labels, np.ndarray]]:
     """The windows of all texts, by slices."""
     texts, own, langs, size = [], [], [], 0
     for batch in batches:
@@ -143,7 +145,8 @@ def _sampled(every: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataF
             picked = rows[::every].copy()
             length = 2 + np.arange(len(picked)) % LONGEST
             picked[np.arange(DEPTH)[None, :] >= length[:, None]] = 0
-            yield pd.DataFrame({"gram": [[labels[i - 1] for i in r if i] for r in picked.tolist()]})
+            table = Table(labels, picked, np.ones(len(picked)))
+            yield pd.DataFrame({"gram": [list(table.sequence(i)) for i in range(len(picked))]})
 
     return scan
 
