@@ -1,6 +1,7 @@
 """Flow, effort, conformance and leader boards on hand-written tables."""
 
 import datetime as dt
+import re
 
 import pytest
 from conftest import DATA, at, day, plan, rows
@@ -177,6 +178,19 @@ def test_rollup_reads_its_table_once(spark, time, tmp_path):
     assert text.count("FileScan") == 1
 
 
+def test_rollup_is_dealt_to_parts_by_rows(spark, time, monkeypatch):
+    for parts in (1, 7):
+        assert rows(effort.effort_rollup(time, parts=parts)) == rows(effort.effort_rollup(time))
+    bookings = views.worktimesheet(spark, DATA).count()
+    monkeypatch.setattr(effort, "ROLLUP_ROWS", bookings // 9)
+    text = plan(queries.fte_rollup(spark, DATA))
+    # Adaptive execution leaves a number of parts that is asked for as it is.
+    assert re.search(rf"hashpartitioning\(oid#\d+L?, targetmonth#\d+, {effort.rollup_parts(bookings)}\), REPARTITION_BY_NUM", text)
+    assert effort.rollup_parts(0) == 1 and effort.rollup_parts(bookings) >= 9
+    whole = effort.effort_rollup(effort.monthly_effort(queries.phase_label(spark, DATA)))
+    assert rows(queries.fte_rollup(spark, DATA)) == rows(whole)
+
+
 def test_hot_issues_are_split_at_the_day(spark):
     named, df = views.named_work(spark, DATA), views.tickets(spark, DATA, team=False)
     stones = views.dev_milestones(spark, DATA)

@@ -10,6 +10,8 @@ from ticketflow.functions.classes import DEVELOPMENT_FTE_TYPES
 from ticketflow.operators.tickets import tickets_of_types, with_class
 
 HOURS_PER_FTE = 160
+# Rows that one task of the rollup takes to tickets, about 200 MB with the four sets of each.
+ROLLUP_ROWS = 250_000
 
 
 def monthly_effort(worktime: DataFrame) -> DataFrame:
@@ -40,7 +42,12 @@ def _fte(worktime: DataFrame, breakdown: str, team: bool, hours_per_fte: float)
     )
 
 
-def effort_rollup(worktime: DataFrame, hours_per_fte: float = HOURS_PER_FTE) -> DataFrame:
+def rollup_parts(rows: int) -> int:
+    """Into how many parts `effort_rollup` deals a table of so many rows."""
+    return rows // ROLLUP_ROWS + 1
+
+
+def effort_rollup(worktime: DataFrame, hours_per_fte: float = HOURS_PER_FTE, parts: int | None = None) -> DataFrame:
     """All four effort reports from one pass over the booked time.
 
     Grouping sets by class and by phase, each with and without the booker's
@@ -48,7 +55,14 @@ def effort_rollup(worktime: DataFrame, hours_per_fte: float = HOURS_PER_FTE) ->
     the columns a set does not group by are NULL. Sums are taken per ticket
     first, within each set, so a ticket counts once in every group it has
     hours in. `worktime` is a labelled table at any grain down to the month.
+
+    A task holds the sums per ticket of all four sets at once. Adaptive
+    execution sizes tasks by the bytes they read, which are few for so many
+    sums, so `parts` can set their number instead, see `rollup_parts`: tickets
+    are dealt to parts by ticket and month.
     """
+    if parts is not None:
+        worktime = worktime.repartition(parts, "oid", "targetmonth")
     types = [F.lit(t) for t in DEVELOPMENT_FTE_TYPES]
     breakdown = F.struct(F.coalesce("phase", "ticket_type").alias("value"))
     named = with_class(worktime).select(

@@ -414,8 +414,12 @@ def fte_norm_phase_team(spark: SparkSession, base: str) -> DataFrame:
 
 
 def fte_rollup(spark: SparkSession, base: str) -> DataFrame:
-    """Effort by class and by phase, with and without organisations, from one pass over the labelled time."""
-    return effort.effort_rollup(effort.monthly_effort(phase_label(spark, base)))
+    """Effort by class and by phase, with and without organisations, from one pass over the labelled time.
+
+    The monthly sums are at most as many as the bookings, whose number stands in the files' footers.
+    """
+    parts = effort.rollup_parts(views.worktimesheet(spark, base).count())
+    return effort.effort_rollup(effort.monthly_effort(phase_label(spark, base)), parts=parts)
 
 
 # Conformance and boards

@@ -52,7 +52,8 @@ def _publish(inputs: Inputs, folder: str, cutpoints: DataFrame, as_of: dt.date,
         ("oid", "targetday"),
     )
     monthly = stored(effort.monthly_effort(time), f"{scratch}/monthly.parquet")
-    rollup = stored(effort.effort_rollup(monthly), f"{scratch}/effort.parquet")
+    parts = effort.rollup_parts(monthly.count())
+    rollup = stored(effort.effort_rollup(monthly, parts=parts), f"{scratch}/effort.parquet")
     for suffix in ("", "_team"):
         report(f"t_fte_ticket{suffix}", effort.effort_level(rollup, f"class{suffix}"))
         report(f"t_fte_phases{suffix}", effort.effort_level(rollup, f"phase{suffix}"))
