@@ -113,3 +113,23 @@ def test_totals_join_blocks_not_cases(spark):
     found = open_cases(cases, cuts, totals=("id",))
     assert {(r.COUNT, r.id) for r in found.collect()} == {(500, 500 * 499 // 2)}
     assert found.count() == 1000
+
+
+def test_every_closed_ticket_gives_a_cut_date(spark, tmp_path):
+    """The query cuts at the closing moment of each ticket, whatever its id."""
+    rnd = random.Random(6)
+    types = {"1-URGENT": "DEV", "2-HIGH": "DEV-VIP", "5-LOW": "INC"}
+    orders = [
+        (oid, 1, rnd.choice("FFO"), 1.0, dt.datetime(1995, 1, 1) + dt.timedelta(days=rnd.randrange(300)), rnd.choice([*types]))
+        for oid in range(1000, 1194)  # every rest modulo 97 twice
+    ]
+    spark.createDataFrame(orders, views.STAR["orders"]).write.parquet(f"{tmp_path}/orders.parquet")
+    cases = [(r[0], r[4], r[4] + dt.timedelta(days=r[0] % 97) if r[2] == "F" else None, types[r[5]]) for r in orders]
+    cuts = {(case[2], case[3]) for case in cases if case[2] is not None}
+    expected = []
+    for cut, kind in cuts:
+        found = [case[0] for case in cases if case[3] == kind and _open(case, cut)]
+        expected.append((cut, kind, len(found), sum(found)))
+    result = queries.open_cases_matched(spark, str(tmp_path))
+    assert result.columns == ["CUTPOINT", "ticket_type", "COUNT", "OIDS"]
+    assert rows(result) == sorted(expected, key=lambda r: [(v is None, str(v)) for v in r])

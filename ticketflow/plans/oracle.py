@@ -343,7 +343,7 @@ SELECT cutpoint AS "CUTPOINT", oid, ticket_type FROM tickets JOIN cuts
     ),
     "open_cases_matched": _with(
         TICKETS,
-        "cuts AS (SELECT DISTINCT ticket_type AS kind, closed AS cutpoint FROM tickets WHERE oid % 97 < 10)",
+        "cuts AS (SELECT DISTINCT ticket_type AS kind, closed AS cutpoint FROM tickets)",
         then="""
 SELECT cutpoint AS "CUTPOINT", ticket_type, count(*) AS "COUNT", CAST(sum(oid) AS BIGINT) AS "OIDS" FROM tickets JOIN cuts
   ON kind = ticket_type AND cutpoint >= created AND (closed IS NULL OR cutpoint <= closed) GROUP BY ALL""",
