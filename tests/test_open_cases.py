@@ -4,6 +4,7 @@ import random
 from conftest import DATA, at, plan, rows
 from pyspark.sql import functions as F
 
+from ticketflow.operators import open_cases as operator
 from ticketflow.operators.backlog import backlog
 from ticketflow.operators.open_cases import FAN, LEVELS, _blocks, open_cases
 from ticketflow.plans import queries, views
@@ -133,3 +134,32 @@ def test_every_closed_ticket_gives_a_cut_date(spark, tmp_path):
     result = queries.open_cases_matched(spark, str(tmp_path))
     assert result.columns == ["CUTPOINT", "ticket_type", "COUNT", "OIDS"]
     assert rows(result) == sorted(expected, key=lambda r: [(v is None, str(v)) for v in r])
+
+
+def test_more_levels_hold_every_bin_once_in_few_blocks(spark):
+    levels = 7
+    runs = [(0, 999_999), (1, 999_998), (5, 5), (16_383, 16_384), (16_384, 32_767)]
+    held = spark.createDataFrame(runs, "first long, last long")
+    for r in held.withColumn("blocks", _blocks(F.col("first"), F.col("last"), levels)).collect():
+        spans = sorted((n * FAN**k, (n + 1) * FAN**k) for k, n in r.blocks)
+        assert spans[0][0] == r.first and spans[-1][1] == r.last + 1
+        assert all(a[1] == b[0] for a, b in zip(spans, spans[1:]))
+        assert len(spans) <= (r.last - r.first + 1) / FAN**levels + 2 * FAN * levels
+
+
+def test_totals_with_far_dates_and_more_levels(spark, monkeypatch):
+    """A few far dates among many near ones; cases open and close before, among and after them."""
+    monkeypatch.setattr(operator, "TOP", 1)
+    far = [at("1900-01-01"), at("1950-06-01T12:00:00"), at("9999-12-31T23:59:59")]
+    cuts = [dt.datetime(2020, 1, 1) + dt.timedelta(hours=2 * k) for k in range(700)] + far
+    cases = [r for r in _made(7, 300) if r[3] == "DEV"]
+    cases += [(1000, far[0], None, "DEV", "x"), (1001, at("1899-01-01"), far[2], "DEV", "x"), (1002, far[2], None, "DEV", "x")]
+    cases += [(1003, far[1], at("2020-01-09"), "DEV", "x"), (1004, at("2020-01-09"), far[2], "DEV", "x")]
+    found = open_cases(
+        spark.createDataFrame(cases, CASES), spark.createDataFrame([(c,) for c in cuts], "CUTPOINT timestamp_ntz"), totals=("id",)
+    )
+    expected = []
+    for cut in cuts:
+        ids = [case[0] for case in cases if _open(case, cut)]
+        expected += [(cut, len(ids), sum(ids))] if ids else []
+    assert rows(found) == sorted(expected, key=lambda r: [(v is None, str(v)) for v in r])
